@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from gleanery.catalogue import exports
+    from gleanery.catalogue import exports, imports, logs
 
-    return [exports]
+    return [exports, imports, logs]
 
 
 def all_queries() -> dict:

@@ -50,9 +50,12 @@ class Domain:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self._folder = spark, folder.rstrip("/")
+        self._opened: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self._opened[name]
 
     # ------------------------------------------------------------- code lists
     def codes(self) -> DataFrame:

@@ -35,15 +35,18 @@ def spread_join(
     spread_by: list[str] | None = None,
     salts: int = SALTS,
     share: float = HEAVY_SHARE,
+    counted_in: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffled equi-join whose heavy left keys are spread over `salts` tasks.
 
     Only the rows of heavy keys get a salt, and only their right rows are repeated.
-    Rows with a null key never match; they are spread as well.
+    Rows with a null key never match; they are spread as well. `counted_in` is a
+    cheaper table with the same key shares, if the left side is costly to compute.
     """
     if how not in ("left", "inner"):
         raise ValueError(how)
-    heavy = F.broadcast(heavy_keys(left.select(*on), on, share).withColumn("_heavy", F.lit(True)))
+    keys = (left if counted_in is None else counted_in).select(*on)
+    heavy = F.broadcast(heavy_keys(keys, on, share).withColumn("_heavy", F.lit(True)))
     spread = F.pmod(F.xxhash64(*(spread_by or left.columns)), F.lit(salts)).cast("int")
     null_key = F.lit(False)
     for key in on:

@@ -26,7 +26,7 @@ def page_plan(totals: DataFrame, total: str, limit: int | str, param: str = "off
     )
     start = F.col("_chunk") * _CHUNK
     stop = F.least(start + _CHUNK, F.col("_pages")) - 1
-    numbered = chunks.withColumn("page", F.explode(F.sequence(start, stop)) + first)
+    numbered = chunks.withColumn("page", F.explode(F.sequence(start + first, stop + first)))
     return numbered.withColumn(
         "query", F.concat(F.lit("limit="), size.cast("string"), F.lit(f"&{param}="), F.col("page").cast("string"))
     ).drop("_pages", "_chunk")

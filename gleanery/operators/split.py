@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gleanery import schemas as S
 from gleanery.functions import documents as D
 from gleanery.functions import geometry, text
+from gleanery.operators.dims import first_seen
 
 
 def split_metadata(arrivals: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -60,6 +61,18 @@ def split_metadata(arrivals: DataFrame) -> tuple[DataFrame, DataFrame]:
     return data, metadata
 
 
+def backfill_metadata(rows: DataFrame, existing: DataFrame, order: list[str]) -> DataFrame:
+    """Metadata table filled from stored rows that still embed their documents.
+
+    The earliest document of each uuid is added unless the uuid is there already.
+    """
+    found = split_metadata(rows)[1].where("uuid IS NOT NULL").withColumn("controler", F.lit(S.CONTROLER_METADATA))
+    columns = existing.columns
+    first = first_seen(found.select(*columns, F.struct(*order).alias("_order")), "uuid", ["_order"])
+    added = first.join(existing.select("uuid"), "uuid", "left_anti").select(*columns)
+    return existing.unionByName(added)
+
+
 def rewrite_items(rows: DataFrame) -> DataFrame:
     """Slim down stored items that still embed both documents; others stay as they are.
 

@@ -327,7 +327,7 @@ def export_flat(t: Tables, book: CodeBook | None = None, ordered: bool = True) -
         .join(flat_actors(t, book), "id_dataset")
     )
     # Actor lists have no size bound, so this side is never broadcast.
-    out = spread_join(rows, dims, ["id_dataset"], "inner", spread_by=["id_synthese"]).select(
+    out = spread_join(rows, dims, ["id_dataset"], "inner", spread_by=["id_synthese"], counted_in=t.facts).select(
         *columns,
         F.col("unique_dataset_id").alias("jdd_uuid"),
         F.col("dataset_name").alias("jdd_nom"),
@@ -357,7 +357,7 @@ def export_with_metadata(t: Tables, book: CodeBook | None = None, fanout: bool =
         rows = rows.withColumn("area_attachment", F.lit(None).cast("string"))
     docs = dataset_docs(t, book, fanout).join(framework_docs(t, book), "id_acquisition_framework")
     # Documents have no size bound, so this side is never broadcast.
-    out = spread_join(rows, docs, ["id_dataset"], "inner", spread_by=["id_synthese"]).select(
+    out = spread_join(rows, docs, ["id_dataset"], "inner", spread_by=["id_synthese"], counted_in=t.facts).select(
         *columns, "area_attachment", "jdd_data", "ca_data"
     )
     return out.orderBy("id_synthese") if ordered else out

@@ -1,7 +1,8 @@
 """Landing folders of delivered pages.
 
-A publisher's pages land as `<folder>/source=<name>/import_id=<n>/page-<no>.json`,
-one JSON document per file: `{"items": [...], "total_filtered": n, "limit": n}`.
+A publisher's pages land as `<folder>/source=<name>/import_id=<n>/<file>.json`, one
+JSON document per line: `{"items": [...], "total_filtered": n, "limit": n}`. The page
+number is the member `page_no`, else the number at the end of the file name.
 """
 
 from __future__ import annotations
@@ -12,27 +13,28 @@ from pyspark.sql import functions as F
 from gleanery import schemas as S
 from gleanery.functions import text
 
-_PARTS = ", source string, import_id bigint"
+_LAYOUT = S.PAGE + ", page_no bigint, source string, import_id bigint"
 
 
 def _with_page_no(df: DataFrame) -> DataFrame:
     digits = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\.json$", 1)
-    return df.withColumn("page_no", digits.cast("bigint"))
+    return df.withColumn("page_no", F.coalesce("page_no", digits.try_cast("bigint")))
 
 
-def read_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Delivered pages; elements stay JSON text. Source and run prune folders."""
-    return _with_page_no(spark.read.schema(S.PAGE + _PARTS).option("multiLine", "true").json(folder))
+def read_pages(spark: SparkSession, folder: str, multi_line: bool = False) -> DataFrame:
+    """Delivered pages; elements stay JSON text. Source and run prune folders.
+
+    `multi_line` is for one page per file, written over several lines.
+    """
+    return _with_page_no(spark.read.schema(_LAYOUT).option("multiLine", multi_line).json(folder))
 
 
-def stream_pages(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+def stream_pages(
+    spark: SparkSession, folder: str, files_per_batch: int = 1000, multi_line: bool = False
+) -> DataFrame:
     """The same as a stream of newly landed pages."""
-    reader = (
-        spark.readStream.schema(S.PAGE + _PARTS)
-        .option("multiLine", "true")
-        .option("maxFilesPerTrigger", files_per_batch)
-    )
-    return _with_page_no(reader.json(folder))
+    reader = spark.readStream.schema(_LAYOUT).option("multiLine", multi_line)
+    return _with_page_no(reader.option("maxFilesPerTrigger", files_per_batch).json(folder))
 
 
 def arrivals(pages: DataFrame, data_types: DataFrame | None = None, now=None) -> DataFrame:
