@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from gleanery.catalogue import exports, imports, logs
+    from gleanery.catalogue import exports, imports, loading, logs
 
-    return [exports, imports, logs]
+    return [exports, imports, logs, loading]
 
 
 def all_queries() -> dict:

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +13,7 @@ from gleanery.functions.text import clean_uuid, uuid_of
 from gleanery.operators import pages as P
 from gleanery.operators import runlog as R
 from gleanery.operators import split as SP
-from gleanery.operators.lineage import cut
+from gleanery.operators.lineage import cut, shared_folder
 from gleanery.operators.merge import delete_by_log, latest, upsert_data, upsert_metadata
 from gleanery.sources.snapshot import Store
 from gleanery.streaming.polling import poll_into_store
@@ -264,12 +261,6 @@ def quarantine_casts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # -------------------------------------------------------------------- streaming
-def scratch(spark: SparkSession) -> str:
-    """A fresh folder next to the checkpoints the cluster names."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gleanery-")
-    return f"{root.rstrip('/')}/gleanery-{uuid.uuid4().hex}"
-
-
 def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Events land as pages in three imports; a stream merges each into a store."""
     e = Domain(spark, folder).table("events")
@@ -290,7 +281,7 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
         F.transform(F.sort_array(F.collect_list(F.struct("event_id", "item"))), lambda x: x["item"]).alias("items")
     )
     line = F.concat(F.lit('{"page_no":'), text(F.col("page_no")), F.lit(',"items":['), F.array_join("items", ","), F.lit("]}"))
-    place = scratch(spark)
+    place = shared_folder(spark)
     store = Store(spark, f"{place}/store")
     for part in range(3):
         pages.where(F.col("part") == part).select(line).write.text(f"{place}/landing/source=s0/import_id={part + 1}")

@@ -3,18 +3,28 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A fresh folder below the one the cluster names in `spark.checkpoint.dir`.
+
+    A temporary folder stands in only where none is set, as in a local test.
+    """
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if root is None:
+        root = tempfile.mkdtemp(prefix="gleanery-")
+    return f"{root.rstrip('/')}/gleanery-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared checkpoint folder and read them from there.
+    """Write the rows once to the shared folder and read them from there.
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`; a temporary
-    one is used only where none is set, as in a local test.
+    Unlike a checkpoint of the rows this computes them once, survives the loss of
+    executors, and later readers fetch only the columns they need.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="gleanery-checkpoint-"))
-    return df.checkpoint(eager=True)
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

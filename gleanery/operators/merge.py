@@ -86,7 +86,8 @@ def accept_keys(
     with several uuids may take a later one, which can free or block others; then
     the claims are settled in rounds, earliest first, until none is left.
     """
-    claims = _claims(batch, state)
+    # Read several times below, and made from the keys of the whole table: written once.
+    claims = cut(_claims(batch, state))
     if one_uuid_per_key is None:
         several = claims.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         one_uuid_per_key = several.isEmpty()
@@ -131,33 +132,34 @@ def upsert_data(
         F.min_by("controler", "seq").alias("_controler"),
         F.count(F.lit(1)).alias("_hits"),
     )
-    known = state.select(*KEY, F.col("uuid").alias("_uuid"), F.col("controler").alias("_kept"))
-    inserted = grouped.join(accepted.select(*KEY, F.col("uuid").alias("_uuid"), "first_seq"), KEY)
-    columns = state.columns
-
-    def row(uuid: str, controler: str) -> list:
-        named = {"uuid": F.col(uuid), "controler": F.col(controler)}
-        return [named.get(c, F.col(f"_doc.{c}") if c in payload else F.col(c)).alias(c) for c in columns]
-
-    updates = grouped.join(known, KEY).select(
-        *row("_uuid", "_kept"), F.col("_hits").alias("writes"), F.lit(False).alias("inserted")
-    )
-    decided = inserted.select(*KEY, "first_seq")
+    known = state.select(*KEY, F.struct("uuid", "controler").alias("_old"))
+    fresh = accepted.select(*KEY, F.struct("uuid", "first_seq").alias("_new"))
+    decided = grouped.join(known, KEY, "left").join(fresh, KEY, "left")
+    decided = decided.where(F.col("_old").isNotNull() | F.col("_new").isNotNull())
     if one_uuid_per_key:
-        inserts = inserted.withColumn("_writes", F.col("_hits"))
+        decided = decided.withColumn("writes", F.col("_hits"))
     else:
         # Arrivals before the moment of acceptance were rejected and do not count.
-        late = batch.select(*KEY, "seq").join(decided, KEY).where(F.col("seq") >= F.col("first_seq"))
-        inserts = inserted.join(late.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_writes")), KEY)
-    inserts = inserts.select(
-        *row("_uuid", "_controler"), F.col("_writes").alias("writes"), F.lit(True).alias("inserted")
+        moments = accepted.select(*KEY, "first_seq")
+        late = batch.select(*KEY, "seq").join(moments, KEY).where(F.col("seq") >= F.col("first_seq"))
+        late = late.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_late"))
+        decided = decided.join(late, KEY, "left").withColumn("writes", F.coalesce("_late", "_hits"))
+    fixed = {
+        "uuid": F.coalesce(F.col("_old.uuid"), F.col("_new.uuid")),
+        "controler": F.coalesce(F.col("_old.controler"), F.col("_controler")),
+    }
+    columns = state.columns
+    written = decided.select(
+        *[fixed.get(c, F.col(f"_doc.{c}") if c in payload else F.col(c)).alias(c) for c in columns],
+        "writes",
+        F.col("_old").isNull().alias("inserted"),
     )
-    written = updates.unionByName(inserts)
-    untouched = state.join(updates.select(*KEY), KEY, "left_anti")
+    # Every stored key of the batch is updated, so the rest is what the batch lacks.
+    untouched = state.join(batch.select(*KEY).distinct(), KEY, "left_anti").select(*columns)
     new_state = untouched.unionByName(written.select(*columns))
     rejected = (
         batch.join(state.select(*KEY), KEY, "left_anti")
-        .join(decided, KEY, "left")
+        .join(accepted.select(*KEY, "first_seq"), KEY, "left")
         .where(F.col("first_seq").isNull() | (F.col("seq") < F.col("first_seq")))
         .drop("first_seq")
     )
@@ -179,6 +181,8 @@ def upsert_metadata(state: DataFrame, batch: DataFrame) -> Merged:
         F.min_by(F.struct("level", "type", "controler"), F.col("import_id")).alias("_kept"),
         F.count(F.lit(1)).alias("writes"),
     )
+    # One row per document; what it is made from repeats them in every observation.
+    keyed = cut(keyed)
     claims = keyed.select("uuid", F.struct("_first_import", "source").alias("_claim"), F.lit(False).alias("_stored"))
     held = state.select(
         "uuid", F.struct(F.lit(-1).cast("bigint").alias("_first_import"), "source").alias("_claim"),

@@ -38,8 +38,8 @@ def number_by_order(df: DataFrame, order: list[str], out: str) -> DataFrame:
     The sorted rows are written once, so the two passes over them (sizes of the
     parts, then positions) see the same parts; only the sizes meet in one task.
     """
-    rows = cut(df.orderBy(*order)).withColumn("_part", F.spark_partition_id())
-    rows = rows.withColumn("_in", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    placed = df.orderBy(*order).withColumn("_part", F.spark_partition_id())
+    rows = cut(placed.withColumn("_in", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
     sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     bases = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
