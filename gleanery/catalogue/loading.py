@@ -13,7 +13,7 @@ from gleanery.functions import geometry as G
 from gleanery.functions.text import stamp_text, uuid_of
 from gleanery.operators import facts as FA
 from gleanery.operators import metadata as M
-from gleanery.operators.lookups import CodeBook, area_ids
+from gleanery.operators.lookups import CodeBook, Lookup, area_ids
 from gleanery.plans.consolidate import LAYOUTS, load_metadata
 
 NOW = "TIMESTAMP_NTZ '2025-01-01 00:00:00'"
@@ -40,9 +40,14 @@ def code_lookup_default(spark: SparkSession, folder: str) -> DataFrame:
         F.when(key % 5 != 0, F.substring("o_orderpriority", 1, 1)).alias("b"),
         F.concat(F.lit("Brand#"), _text(key % 30)).alias("c"),
     )
-    rows = book.id_of_code(rows, S.ACTOR_ROLE_TYPE, F.col("a"), "id_a")
-    rows = book.id_of_code(rows, S.THEME_TYPE, F.col("b"), "id_b")
-    rows = book.id_of_code(rows, S.TERRITORY_TYPE, F.col("c"), "id_c")
+    rows = book.ids(
+        rows,
+        [
+            Lookup(S.ACTOR_ROLE_TYPE, F.col("a"), "id_a"),
+            Lookup(S.THEME_TYPE, F.col("b"), "id_b"),
+            Lookup(S.TERRITORY_TYPE, F.col("c"), "id_c"),
+        ],
+    )
     return rows.select("o_orderkey", "id_a", "id_b", "id_c")
 
 
@@ -170,7 +175,7 @@ def load_fact(spark: SparkSession, folder: str) -> DataFrame:
     loaded = FA.load_facts(
         _raw_items(d), _known_facts(d), _known_sources(spark), _known_frameworks(d),
         as_layout(d.datasets(), LAYOUTS["datasets"]).where("id_acquisition_framework < 10"),
-        CodeBook(d.codes()), d.areas(), F.expr(NOW), with_labels=False,
+        CodeBook(d.codes()), d.areas(), F.expr(NOW),
     )
     return loaded.facts.select(
         "id_synthese", "unique_id_sinp", "id_source", "entity_source_pk_value", "id_dataset",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.operators.keys import assign_ids
+from gleanery.operators.lineage import cut
 
 
 class Grown(NamedTuple):
@@ -38,6 +39,7 @@ def get_or_insert(
     """
     firsts = first_seen(wanted, key, order) if order else wanted.where(F.col(key).isNotNull())
     new = firsts.join(existing.select(key), key, "left_anti")
+    # Made from the whole batch and read by every lookup of the run: written once.
     numbered = assign_ids(new, F.col(key), id_column, existing.select(id_column))
     types = dict(existing.dtypes)
     added = numbered.select(
@@ -46,6 +48,7 @@ def get_or_insert(
             for c in existing.columns
         ]
     )
+    added = cut(added)
     return Grown(existing.unionByName(added), added)
 
 

@@ -13,7 +13,8 @@ from gleanery.operators import metadata as M
 from gleanery.operators.dims import Grown
 from gleanery.operators.joins import join_lookup
 from gleanery.operators.keys import assign_ids
-from gleanery.operators.lookups import CodeBook, area_ids
+from gleanery.operators.lineage import cut
+from gleanery.operators.lookups import CodeBook, Lookup, area_ids
 
 
 class Loaded(NamedTuple):
@@ -44,13 +45,16 @@ FACT = (
 def owned_rows(rows: DataFrame, facts: DataFrame) -> DataFrame:
     """Rows whose uuid is free in the fact table or held there by the same source.
 
-    `rows` has `uuid, id_source`. Adds `held`: whether the fact is there already.
+    `rows` has `uuid, id_source`. Adds `fact`: what is kept of a fact that is there
+    already (`id_synthese, meta_create_date`), else null.
     """
     holder = facts.where("unique_id_sinp IS NOT NULL").select(
-        F.col("unique_id_sinp").alias("uuid"), F.col("id_source").alias("_holder"), F.lit(True).alias("_held")
+        F.col("unique_id_sinp").alias("uuid"),
+        F.col("id_source").alias("_holder"),
+        F.struct("id_synthese", "meta_create_date").alias("fact"),
     )
-    joined = rows.join(holder, "uuid", "left").withColumn("held", F.coalesce("_held", F.lit(False)))
-    return joined.where(~F.col("held") | (F.col("_holder") == F.col("id_source"))).drop("_holder", "_held")
+    joined = rows.join(holder, "uuid", "left")
+    return joined.where(F.col("fact").isNull() | (F.col("_holder") == F.col("id_source"))).drop("_holder")
 
 
 def load_facts(
@@ -62,7 +66,6 @@ def load_facts(
     book: CodeBook,
     areas: DataFrame,
     now: Column,
-    with_labels: bool = True,
     strict: bool = False,
 ) -> Loaded:
     """Insert or update the facts of raw rows just written.
@@ -77,9 +80,13 @@ def load_facts(
     grown_sources = M.sources_by_name(sources, keyed.select("source"))
     ids = grown_sources.rows.select(F.col("name_source").alias("source"), "id_source")
     keyed = owned_rows(join_lookup(keyed, ids, ["source"], "left", spread_by=["uuid"]), facts)
-
-    keyed = keyed.withColumn("_ca", text.clean_uuid(F.col("doc.ca_uuid"))).withColumn(
-        "_jdd", text.clean_uuid(F.col("doc.jdd_uuid"))
+    # Parsed and checked against the whole fact table once; the steps below read only
+    # the attributes they need.
+    keyed = cut(
+        keyed.select(
+            "uuid", "type", "import_id", "writes", "id_source", "fact", "doc",
+            text.clean_uuid(F.col("doc.ca_uuid")).alias("_ca"), text.clean_uuid(F.col("doc.jdd_uuid")).alias("_jdd"),
+        )
     )
     basic = keyed.where(F.col("type") != S.TYPE_WITH_METADATA)
     grown_af = M.basic_frameworks(
@@ -99,21 +106,24 @@ def load_facts(
     ds_ids = grown_ds.rows.select(F.col("unique_dataset_id").alias("_jdd"), "id_dataset").where("_jdd IS NOT NULL")
     coded = join_lookup(keyed, ds_ids, ["_jdd"], "left", spread_by=["uuid"])
 
+    # Only uuids are numbered; the wide rows stay where they are.
+    new_ids = assign_ids(keyed.where("fact IS NULL").select("uuid"), F.col("uuid"), "_new_id", facts.select("id_synthese"))
+    coded = coded.join(new_ids, "uuid", "left")
+
     labelled = F.col("type") == S.TYPE_WITH_LABEL
+    lookups = []
     for code in (*S.CODES, S.BIOGEO):
-        if code.column == "id_nomenclature_info_geo_type":
-            continue
         value = F.col(f"doc.{code.key}")
         if code.list_type == "TYPE":
             value = F.col("doc.label") if strict else F.coalesce(F.col("doc.label"), value)
-        if with_labels:
-            coded = book.id_of_item(coded, code.list_type, value, labelled, code.column)
-        else:
-            coded = book.id_of_code(coded, code.list_type, value, code.column)
+        if code.list_type != "TYP_INF_GEO":
+            lookups.append(Lookup(code.list_type, value, code.column))
     coded = area_ids(
         coded, areas, F.col("doc.area_attachment.type_code"), F.col("doc.area_attachment.area_code"), "id_area_attachment"
     )
-    # The geographic information type is attached where the area is known here.
+    coded = book.ids(coded, lookups, labelled)
+    # The geographic information type is attached where the area is known here, and
+    # always looked up by code.
     geo_code = F.when(F.col("id_area_attachment").isNotNull(), F.lit(S.GEO_INFO_ATTACHED)).otherwise(
         F.lit(S.GEO_INFO_REFERENCED)
     )
@@ -140,16 +150,15 @@ def load_facts(
         F.lit(None).cast("bigint").alias("id_digitiser"),
         F.col("doc.donnees_additionnelles").alias("additional_data"),
         F.lit(None).cast("timestamp_ntz").alias("meta_validation_date"),
-        F.when(F.col("held") | (F.col("writes") > 1), F.lit("U")).otherwise(F.lit("I")).alias("last_action"),
-        "held",
+        F.when(F.col("fact").isNotNull() | (F.col("writes") > 1), F.lit("U")).otherwise(F.lit("I")).alias("last_action"),
+        F.coalesce(F.col("fact.id_synthese"), F.col("_new_id")).alias("id_synthese"),
+        F.when(F.col("fact").isNotNull(), F.col("fact.meta_create_date")).otherwise(now).alias("meta_create_date"),
+        F.when(F.col("fact").isNotNull() | (F.col("writes") > 1), now).alias("meta_update_date"),
     )
     columns = facts.columns
-    new = assign_ids(shaped.where(~F.col("held")), F.col("unique_id_sinp"), "id_synthese", facts.select("id_synthese"))
-    new = new.withColumn("meta_create_date", now).withColumn("meta_update_date", F.when(F.col("last_action") == "U", now))
-    kept = facts.select("unique_id_sinp", "id_synthese", "meta_create_date")
-    changed = shaped.where("held").join(kept, "unique_id_sinp").withColumn("meta_update_date", now)
-    written = new.select(*columns).unionByName(changed.select(*columns))
-    untouched = facts.join(changed.select("unique_id_sinp"), "unique_id_sinp", "left_anti").select(*columns)
+    written = shaped.select(*columns)
+    changed = keyed.where("fact IS NOT NULL").select(F.col("uuid").alias("unique_id_sinp"))
+    untouched = facts.join(changed, "unique_id_sinp", "left_anti").select(*columns)
     return Loaded(untouched.unionByName(written), written, grown_sources, grown_af, grown_ds)
 
 

@@ -12,7 +12,7 @@ from gleanery.functions import documents as D
 from gleanery.functions import text
 from gleanery.operators.dims import Grown, get_or_insert
 from gleanery.operators.joins import join_lookup
-from gleanery.operators.lookups import CodeBook
+from gleanery.operators.lookups import CodeBook, Lookup
 
 MODULE = "gleanery"
 
@@ -158,9 +158,7 @@ def open_documents(rows: DataFrame, layout: str) -> DataFrame:
 
 def framework_rows(docs: DataFrame, book: CodeBook, now: Column) -> DataFrame:
     """Framework rows of opened documents (`schemas.FRAMEWORK_DOC`)."""
-    coded = docs
-    for code in S.FRAMEWORK_CODES:
-        coded = book.id_of_code(coded, code.list_type, F.col(f"doc.{code.key}"), code.column)
+    coded = book.ids(docs, [Lookup(c.list_type, F.col(f"doc.{c.key}"), c.column) for c in S.FRAMEWORK_CODES])
     return coded.select(
         text.clean_uuid(F.col("doc.uuid")).alias("unique_acquisition_framework_id"),
         F.col("doc.name").alias("acquisition_framework_name"),
@@ -185,8 +183,7 @@ def dataset_rows(docs: DataFrame, frameworks: DataFrame, book: CodeBook, now: Co
         F.col("unique_acquisition_framework_id").alias("_ca"), "id_acquisition_framework"
     ).where("_ca IS NOT NULL")
     coded = join_lookup(coded, owners, ["_ca"], "left")
-    for code in S.DATASET_CODES:
-        coded = book.id_of_code(coded, code.list_type, F.col(f"doc.{code.key}"), code.column)
+    coded = book.ids(coded, [Lookup(c.list_type, F.col(f"doc.{c.key}"), c.column) for c in S.DATASET_CODES])
     return coded.select(
         text.clean_uuid(F.col("doc.uuid")).alias("unique_dataset_id"),
         "id_acquisition_framework",

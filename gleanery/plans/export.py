@@ -50,7 +50,7 @@ def _people(bridge: DataFrame, t: Tables, book: CodeBook) -> DataFrame:
     person = t.roles.select("id_role", "uuid_role", "nom_role", "prenom_role", F.col("email").alias("email_role"))
     rows = join_lookup(bridge, org, ["id_organism"], "left")
     rows = join_lookup(rows, person, ["id_role"], "left")
-    return book.code_of_id(rows, "id_nomenclature_actor_role", "cd_role", "inner")
+    return book.codes_of(rows, {"id_nomenclature_actor_role": "cd_role"}, "inner")
 
 
 def actor_json() -> Column:
@@ -100,7 +100,7 @@ def flat_actors(t: Tables, book: CodeBook) -> DataFrame:
 
 def codes_per_owner(bridge: DataFrame, owner: str, id_column: str, book: CodeBook, out: str) -> DataFrame:
     """Distinct codes per owner, sorted, with a null (last) for an id without code."""
-    coded = book.code_of_id(bridge.select(owner, id_column), id_column, "_code").select(owner, "_code")
+    coded = book.codes_of(bridge.select(owner, id_column), {id_column: "_code"}).select(owner, "_code")
     rows = coded.groupBy(owner).agg(
         F.sort_array(F.collect_set("_code")).alias("_codes"), F.bool_or(F.col("_code").isNull()).alias("_null")
     )
@@ -124,7 +124,7 @@ def _splice(doc: Column, **arrays: Column) -> Column:
 
 def protocol_json(t: Tables, book: CodeBook) -> DataFrame:
     """Protocols of each dataset as JSON, one row per bridge row."""
-    known = book.code_of_id(t.protocols, "id_nomenclature_protocol_type", "_type")
+    known = book.codes_of(t.protocols, {"id_nomenclature_protocol_type": "_type"})
     doc = D.full_json(
         F.struct(
             F.col("unique_protocol_id").alias("uuid"),
@@ -145,9 +145,7 @@ def dataset_docs(t: Tables, book: CodeBook, fanout: bool = False) -> DataFrame:
     as an array. With `fanout` the document is what joining all the bridges at once
     gives: one per protocol, and each actor repeated once per territory.
     """
-    rows = t.datasets
-    for code in S.DATASET_CODES:
-        rows = book.code_of_id(rows, code.column, f"_{code.key}")
+    rows = book.codes_of(t.datasets, {c.column: f"_{c.key}" for c in S.DATASET_CODES})
     rows = rows.join(actors_per_owner(t.dataset_actors, "id_dataset", t, book), "id_dataset")
     if t.dataset_territories is not None:
         ids = "id_nomenclature_territory"
@@ -216,9 +214,7 @@ def dataset_docs(t: Tables, book: CodeBook, fanout: bool = False) -> DataFrame:
 def framework_docs(t: Tables, book: CodeBook) -> DataFrame:
     """`id_acquisition_framework, ca_data`, for frameworks with actors."""
     key = "id_acquisition_framework"
-    rows = t.frameworks
-    for code in S.FRAMEWORK_CODES:
-        rows = book.code_of_id(rows, code.column, f"_{code.key}")
+    rows = book.codes_of(t.frameworks, {c.column: f"_{c.key}" for c in S.FRAMEWORK_CODES})
     parents = t.frameworks.select(
         F.col(key).alias("acquisition_framework_parent_id"),
         F.col("unique_acquisition_framework_id").alias("_parent"),
@@ -286,9 +282,7 @@ def framework_docs(t: Tables, book: CodeBook) -> DataFrame:
 
 def _observations(t: Tables, book: CodeBook) -> tuple[DataFrame, list[Column]]:
     """Facts with their codes spelled out, and the columns both exports share."""
-    rows = t.facts
-    for code in S.CODES:
-        rows = book.code_of_id(rows, code.column, f"_{code.key}")
+    rows = book.codes_of(t.facts, {c.column: f"_{c.key}" for c in S.CODES})
     if t.habitats is not None:
         rows = join_lookup(rows, t.habitats.select("cd_hab", "lb_hab_fr"), ["cd_hab"], "left")
     else:
