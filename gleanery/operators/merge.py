@@ -30,7 +30,8 @@ class Merged(NamedTuple):
     """Outcome of an upsert.
 
     `state`    every stored row afterwards;
-    `written`  one row per key touched: stored columns, `writes`, `inserted`;
+    `written`  one row per key touched: stored columns, `writes`, `inserted`
+               (documents also have `seq`, their first arrival);
     `rejected` the rejected arrivals.
     """
 
@@ -180,6 +181,7 @@ def upsert_metadata(state: DataFrame, batch: DataFrame) -> Merged:
         F.max_by(F.struct(*[c for c in columns if c not in key]), F.col("import_id")).alias("_doc"),
         F.min_by(F.struct("level", "type", "controler"), F.col("import_id")).alias("_kept"),
         F.count(F.lit(1)).alias("writes"),
+        F.min("seq").alias("seq"),
     )
     # One row per document; what it is made from repeats them in every observation.
     keyed = cut(keyed)
@@ -204,6 +206,7 @@ def upsert_metadata(state: DataFrame, batch: DataFrame) -> Merged:
         ],
         "writes",
         F.col("_old").isNull().alias("inserted"),
+        "seq",
     )
     untouched = state.join(written.select(*key), key, "left_anti")
     rejected = batch.join(owner.select(*key), key, "left_anti")
