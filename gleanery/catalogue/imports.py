@@ -80,6 +80,11 @@ def source_names(spark: SparkSession, folder: str) -> DataFrame:
 
 # --------------------------------------------------------------------- metadata
 def items(spark: SparkSession, folder: str) -> DataFrame:
+    """Items as they landed: a written table."""
+    return cut(_items(spark, folder))
+
+
+def _items(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as items with embedded documents; every tenth one is flat."""
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     text = lambda c: c.cast("string")
@@ -115,7 +120,7 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def metadata_split(spark: SparkSession, folder: str) -> DataFrame:
-    docs = SP.split_metadata(items(spark, folder))[1].select("level", "uuid", "item", "seq")
+    docs = SP.first_documents(items(spark, folder), []).select("level", "uuid", "item", "seq")
     first = latest(docs, ["uuid"], "seq", "first")
     return first.select("level", "uuid", D.canonical(F.col("item")).alias("item"))
 
@@ -126,7 +131,8 @@ def metadata_split_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def upsert_metadata_query(spark: SparkSession, folder: str) -> DataFrame:
-    docs = SP.split_metadata(items(spark, folder))[1].withColumn("controler", F.lit(S.CONTROLER_METADATA))
+    docs = SP.first_documents(items(spark, folder), ["source", "import_id"])
+    docs = docs.withColumn("controler", F.lit(S.CONTROLER_METADATA))
     # What one import leaves behind is a written table for the next one.
     first = cut(upsert_metadata(empty(spark, S.METADATA_JSON), docs.where("import_id < 3")).state)
     second = upsert_metadata(first, docs.where("import_id >= 3"))

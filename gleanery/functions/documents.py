@@ -19,8 +19,9 @@ def member(obj: Column, key: str) -> Column:
     return F.try_element_at(obj, F.lit(key))
 
 
-def is_object(value: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
+def as_object(value: Column) -> Column:
+    """A variant opened as a map of variants; null for anything but an object."""
+    return F.try_variant_get(value, "$", "map<string,variant>")
 
 
 def text_member(value: Column, path: str) -> Column:

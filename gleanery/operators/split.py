@@ -9,6 +9,7 @@ from gleanery import schemas as S
 from gleanery.functions import documents as D
 from gleanery.functions import geometry, text
 from gleanery.operators.dims import first_seen
+from gleanery.operators.lineage import cut
 
 
 def split_metadata(arrivals: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -20,39 +21,37 @@ def split_metadata(arrivals: DataFrame) -> tuple[DataFrame, DataFrame]:
     the item names none.
     """
     opened = arrivals.withColumn("_obj", D.open_object(F.col("item")))
-    ca, jdd = D.member(F.col("_obj"), "ca_data"), D.member(F.col("_obj"), "jdd_data")
-    parts = opened.withColumn("_ca", F.when(D.is_object(ca), ca)).withColumn(
-        "_jdd", F.when(D.is_object(jdd), jdd)
+    parts = opened.withColumn("_ca", D.as_object(D.member(F.col("_obj"), "ca_data"))).withColumn(
+        "_jdd", D.as_object(D.member(F.col("_obj"), "jdd_data"))
     )
-    ca_uuid = D.text_member(F.col("_ca"), "$.uuid")
-    jdd_uuid = D.text_member(F.col("_jdd"), "$.uuid")
+    has_ca, has_jdd = F.col("_ca").isNotNull(), F.col("_jdd").isNotNull()
+    ca_uuid = D.text_member(D.member(F.col("_ca"), "uuid"), "$")
+    jdd_uuid = D.text_member(D.member(F.col("_jdd"), "uuid"), "$")
 
     def slim(obj: Column) -> Column:
-        first = F.when(
-            F.col("_ca").isNotNull(), D.with_member(D.without(obj, "ca_data"), "ca_uuid", ca_uuid)
-        ).otherwise(obj)
-        return F.when(
-            F.col("_jdd").isNotNull(), D.with_member(D.without(first, "jdd_data"), "jdd_uuid", jdd_uuid)
-        ).otherwise(first)
-
-    changed = F.col("_ca").isNotNull() | F.col("_jdd").isNotNull()
+        first = F.when(has_ca, D.with_member(D.without(obj, "ca_data"), "ca_uuid", ca_uuid)).otherwise(obj)
+        return F.when(has_jdd, D.with_member(D.without(first, "jdd_data"), "jdd_uuid", jdd_uuid)).otherwise(first)
+
+    changed = has_ca | has_jdd
     data = parts.withColumn("item", F.when(changed, F.to_json(slim(F.col("_obj")))).otherwise(F.col("item"))).select(
         *arrivals.columns
     )
 
-    plain_ca = F.when(~D.has_keys(F.col("item"), "ca_data"), D.text_member(D.member(F.col("_obj"), "ca_uuid"), "$"))
-    owner = F.when(F.col("_ca").isNotNull(), ca_uuid).otherwise(plain_ca)
-    jdd_map = F.try_variant_get(F.col("_jdd"), "$", "map<string,variant>")
+    # A plain `ca_uuid` of the item counts only where no `ca_data` is there at all.
+    plain_ca = F.when(
+        ~F.map_contains_key("_obj", F.lit("ca_data")), D.text_member(D.member(F.col("_obj"), "ca_uuid"), "$")
+    )
+    owner = F.when(has_ca, ca_uuid).otherwise(plain_ca)
     both = F.array(
         F.struct(
             F.lit(S.LEVEL_FRAMEWORK).alias("level"),
             text.clean_uuid(ca_uuid).alias("uuid"),
-            F.when(F.col("_ca").isNotNull(), F.to_json("_ca")).alias("item"),
+            F.when(has_ca, F.to_json("_ca")).alias("item"),
         ),
         F.struct(
             F.lit(S.LEVEL_DATASET).alias("level"),
             text.clean_uuid(jdd_uuid).alias("uuid"),
-            F.when(F.col("_jdd").isNotNull(), F.to_json(D.with_member(jdd_map, "ca_uuid", owner))).alias("item"),
+            F.when(has_jdd, F.to_json(D.with_member(F.col("_jdd"), "ca_uuid", owner))).alias("item"),
         ),
     )
     kept = [c for c in arrivals.columns if c not in ("item", "uuid", "level")]
@@ -61,14 +60,42 @@ def split_metadata(arrivals: DataFrame) -> tuple[DataFrame, DataFrame]:
     return data, metadata
 
 
+def first_documents(arrivals: DataFrame, per: list[str], order: str = "seq") -> DataFrame:
+    """Documents of the first arrival that carries each uuid, per group of `per`.
+
+    The same document comes with every observation of a dataset, so the uuids alone
+    are read first, and only the few items that win are taken apart. Documents
+    without a uuid are all returned. `order` is unique within a group.
+    """
+    head = F.from_json(F.col("item"), "ca_data struct<uuid:string>, jdd_data struct<uuid:string>")
+    docs = F.filter(F.array("_head.ca_data", "_head.jdd_data"), lambda d: d.isNotNull())
+    # One narrow row per item, parsed once and written.
+    heads = cut(
+        arrivals.select(*per, order, head.alias("_head"))
+        .select(*per, order, F.transform(docs, lambda d: text.clean_uuid(d["uuid"])).alias("_uuids"))
+    )
+    key = [*per, order]
+    first = (
+        heads.select(*key, F.explode("_uuids").alias("_uuid"))
+        .where("_uuid IS NOT NULL")
+        .groupBy(*per, "_uuid")
+        .agg(F.min(order).alias(order))
+    )
+    nameless = heads.where(F.exists("_uuids", lambda u: u.isNull()))
+    wanted = first.select(*key).unionByName(nameless.select(*key)).distinct()
+    return split_metadata(arrivals.join(wanted, key, "left_semi"))[1]
+
+
 def backfill_metadata(rows: DataFrame, existing: DataFrame, order: list[str]) -> DataFrame:
     """Metadata table filled from stored rows that still embed their documents.
 
     The earliest document of each uuid is added unless the uuid is there already.
     """
-    found = split_metadata(rows)[1].where("uuid IS NOT NULL").withColumn("controler", F.lit(S.CONTROLER_METADATA))
+    ordered = rows.withColumn("_order", F.struct(*order))
+    found = first_documents(ordered, [], "_order").where("uuid IS NOT NULL")
+    found = found.withColumn("controler", F.lit(S.CONTROLER_METADATA))
     columns = existing.columns
-    first = first_seen(found.select(*columns, F.struct(*order).alias("_order")), "uuid", ["_order"])
+    first = first_seen(found.select(*columns, "_order"), "uuid", ["_order"])
     added = first.join(existing.select("uuid"), "uuid", "left_anti").select(*columns)
     return existing.unionByName(added)
 
@@ -117,20 +144,15 @@ def validate(arrivals: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split arrivals into storable ones and rejected ones (with an `error` text).
 
     A row is rejected if its id or uuid is no id or uuid, or a typed attribute
-    cannot be cast. Nothing is dropped: each arrival is in exactly one result.
+    cannot be cast. Nothing is dropped: each arrival is in exactly one result. The
+    checked rows are written once, so no item is parsed a second time.
     """
-    item = F.from_json(F.col("item"), S.ITEM_TEXT)
-    checked = arrivals.withColumn("_item", item).withColumn(
-        "error",
-        F.coalesce(
-            F.when(F.col("id_data").isNull(), F.lit("missing id_synthese")),
-            F.when(F.col("_raw_uuid").isNotNull() & F.col("uuid").isNull(), F.concat(F.lit("invalid uuid: "), F.col("_raw_uuid")))
-            if "_raw_uuid" in arrivals.columns
-            else F.lit(None).cast("string"),
-            first_error(F.col("_item")),
-        ),
-    )
+    error = [F.when(F.col("id_data").isNull(), F.lit("missing id_synthese"))]
+    if "_raw_uuid" in arrivals.columns:
+        bad_uuid = F.col("_raw_uuid").isNotNull() & F.col("uuid").isNull()
+        error.append(F.when(bad_uuid, F.concat(F.lit("invalid uuid: "), F.col("_raw_uuid"))))
+    error.append(first_error(F.col("_item")))
     columns = [c for c in arrivals.columns if c != "_raw_uuid"]
-    good = checked.where("error IS NULL").select(*columns)
-    bad = checked.where("error IS NOT NULL").select(*columns, "error")
-    return good, bad
+    parsed = arrivals.withColumn("_item", F.from_json(F.col("item"), S.ITEM_TEXT))
+    checked = cut(parsed.select(*columns, F.coalesce(*error).alias("error")))
+    return checked.where("error IS NULL").drop("error"), checked.where("error IS NOT NULL")

@@ -19,7 +19,7 @@ from gleanery.operators.lineage import cut
 from gleanery.operators.lookups import CodeBook
 from gleanery.operators.merge import Merged, delete_by_log, upsert_data, upsert_metadata
 from gleanery.operators.runlog import append_errors, run_counters
-from gleanery.operators.split import split_metadata, validate
+from gleanery.operators.split import first_documents, split_metadata, validate
 from gleanery.plans.loaders import register
 
 Tables = dict[str, DataFrame]
@@ -183,11 +183,13 @@ def run_import(
     to the checkpoint folder.
     """
     out = dict(tables)
-    slim, documents = split_metadata(arrivals)
-    checked = cut(slim)
-    good, bad = validate(checked)
+    slim, _ = split_metadata(arrivals)
+    documents = first_documents(arrivals, ["source", "import_id"])
+    good, bad = validate(slim)
     if not keep_metadata_of_rejected:
-        documents = documents.join(good.select("seq"), "seq", "left_semi")
+        # The first document of an accepted item counts then.
+        accepted = arrivals.join(good.select("seq"), "seq", "left_semi")
+        documents = first_documents(accepted, ["source", "import_id"])
     documents = documents.withColumn("controler", F.lit(S.CONTROLER_METADATA))
     nameless = documents.where("uuid IS NULL")
     documents = documents.where("uuid IS NOT NULL")
@@ -221,8 +223,9 @@ def run_import(
             "outcome", F.lit(outcome)
         )
 
-    outcomes = counted(checked, "api_count_items")
+    outcomes = counted(good, "api_count_items")
     for rows, name, n in (
+        (bad, "api_count_items", None),
         (data.written, "data_count_upserts", "writes"),
         (bad, "data_count_errors", None),
         (data.rejected, "data_count_errors", None),

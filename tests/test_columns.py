@@ -46,9 +46,9 @@ def test_absent_null_and_present_keys(spark):
     assert one(spark, '{"a":null}', lambda c: D.has_keys(c, "a")) is True
     assert one(spark, '{"b":1}', lambda c: D.has_keys(c, "a")) is False
     assert one(spark, '{"a":null}', lambda c: D.text_member(D.member(D.open_object(c), "a"), "$")) is None
-    assert one(spark, '{"a":{"b":1}}', lambda c: D.is_object(D.member(D.open_object(c), "a"))) is True
-    assert one(spark, '{"a":"b"}', lambda c: D.is_object(D.member(D.open_object(c), "a"))) is False
-    assert one(spark, "{}", lambda c: D.is_object(D.member(D.open_object(c), "a"))) is False
+    assert one(spark, '{"a":{"b":1}}', lambda c: D.as_object(D.member(D.open_object(c), "a")).isNotNull()) is True
+    assert one(spark, '{"a":"b"}', lambda c: D.as_object(D.member(D.open_object(c), "a")).isNotNull()) is False
+    assert one(spark, "{}", lambda c: D.as_object(D.member(D.open_object(c), "a")).isNotNull()) is False
 
 
 def test_provenance_of_null_and_old_documents(spark):
