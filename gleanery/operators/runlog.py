@@ -2,12 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery import schemas as S
 from gleanery.functions.text import simplify_source
 from gleanery.operators.joins import join_lookup
+from gleanery.operators.keys import assign_ids
+
+
+def open_runs(log: DataFrame, sources: DataFrame, now: Column, xfer_type: str, filters: Column | None = None) -> DataFrame:
+    """First log event of one new run per source: new ids after the largest one in use.
+
+    `sources` comes from `enabled_sources`. The events are appended to the log and read
+    back through `current_runs`.
+    """
+    numbered = assign_ids(sources.select(F.col("std_name").alias("source")).distinct(), F.col("source"), "id", log.select("id"))
+    return numbered.select(
+        "id", "source", F.lit(S.CONTROLER_DATA).alias("controler"), F.lit(xfer_type).alias("xfer_type"),
+        F.lit(S.STATUS_INIT).alias("xfer_status"), now.alias("xfer_start_ts"),
+        (F.lit("{}") if filters is None else filters).alias("xfer_filters"), F.lit(0).alias("seq"),
+    )
+
+
+def close_runs(opened: DataFrame, counters: DataFrame, failed: DataFrame, now: Column) -> DataFrame:
+    """Last log event of each run: its counters, and success unless its source failed.
+
+    A run without any arrival is a success as well. `failed` has `source, comment`; the
+    failure of one source leaves the runs of the others alone.
+    """
+    counts = counters.withColumnRenamed("import_id", "id")
+    names = [c for c in counts.columns if c not in ("id", "source")]
+    rows = opened.select("id", "source", "controler").join(counts.drop("source"), "id", "left").join(failed, "source", "left")
+    bad = F.col("comment").isNotNull()
+    return rows.select(
+        "id", "source", "controler",
+        F.when(bad, F.lit(S.STATUS_FAILED)).otherwise(F.lit(S.STATUS_SUCCESS)).alias("xfer_status"),
+        now.alias("xfer_end_ts"), *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names], "comment", F.lit(9).alias("seq"),
+    )
 
 
 def current_runs(events: DataFrame, seq: str = "seq") -> DataFrame:

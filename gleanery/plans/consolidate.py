@@ -21,6 +21,7 @@ from gleanery.operators.merge import Merged, delete_by_log, upsert_data, upsert_
 from gleanery.operators.runlog import append_errors, run_counters
 from gleanery.operators.split import first_documents, split_metadata, validate
 from gleanery.plans.loaders import register
+from gleanery.sources.snapshot import Store
 
 Tables = dict[str, DataFrame]
 
@@ -35,9 +36,12 @@ class Changes(NamedTuple):
 
 
 class Report(NamedTuple):
+    """Tables after a run, its counters and failures, and the raw rows it changed."""
+
     tables: Tables
     counters: DataFrame
     rejected: DataFrame
+    changes: Changes
 
 
 # Layouts of the tables a run works on.
@@ -214,8 +218,9 @@ def run_import(
     ).unionByName(_failures(nameless.withColumn("error", F.lit("document without uuid")), "error"))
     out["error_log"] = append_errors(tables["error_log"], failures)
 
+    changes = Changes(data.written, meta.written, gone, now)
     if loader is not None:
-        out = loader(out, Changes(data.written, meta.written, gone, now))
+        out = loader(out, changes)
 
     def counted(rows: DataFrame, outcome: str, n=None) -> DataFrame:
         amount = F.count(F.lit(1)) if n is None else F.sum(n)
@@ -238,7 +243,43 @@ def run_import(
         runs = deletions.groupBy("source").agg(F.max("import_id").alias("import_id"))
         removed = gone.drop("import_id").join(runs, "source")
         outcomes = outcomes.unionByName(counted(removed, "data_count_delete"))
-    return Report(out, run_counters(outcomes), failures)
+    return Report(out, run_counters(outcomes), failures, changes)
+
+
+def open_tables(store: Store, codes: DataFrame, areas: DataFrame) -> Tables:
+    """Tables of the newest version of a store."""
+    version = store.version()
+    out = {
+        name: store.read_ranged(name, layout, version=version)
+        if name in store.ranged_by
+        else store.read(name, layout, version)
+        for name, layout in LAYOUTS.items()
+    }
+    out["codes"], out["areas"] = codes, areas
+    return out
+
+
+def save_run(store: Store, run_id: str, before: Tables, report: Report) -> int:
+    """Write the tables of a run as the next version; a run already there is skipped.
+
+    Of the raw table and of the facts only the ranges with changed rows are written.
+    """
+    if store.has_run(run_id):
+        return store.version()
+    changes = report.changes
+    raw = cut(store.touched(changes.data, changes.deleted))
+    uuids = changes.data.select(F.col("uuid").alias("unique_id_sinp")).where("unique_id_sinp IS NOT NULL")
+    new = report.tables["facts"]
+    ids = ["id_source", "id_synthese"]
+    gone = before["facts"].select(*ids).join(new.select(*ids), ids, "left_anti")
+    changed = new.select("unique_id_sinp", *ids).join(uuids, "unique_id_sinp", "left_semi").select(*ids)
+    facts = cut(store.touched(changed, gone, name="facts"))
+    ranged = {
+        "data_json": (store.within(report.tables["data_json"], raw, "data_json"), raw),
+        "facts": (store.within(new, facts, "facts"), facts),
+    }
+    whole = {name: report.tables[name] for name in LAYOUTS if name not in ranged}
+    return store.write(run_id, whole, ranged)
 
 
 def _failures(rows: DataFrame, error: str) -> DataFrame:

@@ -24,10 +24,14 @@ _RANGES = "version bigint, name string, p_source string, p_range bigint"
 
 
 class Store:
-    """One writer at a time; any number of readers."""
+    """One writer at a time; any number of readers.
+
+    `ranged_by` names the source and id columns of each table split in ranges.
+    """
 
     def __init__(self, spark: SparkSession, root: str, ids_per_range: int = 1_000_000):
         self._spark = spark
+        self.ranged_by = {"data_json": ("source", "id_data"), "facts": ("id_source", "id_synthese")}
         self.root = root.rstrip("/")
         self._ids_per_range = ids_per_range
         # Both lists get one small row set per run.
@@ -77,17 +81,24 @@ class Store:
         table = self._spark.read.schema(parts).parquet(f"{self.root}/{name}")
         return table.join(small_side(live), ["version", *RANGE]).select(*columns)
 
-    def range_of(self) -> Column:
-        return F.floor(F.col("id_data") / F.lit(self._ids_per_range)).cast("bigint")
+    def range_of(self, name: str) -> list[Column]:
+        source, number = self.ranged_by[name]
+        part = F.floor(F.col(number) / F.lit(self._ids_per_range)).cast("bigint")
+        return [F.col(source).cast("string").alias("p_source"), part.alias("p_range")]
 
-    def touched(self, *batches: DataFrame) -> DataFrame:
-        """Ranges the rows of some batches (`source, id_data`) fall into."""
+    def touched(self, *batches: DataFrame, name: str = "data_json") -> DataFrame:
+        """Ranges the rows of some batches (source and id of the table) fall into."""
         out = None
         for batch in batches:
-            rows = batch.select(F.col("source").alias("p_source"), self.range_of().alias("p_range"))
+            rows = batch.select(*self.range_of(name)).distinct()
             out = rows if out is None else out.unionByName(rows)
         return out.distinct()
 
+    def within(self, rows: DataFrame, touched: DataFrame, name: str) -> DataFrame:
+        """Rows of a table that fall into some ranges."""
+        split = rows.select("*", *self.range_of(name))
+        return split.join(small_side(touched), RANGE, "left_semi").select(*rows.columns)
+
     # --------------------------------------------------------------- writing
     def write(
         self,
@@ -104,7 +115,7 @@ class Store:
         for name, df in whole.items():
             df.write.mode("overwrite").parquet(f"{self.root}/{name}/version={version}")
         for name, (df, touched) in (ranged or {}).items():
-            split = df.withColumn("p_source", F.col("source")).withColumn("p_range", self.range_of())
+            split = df.select("*", *self.range_of(name))
             # The rows of one range meet in one task; their number is bounded.
             split.repartition(*RANGE).write.mode("overwrite").partitionBy(*RANGE).parquet(
                 f"{self.root}/{name}/version={version}"

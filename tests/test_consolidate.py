@@ -176,6 +176,44 @@ def test_store_takes_over_untouched_ranges(spark, tmp_path):
     assert store.has_run("r2") and not store.has_run("r3")
 
 
+def test_runs_follow_each_other_in_a_store(spark, refs, tmp_path):
+    store = Store(spark, str(tmp_path), ids_per_range=3)
+    before = C.open_tables(store, *refs)
+    report = C.run_import(before, landing.arrivals(pages(spark, [[item(i) for i in range(1, 9)]])), F.expr(NOW))
+    assert C.save_run(store, "run-1", before, report) == 1
+    assert C.save_run(store, "run-1", before, report) == 1
+    first = {r["entity_source_pk_value"]: r["id_synthese"] for r in C.open_tables(store, *refs)["facts"].collect()}
+    assert sorted(first) == [str(i) for i in range(1, 9)]
+
+    before = C.open_tables(store, *refs)
+    gone = spark.createDataFrame([("s0", 7, 2)], "source string, id_data bigint, import_id bigint")
+    arr = landing.arrivals(pages(spark, [[item(2, nom_cite="x"), item(20)]], import_id=2))
+    report = C.run_import(before, arr, F.expr(NOW), deletions=gone)
+    assert C.save_run(store, "run-2", before, report) == 2
+    after = C.open_tables(store, *refs)
+    assert sorted(r["id_data"] for r in after["data_json"].collect()) == [1, 2, 3, 4, 5, 6, 8, 20]
+    second = {r["entity_source_pk_value"]: r for r in after["facts"].collect()}
+    assert sorted(second, key=int) == ["1", "2", "3", "4", "5", "6", "8", "20"]
+    assert {k: second[k]["id_synthese"] for k in first if k != "7"} == {k: v for k, v in first.items() if k != "7"}
+    assert second["2"]["nom_cite"] == "x" and second["20"]["id_synthese"] == 9
+
+
+def test_run_states(spark):
+    sources = spark.createDataFrame([("b",), ("a",)], "std_name string")
+    log = spark.createDataFrame([(4,)], "id bigint")
+    opened = R.open_runs(log, sources, F.expr(NOW), "full")
+    ids = {r["source"]: r["id"] for r in opened.collect()}
+    assert sorted(ids.values()) == [5, 6]
+    outcomes = spark.createDataFrame([("a", ids["a"], "data_count_upserts", 3)], "source string, import_id bigint, outcome string, n bigint")
+    failed = spark.createDataFrame([("b", "timeout")], "source string, comment string")
+    closed = R.close_runs(opened, R.run_counters(outcomes), failed, F.expr(NOW))
+    runs = R.current_runs(opened.unionByName(closed, allowMissingColumns=True))
+    got = {r["source"]: (r["xfer_status"], r["data_count_upserts"], r["comment"], r["xfer_type"]) for r in runs.collect()}
+    assert got == {"a": ("success", 3, None, "full"), "b": ("failed", 0, "timeout", "full")}
+    marks = {r["source"] for r in R.watermarks(runs).collect()}
+    assert marks == {"a"}
+
+
 def test_null_uuids_are_all_logged(spark):
     rows = [("s", None, "data", None, "{}", f"e{i}", 1, i) for i in range(3)] + [("s", "u", "data", None, "{}", f"f{i}", 1, 9 - i) for i in range(3)]
     failures = spark.createDataFrame(rows, S.ERROR_LOG + ", seq bigint")
