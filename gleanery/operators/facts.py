@@ -156,7 +156,8 @@ def load_facts(
         F.when(F.col("fact").isNotNull() | (F.col("writes") > 1), now).alias("meta_update_date"),
     )
     columns = facts.columns
-    written = shaped.select(*columns)
+    # Several tables and logs of a run are derived from these rows: written once.
+    written = cut(shaped.select(*columns))
     changed = keyed.where("fact IS NOT NULL").select(F.col("uuid").alias("unique_id_sinp"))
     untouched = facts.join(changed, "unique_id_sinp", "left_anti").select(*columns)
     return Loaded(untouched.unionByName(written), written, grown_sources, grown_af, grown_ds)

@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from gleanery.operators import pages as P
-from gleanery.operators.dims import get_or_insert
+from gleanery.operators.dims import get_or_insert, insert_ignore
 from gleanery.operators.joins import join_lookup, spread_join
 from gleanery.operators.keys import assign_ids, number_by_id, running_total
 
@@ -79,3 +79,14 @@ def test_get_or_insert_takes_the_first_and_skips_missing_columns(spark):
     grown = get_or_insert(existing, wanted, "k", "id", ["seq"])
     assert {tuple(r) for r in grown.rows.collect()} == {(5, "a", "old"), (6, "b", "early")}
     assert [tuple(r) for r in grown.added.collect()] == [(6, "b", "early")]
+
+
+def test_insert_ignore(spark):
+    layout = "a int, b int, c string"
+    existing = spark.createDataFrame([(1, 1, "old")], layout)
+    wanted = [(1, 1, "new"), (2, 1, "z"), (2, 1, "y"), (None, 1, "n"), (None, 1, "n")]
+    got = insert_ignore(existing, spark.createDataFrame(wanted, layout), ["a", "b"])
+    # Keys with a null part never collide, as in a unique constraint.
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(
+        map(repr, [(2, 1, "y"), (None, 1, "n"), (None, 1, "n")])
+    )
