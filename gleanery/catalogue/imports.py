@@ -13,6 +13,7 @@ from gleanery.functions.text import clean_uuid, uuid_of
 from gleanery.operators import pages as P
 from gleanery.operators import runlog as R
 from gleanery.operators import split as SP
+from gleanery.operators.joins import join_lookup
 from gleanery.operators.lineage import cut, shared_folder
 from gleanery.operators.merge import delete_by_log, latest, upsert_data, upsert_metadata
 from gleanery.sources.snapshot import Store
@@ -62,7 +63,7 @@ def progress(spark: SparkSession, folder: str) -> DataFrame:
     run = F.concat(F.lit("src"), (F.col("user_id") % 5).cast("string")).alias("run")
     pages = e.groupBy(run, F.floor(F.col("event_id") / 100).alias("page")).agg(F.count(F.lit(1)).alias("size"))
     totals = pages.groupBy("run").agg(F.sum("size").alias("total"))
-    out = P.progress(pages.join(totals, "run"), "run", "page", "size", "total")
+    out = P.progress(join_lookup(pages, totals, ["run"], "inner"), "run", "page", "size", "total")
     return out.withColumn("percent", F.col("percent").cast("double"))
 
 

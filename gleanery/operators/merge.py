@@ -177,7 +177,7 @@ def upsert_metadata(state: DataFrame, batch: DataFrame) -> Merged:
     columns = state.columns
     firsts = latest(batch, [*key, "import_id"], "seq", "first")
     keyed = firsts.groupBy(*key).agg(
-        F.min(F.struct("import_id")).getField("import_id").alias("_first_import"),
+        F.min("import_id").alias("_first_import"),
         F.max_by(F.struct(*[c for c in columns if c not in key]), F.col("import_id")).alias("_doc"),
         F.min_by(F.struct("level", "type", "controler"), F.col("import_id")).alias("_kept"),
         F.count(F.lit(1)).alias("writes"),

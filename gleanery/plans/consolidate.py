@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from gleanery import schemas as S
 from gleanery.operators import facts as FA
 from gleanery.operators import metadata as M
+from gleanery.operators.joins import join_lookup
 from gleanery.operators.lineage import cut
 from gleanery.operators.lookups import CodeBook
 from gleanery.operators.merge import Merged, delete_by_log, upsert_data, upsert_metadata
@@ -241,7 +242,7 @@ def run_import(
         outcomes = outcomes.unionByName(counted(rows, name, n))
     if deletions is not None:
         runs = deletions.groupBy("source").agg(F.max("import_id").alias("import_id"))
-        removed = gone.drop("import_id").join(runs, "source")
+        removed = join_lookup(gone.select("source", "id_data"), runs, ["source"], "inner")
         outcomes = outcomes.unionByName(counted(removed, "data_count_delete"))
     return Report(out, run_counters(outcomes), failures, changes)
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gleanery import schemas as S
 from gleanery.functions import text
+from gleanery.operators.joins import join_lookup
 
 _LAYOUT = S.PAGE + ", page_no bigint, source string, import_id bigint"
 
@@ -47,7 +48,8 @@ def arrivals(pages: DataFrame, data_types: DataFrame | None = None, now=None) ->
     rows = pages.select(*keep, F.posexplode("items").alias("pos", "item"))
     if data_types is not None:
         types = data_types.select("source", F.col("data_type").alias("type"))
-        rows = rows.join(types, "source", "left")
+        # One source may send a third of all rows, so this join must not shuffle on it.
+        rows = join_lookup(rows, types, ["source"], "left")
     else:
         rows = rows.withColumn("type", F.lit(None).cast("string"))
     head = F.from_json(F.col("item"), "id_synthese string, id_perm_sinp string")
