@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from gleanery import schemas as S
 from gleanery.operators.merge import delete_by_log, upsert_data, upsert_metadata
