@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import decontaminate, sharding, topk
+from gleanery.llm import decontaminate, pieces, secrets, sharding, token_counts, topk
 from gleanery.llm.common import table
 
 #: 24 shards: 3 regions of 2 racks of 4.
@@ -15,6 +15,10 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_rows(table(spark, folder, "documents"), sharding.balanced(*LAYOUT))
 
 
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.round_trip(table(spark, folder, "documents"))
+
+
 def op4_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), k=5, every=50, scale=256)
 
@@ -23,5 +27,23 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"), n=10)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op4_exact_top_k, op6_decontamination)}
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"))
+
+
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.report(table(spark, folder, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_sharding,
+        op2_sentencepiece,
+        op4_exact_top_k,
+        op6_decontamination,
+        op7_token_counts,
+        op8_secret_scan,
+    )
+}
 SQL: dict[str, str] = {}
