@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import decontaminate, pieces, secrets, sharding, token_counts, topk
+from gleanery.llm import decontaminate, jaccard, pieces, secrets, sharding, token_counts, topk
 from gleanery.llm.common import table
 
 #: 24 shards: 3 regions of 2 racks of 4.
@@ -35,6 +35,10 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.report(table(spark, folder, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.link_components(table(spark, folder, "documents"), width=3, percent=90)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -44,6 +48,7 @@ QUERIES = {
         op6_decontamination,
         op7_token_counts,
         op8_secret_scan,
+        op10_jaccard_join,
     )
 }
 SQL: dict[str, str] = {}
