@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import decontaminate, jaccard, pieces, secrets, sharding, token_counts, topk
+from gleanery.llm import decontaminate, jaccard, langid, pieces, secrets, sharding, token_counts, topk
 from gleanery.llm.common import table
 
 #: 24 shards: 3 regions of 2 racks of 4.
@@ -19,6 +19,10 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.round_trip(table(spark, folder, "documents"))
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.report(table(spark, folder, "documents"))
+
+
 def op4_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), k=5, every=50, scale=256)
 
@@ -44,6 +48,7 @@ QUERIES = {
     for f in (
         op1_sharding,
         op2_sentencepiece,
+        op3_language_id,
         op4_exact_top_k,
         op6_decontamination,
         op7_token_counts,
