@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import decontaminate, jaccard, langid, pieces, secrets, sharding, token_counts, topk
+from gleanery.llm import decontaminate, htmltext, jaccard, langid, pieces, secrets, sharding, token_counts, topk
 from gleanery.llm.common import table
 
 #: 24 shards: 3 regions of 2 racks of 4.
@@ -39,6 +39,10 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.report(table(spark, folder, "documents"))
 
 
+def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return htmltext.report(table(spark, folder, "pages"))
+
+
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.link_components(table(spark, folder, "documents"), width=3, percent=90)
 
@@ -53,6 +57,7 @@ QUERIES = {
         op6_decontamination,
         op7_token_counts,
         op8_secret_scan,
+        op9_html_extraction,
         op10_jaccard_join,
     )
 }
