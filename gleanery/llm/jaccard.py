@@ -359,3 +359,19 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     linked = rows.where(F.col("size") > 0).join(least, "label").select("doc_id", F.col("size").alias("n_shingles"), F.col("least").alias("component_id"))
     alone = rows.where(F.col("size") == 0).select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
+
+
+#: Rows to be dropped that are broadcast; more are dropped by a shuffle.
+DROP_ROWS = 500_000
+
+
+def keep_one(docs: DataFrame, text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each component, the first in the order of the files; columns as given.
+
+    `docs` must be read from files: rows are told apart by their place there.
+    """
+    placed = docs.withColumn("_place", F.monotonically_increasing_id())
+    rows = link_components(placed, "_place", text, width, percent)
+    drop = written(rows.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_place")))
+    side = F.broadcast(drop) if drop.count() <= DROP_ROWS else drop
+    return placed.join(side, "_place", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import decontaminate, htmltext, jaccard, langid, pieces, secrets, sharding, token_counts, topk
+from gleanery.llm import chat, decontaminate, htmltext, jaccard, langid, pieces, secrets, sharding, token_counts, topk
 from gleanery.llm.common import table
 
 #: 24 shards: 3 regions of 2 racks of 4.
@@ -27,6 +27,10 @@ def op4_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), k=5, every=50, scale=256)
 
 
+def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.report(table(spark, folder, "conversations"))
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"), n=10)
 
@@ -54,6 +58,7 @@ QUERIES = {
         op2_sentencepiece,
         op3_language_id,
         op4_exact_top_k,
+        op5_chat_formatting,
         op6_decontamination,
         op7_token_counts,
         op8_secret_scan,
