@@ -9,6 +9,7 @@ from gleanery import schemas as S
 from gleanery.catalogue import sql as Q
 from gleanery.catalogue.views import Domain
 from gleanery.functions import documents as D
+from gleanery.functions import text as text_tables
 from gleanery.functions.text import clean_uuid, uuid_of
 from gleanery.operators import pages as P
 from gleanery.operators import runlog as R
@@ -318,9 +319,8 @@ QUERIES = {
 
 _U = Q.uuid_sql
 _EVENT_ITEM = """'{"id":' || event_id || ',"props":' || props || '}'"""
-_FOLD = "àâäéèêëîïôöùûüŷÿç~- "
-_FOLD_TO = "aaaeeeeiioouuuyyc___"
-_DROP = "&''([{|}])`^\\/+-=*°$£%§.?!;:<>"
+_FOLD, _FOLD_TO = text_tables.FOLDED, text_tables.FOLDED_TO
+_DROP = text_tables.REMOVED.replace("'", "''")
 
 _ITEMS = f"""items AS (SELECT 's' || (o_orderkey % 2) AS source, o_orderkey AS id_data, {_U("'o' || o_orderkey")} AS uuid,
     {_U("'a' || (o_custkey % 25)")} AS ca, {_U("'d' || o_custkey")} AS jdd, o_custkey, o_orderstatus, o_orderdate,

@@ -38,6 +38,10 @@ def clean_int(text: Column) -> Column:
     return text.try_cast("int")
 
 
+def clean_bigint(text: Column) -> Column:
+    return text.try_cast("bigint")
+
+
 def clean_date(text: Column) -> Column:
     """Day of a date or timestamp text; the time of day is dropped."""
     return F.coalesce(text.try_cast("date"), text.try_cast("timestamp_ntz").cast("date"))
@@ -47,7 +51,7 @@ def clean_bool(text: Column) -> Column:
     return text.try_cast("boolean")
 
 
-CLEANERS = {"int": clean_int, "uuid": clean_uuid, "date": clean_date, "bool": clean_bool}
+CLEANERS = {"int": clean_int, "bigint": clean_bigint, "uuid": clean_uuid, "date": clean_date, "bool": clean_bool}
 
 
 def clean(text: Column, kind: str) -> Column:

@@ -138,7 +138,7 @@ def load_facts(
     shaped = coded.withColumn("_points", points).select(
         F.col("uuid").alias("unique_id_sinp"),
         "id_source",
-        text.clean_int(F.col("doc.id_synthese")).cast("string").alias("entity_source_pk_value"),
+        text.clean_bigint(F.col("doc.id_synthese")).cast("string").alias("entity_source_pk_value"),
         "id_dataset",
         *[c.column for c in (*S.CODES, S.BIOGEO)],
         *plain,

@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder below the one the cluster names in `spark.checkpoint.dir`.
+    """A fresh folder below `spark.checkpoint.dir`, or below the session's checkpoint folder.
 
-    A temporary folder stands in only where none is set, as in a local test.
+    It must be one that all machines see, so on a cluster there is no default. A session
+    that runs on one machine only uses its warehouse where neither is set.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        root = tempfile.mkdtemp(prefix="gleanery-")
+        set_by_call = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if not set_by_call.isEmpty():
+            root = set_by_call.get()
+        elif spark.sparkContext.master.split("[")[0] == "local":
+            root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{root.rstrip('/')}/gleanery-{uuid.uuid4().hex}"
 
 

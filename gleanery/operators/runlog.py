@@ -81,8 +81,8 @@ def enabled_sources(sources: DataFrame) -> DataFrame:
     )
 
 
-def append_errors(error_log: DataFrame, failures: DataFrame) -> DataFrame:
-    """Add failures: the first one per source, controler, uuid and import.
+def new_errors(error_log: DataFrame, failures: DataFrame) -> DataFrame:
+    """Failures the log lacks: the first one per source, controler, uuid and import.
 
     `failures` has the columns of the log and `seq`. A null uuid cannot identify an
     earlier entry, so such failures are all kept.
@@ -95,10 +95,12 @@ def append_errors(error_log: DataFrame, failures: DataFrame) -> DataFrame:
         .select(*key, "_row.*")
         .join(error_log.select(*key), key, "left_anti")
     )
-    added = first.select(*error_log.columns).unionByName(
-        failures.where("uuid IS NULL").select(*error_log.columns)
-    )
-    return error_log.unionByName(added)
+    return first.select(*error_log.columns).unionByName(failures.where("uuid IS NULL").select(*error_log.columns))
+
+
+def append_errors(error_log: DataFrame, failures: DataFrame) -> DataFrame:
+    """The log with the failures it lacks."""
+    return error_log.unionByName(new_errors(error_log, failures))
 
 
 def run_counters(outcomes: DataFrame) -> DataFrame:
@@ -146,7 +148,8 @@ def purge_imports(
     wanted = purge.select(F.col("id").alias("import_id")).distinct()
     refused = None
     for table in raw_tables:
-        used = wanted.join(table.select("import_id"), "import_id", "left_semi")
+        # One run may hold most rows; its id is needed once only.
+        used = wanted.join(table.select("import_id").distinct(), "import_id", "left_semi")
         refused = used if refused is None else refused.unionByName(used)
     refused = wanted.limit(0) if refused is None else refused.distinct()
     gone = wanted.join(refused, "import_id", "left_anti")

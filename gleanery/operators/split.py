@@ -132,7 +132,7 @@ def first_error(item: Column) -> Column:
 
     checks = [message(key, kind) for _, key, kind in S.PLAIN if kind in text.CLEANERS]
     checks += [message(key, "uuid") for key in ("ca_uuid", "jdd_uuid")]
-    checks += [message(key, "int") for key in ("id_synthese", "cd_hab")]
+    checks += [message("id_synthese", "bigint"), message("cd_hab", "int")]
     wkt = item["wkt_4326"]
     checks.append(
         F.when(wkt.isNotNull() & ~geometry.is_supported(wkt), F.concat(F.lit("unsupported geometry: "), wkt))
@@ -156,3 +156,30 @@ def validate(arrivals: DataFrame) -> tuple[DataFrame, DataFrame]:
     parsed = arrivals.withColumn("_item", F.from_json(F.col("item"), S.ITEM_TEXT))
     checked = cut(parsed.select(*columns, F.coalesce(*error).alias("error")))
     return checked.where("error IS NULL").drop("error"), checked.where("error IS NOT NULL")
+
+
+# What a metadata document must be able to be cast to, by level.
+_DOCUMENT_CHECKS = {
+    S.LEVEL_FRAMEWORK: (("start_date", "date"), ("end_date", "date"), ("initial_closing_date", "date")),
+    S.LEVEL_DATASET: (("marine_domain", "bool"), ("terrestrial_domain", "bool")),
+}
+
+
+def validate_documents(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split metadata documents into storable ones and rejected ones (with an `error` text).
+
+    A document is rejected if one of its dates or booleans cannot be cast; each document is
+    in exactly one result.
+    """
+    keys = [key for checks in _DOCUMENT_CHECKS.values() for key, _ in checks]
+    opened = documents.withColumn("_doc", F.from_json("item", ", ".join(f"{key} string" for key in keys)))
+    error = F.lit(None).cast("string")
+    for level, checks in _DOCUMENT_CHECKS.items():
+        faults = []
+        for key, kind in checks:
+            value = F.col(f"_doc.{key}")
+            bad = value.isNotNull() & text.clean(value, kind).isNull()
+            faults.append(F.when(bad, F.concat(F.lit(f"invalid {kind} for {key}: "), value)))
+        error = F.when(F.col("level") == level, F.coalesce(*faults)).otherwise(error)
+    checked = cut(opened.withColumn("error", error).drop("_doc"))
+    return checked.where("error IS NULL").drop("error"), checked.where("error IS NOT NULL")

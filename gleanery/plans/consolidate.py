@@ -7,6 +7,7 @@ tables; the driver only chains them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -19,8 +20,8 @@ from gleanery.operators.joins import join_lookup
 from gleanery.operators.lineage import cut
 from gleanery.operators.lookups import CodeBook
 from gleanery.operators.merge import Merged, delete_by_log, upsert_data, upsert_metadata
-from gleanery.operators.runlog import append_errors, run_counters
-from gleanery.operators.split import first_documents, split_metadata, validate
+from gleanery.operators.runlog import new_errors, run_counters
+from gleanery.operators.split import first_documents, split_metadata, validate, validate_documents
 from gleanery.plans.loaders import register
 from gleanery.sources.snapshot import Store
 
@@ -43,6 +44,8 @@ class Report(NamedTuple):
     counters: DataFrame
     rejected: DataFrame
     changes: Changes
+    new_errors: DataFrame
+    log: DataFrame
 
 
 # Layouts of the tables a run works on.
@@ -50,6 +53,7 @@ LAYOUTS = {
     "data_json": S.DATA_JSON,
     "metadata_json": S.METADATA_JSON,
     "error_log": S.ERROR_LOG,
+    "import_log": S.IMPORT_LOG + ", seq bigint",
     "facts": FA.FACT,
     "sources": "id_source bigint, name_source string, additional_data string",
     "frameworks": (
@@ -91,6 +95,10 @@ LAYOUTS = {
 }
 
 
+# Tables that only grow: a run appends its rows. The import log holds the events of the runs.
+ADDED = ("error_log", "import_log")
+
+
 def empty_tables(spark, codes: DataFrame, areas: DataFrame) -> Tables:
     out = {name: spark.createDataFrame([], layout) for name, layout in LAYOUTS.items()}
     out["codes"], out["areas"] = codes, areas
@@ -180,12 +188,14 @@ def run_import(
     deletions: DataFrame | None = None,
     loader=load_star,
     keep_metadata_of_rejected: bool = True,
+    holders: DataFrame | None = None,
 ) -> Report:
     """Apply arrivals (and then deletions) of one or more runs to the tables.
 
     `arrivals` comes from `sources.landing.arrivals`; `deletions` has
     `source, id_data, import_id`. The inputs that several steps read are written once
-    to the checkpoint folder.
+    to the checkpoint folder. `holders` gives the uuids in use where the raw table is
+    only a part of the stored one.
     """
     out = dict(tables)
     slim, _ = split_metadata(arrivals)
@@ -197,11 +207,11 @@ def run_import(
         documents = first_documents(accepted, ["source", "import_id"])
     documents = documents.withColumn("controler", F.lit(S.CONTROLER_METADATA))
     nameless = documents.where("uuid IS NULL")
-    documents = documents.where("uuid IS NOT NULL")
+    documents, faulty = validate_documents(documents.where("uuid IS NOT NULL"))
 
     meta = upsert_metadata(tables["metadata_json"], documents)
     meta = Merged(meta.state, cut(meta.written), meta.rejected)
-    data = upsert_data(tables["data_json"], good)
+    data = upsert_data(tables["data_json"], good, holders=holders)
     data = Merged(data.state, cut(data.written), cut(data.rejected))
     out["metadata_json"] = meta.state
 
@@ -211,13 +221,14 @@ def run_import(
         kept, gone = data.state, data.state.limit(0)
     out["data_json"] = kept
 
-    failures = _failures(bad, "error").unionByName(
+    failures = _failures(bad, "error").unionByName(_failures(faulty, "error")).unionByName(
         _failures(data.rejected.withColumn("error", F.lit("uuid already held by another row")), "error")
     )
     failures = failures.unionByName(
         _failures(meta.rejected.withColumn("error", F.lit("uuid already held by another source")), "error")
     ).unionByName(_failures(nameless.withColumn("error", F.lit("document without uuid")), "error"))
-    out["error_log"] = append_errors(tables["error_log"], failures)
+    fresh = cut(new_errors(tables["error_log"], failures))
+    out["error_log"] = tables["error_log"].unionByName(fresh)
 
     changes = Changes(data.written, meta.written, gone, now)
     if loader is not None:
@@ -237,6 +248,7 @@ def run_import(
         (data.rejected, "data_count_errors", None),
         (meta.written, "metadata_count_upserts", "writes"),
         (meta.rejected, "metadata_count_errors", None),
+        (faulty, "metadata_count_errors", None),
         (nameless, "metadata_count_errors", None),
     ):
         outcomes = outcomes.unionByName(counted(rows, name, n))
@@ -244,18 +256,22 @@ def run_import(
         runs = deletions.groupBy("source").agg(F.max("import_id").alias("import_id"))
         removed = join_lookup(gone.select("source", "id_data"), runs, ["source"], "inner")
         outcomes = outcomes.unionByName(counted(removed, "data_count_delete"))
-    return Report(out, run_counters(outcomes), failures, changes)
+    log = fresh.sparkSession.createDataFrame([], LAYOUTS["import_log"])
+    return Report(out, run_counters(outcomes), failures, changes, fresh, log)
 
 
-def open_tables(store: Store, codes: DataFrame, areas: DataFrame) -> Tables:
-    """Tables of the newest version of a store."""
+def open_tables(store: Store, codes: DataFrame | None, areas: DataFrame | None, touched: DataFrame | None = None) -> Tables:
+    """Tables of the newest version of a store; of the raw table only the touched ranges, if given."""
     version = store.version()
-    out = {
-        name: store.read_ranged(name, layout, version=version)
-        if name in store.ranged_by
-        else store.read(name, layout, version)
-        for name, layout in LAYOUTS.items()
-    }
+    out = {}
+    for name, layout in LAYOUTS.items():
+        if name in store.ranged_by:
+            ranges = touched if name == "data_json" else None
+            out[name] = store.read_ranged(name, layout, ranges, version)
+        elif name in ADDED:
+            out[name] = store.read_added(name, layout, version)
+        else:
+            out[name] = store.read(name, layout, version)
     out["codes"], out["areas"] = codes, areas
     return out
 
@@ -263,24 +279,61 @@ def open_tables(store: Store, codes: DataFrame, areas: DataFrame) -> Tables:
 def save_run(store: Store, run_id: str, before: Tables, report: Report) -> int:
     """Write the tables of a run as the next version; a run already there is skipped.
 
-    Of the raw table and of the facts only the ranges with changed rows are written.
+    Of the raw table and of the facts only the ranges with changed rows are written, and
+    logs get their new rows. A table the run has not touched is left as it is.
     """
     if store.has_run(run_id):
         return store.version()
     changes = report.changes
     raw = cut(store.touched(changes.data, changes.deleted))
-    uuids = changes.data.select(F.col("uuid").alias("unique_id_sinp")).where("unique_id_sinp IS NOT NULL")
-    new = report.tables["facts"]
-    ids = ["id_source", "id_synthese"]
-    gone = before["facts"].select(*ids).join(new.select(*ids), ids, "left_anti")
-    changed = new.select("unique_id_sinp", *ids).join(uuids, "unique_id_sinp", "left_semi").select(*ids)
-    facts = cut(store.touched(changed, gone, name="facts"))
-    ranged = {
-        "data_json": (store.within(report.tables["data_json"], raw, "data_json"), raw),
-        "facts": (store.within(new, facts, "facts"), facts),
+    ranged = {"data_json": (store.within(report.tables["data_json"], raw, "data_json"), raw)}
+    if report.tables["facts"] is not before["facts"]:
+        uuids = changes.data.select(F.col("uuid").alias("unique_id_sinp")).where("unique_id_sinp IS NOT NULL")
+        new = report.tables["facts"]
+        ids = ["id_source", "id_synthese"]
+        gone = before["facts"].select(*ids).join(new.select(*ids), ids, "left_anti")
+        changed = new.select("unique_id_sinp", *ids).join(uuids, "unique_id_sinp", "left_semi").select(*ids)
+        facts = cut(store.touched(changed, gone, name="facts"))
+        ranged["facts"] = (store.within(new, facts, "facts"), facts)
+    whole = {
+        name: report.tables[name]
+        for name in LAYOUTS
+        if name not in store.ranged_by and name not in ADDED and report.tables[name] is not before[name]
     }
-    whole = {name: report.tables[name] for name in LAYOUTS if name not in ranged}
-    return store.write(run_id, whole, ranged)
+    return store.write(run_id, whole, ranged, {"error_log": report.new_errors, "import_log": report.log})
+
+
+def import_into_store(
+    store: Store,
+    run_id: str,
+    arrivals: DataFrame,
+    now,
+    codes: DataFrame | None = None,
+    areas: DataFrame | None = None,
+    deletions: DataFrame | None = None,
+    loader=load_star,
+    log: Callable[[DataFrame], DataFrame] | None = None,
+) -> Report | None:
+    """Import arrivals into a store as one run; None if the run is there already.
+
+    Raw rows are read and rewritten only in the ranges that the arrivals and deletions
+    fall into; holders of their uuids are looked up in the whole table by that column
+    alone. Every arrival is stored, superseded or in the error log. `log` makes the
+    events for the import log from the counters.
+    """
+    if store.has_run(run_id):
+        return None
+    rows = cut(arrivals)
+    named = rows.where("id_data IS NOT NULL").select("source", "id_data")
+    touched = cut(store.touched(named, *([deletions] if deletions is not None else [])))
+    tables = open_tables(store, codes, areas, touched)
+    wanted = rows.where("uuid IS NOT NULL").select("uuid").distinct()
+    everyone = store.read_ranged("data_json", S.DATA_JSON).select("uuid")
+    report = run_import(tables, rows, now, deletions, loader, holders=everyone.join(wanted, "uuid", "left_semi"))
+    if log is not None:
+        report = report._replace(log=log(report.counters))
+    save_run(store, run_id, tables, report)
+    return report
 
 
 def _failures(rows: DataFrame, error: str) -> DataFrame:

@@ -19,7 +19,13 @@ _LAYOUT = S.PAGE + ", page_no bigint, source string, import_id bigint"
 
 def _with_page_no(df: DataFrame) -> DataFrame:
     digits = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\.json$", 1)
-    return df.withColumn("page_no", F.coalesce("page_no", digits.try_cast("bigint")))
+    moment = F.col("_metadata.file_modification_time").cast("string")
+    return df.withColumns(
+        {
+            "page_no": F.coalesce("page_no", digits.try_cast("bigint")),
+            "file": F.concat_ws("@", "_metadata.file_path", moment),
+        }
+    )
 
 
 def read_pages(spark: SparkSession, folder: str, multi_line: bool = False) -> DataFrame:
@@ -41,11 +47,16 @@ def stream_pages(
 def arrivals(pages: DataFrame, data_types: DataFrame | None = None, now=None) -> DataFrame:
     """Elements of pages as raw rows with their order of arrival.
 
+    The order is that of runs and page numbers; pages of one number, as in files whose
+    names end in no page number, follow in the order of files and lines.
+
     `data_types` (`source, data_type`) gives the record type of each source.
     Columns: those of `schemas.DATA_JSON`, `seq` and the uuid text as delivered.
     """
-    keep = ["source", "import_id", "page_no"]
-    rows = pages.select(*keep, F.posexplode("items").alias("pos", "item"))
+    if "file" not in pages.columns:
+        pages = pages.withColumn("file", F.lit(""))
+    pages = pages.withColumn("line", F.monotonically_increasing_id())
+    rows = pages.select("source", "import_id", "page_no", "file", "line", F.posexplode("items").alias("pos", "item"))
     if data_types is not None:
         types = data_types.select("source", F.col("data_type").alias("type"))
         # One source may send a third of all rows, so this join must not shuffle on it.
@@ -65,7 +76,7 @@ def arrivals(pages: DataFrame, data_types: DataFrame | None = None, now=None) ->
             "item",
             (F.lit(now) if now is not None else F.current_timestamp()).cast("timestamp_ntz").alias("update_ts"),
             "import_id",
-            F.struct("import_id", "page_no", "pos").alias("seq"),
+            F.struct("import_id", "page_no", "file", "line", "pos").alias("seq"),
             F.col("_head.id_perm_sinp").alias("_raw_uuid"),
         )
     )

@@ -1,26 +1,31 @@
 """Versioned Parquet tables of one consolidated store.
 
-Every table is a Parquet folder partitioned by `version`. A run writes all its
-tables under the next version number and then appends that number to the list of
-versions; readers follow the newest number in the list, so the tables of a run
-appear together or not at all, and a run that died half-way is simply written again.
+A run writes its tables into folders of its own (`<table>/commit=<token>`, the token is
+new for every attempt) and then appends one commit record: version, run, token, and
+which folder holds each table that is written whole. The record is a single file that
+appears at once, and readers follow records only. So the tables of a run appear together
+or not at all, and what a run that died has left is never read.
 
-Small tables are written whole each time. The raw table is split by source and by
+Small tables are written whole. The raw table and the facts are split by source and by
 range of ids (`id_data div ids_per_range`): a range holds a bounded number of rows
 whatever the source, and an update, which mostly touches recent ids, rewrites few of
-them. A list of ranges tells which version holds the live rows of each range.
+them. The live folder of a range is that of the newest commit that lists it. Logs only
+grow, so a run appends its rows to them.
 """
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.operators.joins import small_side
 
 RANGE = ["p_source", "p_range"]
-_VERSIONS = "version bigint, run_id string"
-_RANGES = "version bigint, name string, p_source string, p_range bigint"
+_COMMITS = "version bigint, run_id string, token string, whole map<string,string>, added array<string>"
+_RANGES = "token string, name string, p_source string, p_range bigint"
 
 
 class Store:
@@ -34,33 +39,56 @@ class Store:
         self.ranged_by = {"data_json": ("source", "id_data"), "facts": ("id_source", "id_synthese")}
         self.root = root.rstrip("/")
         self._ids_per_range = ids_per_range
-        # Both lists get one small row set per run.
-        self._append(spark.createDataFrame([], _VERSIONS), "versions")
-        self._append(spark.createDataFrame([], _RANGES), "ranges")
 
     def _append(self, rows: DataFrame, name: str) -> None:
         rows.coalesce(1).write.mode("append").json(f"{self.root}/{name}")
 
     def _list(self, name: str, schema: str) -> DataFrame:
-        return self._spark.read.schema(schema).json(f"{self.root}/{name}")
+        """One of the lists; it is there from the first commit on."""
+        try:
+            return self._spark.read.schema(schema).json(f"{self.root}/{name}")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self._spark.createDataFrame([], schema)
 
     # --------------------------------------------------------------- reading
+    def _commits(self, version: int | None = None) -> DataFrame:
+        commits = self._list("commits", _COMMITS)
+        return commits if version is None else commits.where(F.col("version") <= version)
+
     def version(self) -> int:
-        return self._list("versions", _VERSIONS).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+        return self._commits().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
 
     def has_run(self, run_id: str) -> bool:
-        return not self._list("versions", _VERSIONS).where(F.col("run_id") == run_id).isEmpty()
+        return not self._commits().where(F.col("run_id") == run_id).isEmpty()
+
+    def _whole(self, version: int) -> dict[str, str]:
+        """Folder of every whole table as of a version."""
+        last = self._commits().where(F.col("version") == version).first()
+        return dict(last["whole"] or {}) if last else {}
 
     def read(self, name: str, schema: str, version: int | None = None) -> DataFrame:
-        """A table that is written whole."""
+        """A table that is written whole; empty until a run has written it."""
+        token = self._whole(self.version() if version is None else version).get(name)
+        if token is None:
+            return self._spark.createDataFrame([], schema)
+        return self._spark.read.schema(schema).parquet(f"{self.root}/{name}/commit={token}")
+
+    def read_added(self, name: str, schema: str, version: int | None = None) -> DataFrame:
+        """A table to which runs append: the rows of all committed runs."""
         version = self.version() if version is None else version
-        if version == 0:
+        commits = self._commits(version).where(F.array_contains("added", name))
+        if commits.isEmpty():
             return self._spark.createDataFrame([], schema)
-        return self._spark.read.schema(schema).parquet(f"{self.root}/{name}/version={version}")
+        table = self._spark.read.schema(f"{schema}, commit string").parquet(f"{self.root}/{name}")
+        live = commits.select(F.col("token").alias("commit"))
+        return table.join(small_side(live), "commit", "left_semi").drop("commit")
 
     def _live_ranges(self, name: str, version: int) -> DataFrame:
-        rows = self._list("ranges", _RANGES).where((F.col("name") == name) & (F.col("version") <= version))
-        return rows.groupBy(*RANGE).agg(F.max("version").alias("version"))
+        commits = self._commits(version).select("version", "token")
+        rows = self._list("ranges", _RANGES).where(F.col("name") == name).join(F.broadcast(commits), "token")
+        return rows.groupBy(*RANGE).agg(F.max_by("token", "version").alias("commit"))
 
     def read_ranged(
         self, name: str, schema: str, touched: DataFrame | None = None, version: int | None = None
@@ -76,10 +104,10 @@ class Store:
             return self._spark.createDataFrame([], schema)
         if touched is not None:
             live = live.join(touched, RANGE, "left_semi")
-        parts = f"{schema}, version bigint, p_source string, p_range bigint"
+        parts = f"{schema}, commit string, p_source string, p_range bigint"
         columns = self._spark.createDataFrame([], schema).columns
         table = self._spark.read.schema(parts).parquet(f"{self.root}/{name}")
-        return table.join(small_side(live), ["version", *RANGE]).select(*columns)
+        return table.join(small_side(live), ["commit", *RANGE]).select(*columns)
 
     def range_of(self, name: str) -> list[Column]:
         source, number = self.ranged_by[name]
@@ -105,25 +133,25 @@ class Store:
         run_id: str,
         whole: dict[str, DataFrame],
         ranged: dict[str, tuple[DataFrame, DataFrame]] | None = None,
+        added: dict[str, DataFrame] | None = None,
     ) -> int:
         """Write the next version and return its number.
 
         `whole` tables replace their predecessors. `ranged` ones give the new rows of
         some ranges and the list of these ranges; all other ranges stay as they are.
+        `added` rows are appended to their tables.
         """
-        version = self.version() + 1
-        for name, df in whole.items():
-            df.write.mode("overwrite").parquet(f"{self.root}/{name}/version={version}")
+        version = self.version()
+        token = uuid.uuid4().hex
+        for name, df in (whole | (added or {})).items():
+            df.write.parquet(f"{self.root}/{name}/commit={token}")
         for name, (df, touched) in (ranged or {}).items():
             split = df.select("*", *self.range_of(name))
             # The rows of one range meet in one task; their number is bounded.
-            split.repartition(*RANGE).write.mode("overwrite").partitionBy(*RANGE).parquet(
-                f"{self.root}/{name}/version={version}"
-            )
-            listed = touched.select(
-                F.lit(version).cast("bigint").alias("version"), F.lit(name).alias("name"), *RANGE
-            )
+            split.repartition(*RANGE).write.partitionBy(*RANGE).parquet(f"{self.root}/{name}/commit={token}")
+            listed = touched.select(F.lit(token).alias("token"), F.lit(name).alias("name"), *RANGE)
             self._append(listed, "ranges")
-        done = self._spark.createDataFrame([(version, run_id)], _VERSIONS)
-        self._append(done, "versions")
-        return version
+        folders = self._whole(version) | dict.fromkeys(whole, token)
+        record = (version + 1, run_id, token, folders, sorted(added or {}))
+        self._append(self._spark.createDataFrame([record], _COMMITS), "commits")
+        return version + 1

@@ -7,48 +7,48 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from gleanery import schemas as S
-from gleanery.operators.lineage import cut
-from gleanery.operators.merge import upsert_data
+from pyspark.sql import functions as F
+
+from gleanery.plans.consolidate import import_into_store
 from gleanery.sources.landing import arrivals, stream_pages
 from gleanery.sources.snapshot import Store
 
 
-def upsert_into_store(store: Store, run_id: str, batch: DataFrame) -> None:
-    """Merge raw rows into the stored ranges they touch; a repeated run does nothing.
+def upsert_into_store(store: Store, run_id: str, batch: DataFrame, now=None, **options) -> None:
+    """Import a batch of arrivals as one run; a repeated run does nothing.
 
-    Holders of a uuid are looked up in the whole table by that column alone; rows are
-    read and rewritten only in the touched ranges.
+    The batch goes through the whole import: documents are split off, values are checked,
+    and what cannot be stored is in the error log. Give `codes`, `areas` and a `loader`
+    to load the star schema as well.
     """
-    if store.has_run(run_id):
-        return
-    rows = cut(batch)
-    touched = cut(store.touched(rows))
-    state = store.read_ranged("data_json", S.DATA_JSON, touched)
-    # Rows outside the touched ranges only matter as holders of a uuid.
-    everyone = store.read_ranged("data_json", S.DATA_JSON)
-    wanted = rows.where("uuid IS NOT NULL").select("uuid").distinct()
-    merged = upsert_data(state, rows, holders=everyone.select("uuid").join(wanted, "uuid", "left_semi"))
-    store.write(run_id, {}, {"data_json": (merged.state, touched)})
+    moment = now if now is not None else F.current_timestamp().cast("timestamp_ntz")
+    import_into_store(store, run_id, batch, moment, **({"loader": None} | options))
+
+
+def batch_name(pages: DataFrame) -> str:
+    """Name of a batch by the files it holds, whatever checkpoint or folder it came through."""
+    files = pages.select("file").distinct()
+    count, total = files.agg(F.count("*"), F.sum(F.xxhash64("file").cast("decimal(20,0)"))).first()
+    return f"{count}-{total or 0}"
 
 
 def poll(
     spark: SparkSession,
     folder: str,
     checkpoint: str,
-    on_batch: Callable[[DataFrame, int], None],
+    on_batch: Callable[[DataFrame, str], None],
     data_types: DataFrame | None = None,
     files_per_batch: int = 1000,
     now=None,
 ) -> StreamingQuery:
     """Hand the arrivals of newly landed pages to `on_batch`, until none is left.
 
-    A batch can come twice after a failure, so `on_batch` must be idempotent; an
-    upsert is.
+    A batch can come twice after a failure, under the same name, so `on_batch` must be
+    idempotent; an upsert is.
     """
 
     def handle(pages: DataFrame, batch_id: int) -> None:
-        on_batch(arrivals(pages, data_types, now), batch_id)
+        on_batch(arrivals(pages, data_types, now), batch_name(pages))
 
     return (
         stream_pages(spark, folder, files_per_batch)
@@ -60,11 +60,17 @@ def poll(
 
 
 def poll_into_store(
-    spark: SparkSession, folder: str, checkpoint: str, store: Store, name: str = "poll", **options
+    spark: SparkSession,
+    folder: str,
+    checkpoint: str,
+    store: Store,
+    name: str = "poll",
+    imports: dict | None = None,
+    **options,
 ) -> StreamingQuery:
-    """Keep a store up to date with a landing folder."""
+    """Keep a store up to date with a landing folder; `imports` goes to `upsert_into_store`."""
 
-    def merge(rows: DataFrame, batch_id: int) -> None:
-        upsert_into_store(store, f"{name}-{batch_id}", rows.drop("_raw_uuid"))
+    def merge(rows: DataFrame, batch: str) -> None:
+        upsert_into_store(store, f"{name}-{batch}", rows, **(imports or {}))
 
     return poll(spark, folder, checkpoint, merge, **options)
