@@ -6,15 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Three hexadecimal digits: never more than 4096 groups, evenly filled.
-_DIGITS = 3
+# Four hexadecimal digits: at most 65 536 groups, evenly filled, whose sizes one task can add up.
+_DIGITS = 4
+# More blocks of ids than this are not added up in one task.
+_MOST_BLOCKS = 1 << 16
 
 
 def assign_ids(new: DataFrame, key: Column, id_column: str, taken: DataFrame | None = None) -> DataFrame:
     """Number new rows from `max(id) + 1`, in the order of the digest of their key.
 
     The key is unique, so digest prefixes split the rows evenly whatever the key
-    looks like; only the (at most 4096) group sizes meet in one task. The same rows
+    looks like; only the group sizes, of a bounded number, meet in one task. The same rows
     always get the same numbers. `taken` holds the ids in use, in its first column.
     """
     rows = new.withColumn("_digest", F.md5(key.cast("string"))).withColumn(
@@ -60,8 +62,14 @@ def running_total(
 def number_by_id(df: DataFrame, id_column: str, out: str, block: int = 1_000_000) -> DataFrame:
     """1-based position of each row in the order of a unique integer id.
 
-    A block covers `block` consecutive ids, hence at most `block` rows.
+    A block covers `block` consecutive ids, hence at most `block` rows. Ids that are
+    spread over too many blocks are sorted instead.
     """
+    low, high = df.agg(F.min(id_column), F.max(id_column)).first()
+    if low is not None and (high - low) // block >= _MOST_BLOCKS:
+        from gleanery.operators.pages import number_by_order
+
+        return number_by_order(df, [id_column], out)
     rows = df.withColumn("_block", F.floor(F.col(id_column) / F.lit(block)))
     sizes = rows.groupBy("_block").agg(F.count(F.lit(1)).alias("_size"))
     before = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)

@@ -11,7 +11,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.operators.joins import small_side
+from gleanery.operators.joins import join_lookup, small_side
 from gleanery.operators.lineage import cut
 
 _SEP = "\u0001"
@@ -140,4 +140,4 @@ def area_ids(df: DataFrame, areas: DataFrame, type_code: Column, area_code: Colu
         F.min("id_area").alias(out)
     )
     wanted = df.select("*", type_code.alias("_type"), area_code.alias("_area"))
-    return wanted.join(small_side(side), ["_type", "_area"], "left").drop("_type", "_area")
+    return join_lookup(wanted, side, ["_type", "_area"], "left").drop("_type", "_area")

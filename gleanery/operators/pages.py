@@ -12,9 +12,23 @@ from gleanery.operators.lineage import cut
 _CHUNK = 10_000
 
 
-def page_plan(totals: DataFrame, total: str, limit: int | str, param: str = "offset") -> DataFrame:
+def query_string(parameters: dict[str, object]) -> Column:
+    """URL-encoded parameters; a list repeats its parameter, a null leaves it out."""
+    parts = []
+    for name, value in parameters.items():
+        for one in value if isinstance(value, (list, tuple)) else [value]:
+            text = (one if isinstance(one, Column) else F.lit(one)).cast("string")
+            parts.append(F.concat(F.url_encode(F.lit(name)), F.lit("="), F.url_encode(text)))
+    return F.concat_ws("&", *parts)
+
+
+def page_plan(
+    totals: DataFrame, total: str, limit: int | str, param: str = "offset", parameters: dict[str, object] | None = None
+) -> DataFrame:
     """One row per page to fetch: ceil(total / limit) pages, none for an empty result.
 
+    `parameters` are further ones of the query (order, filters).
+
     Pages count from 0 for `offset` and from 1 for `page`. A long plan is opened in
     chunks, so that no row holds it whole.
     """
@@ -28,7 +42,7 @@ def page_plan(totals: DataFrame, total: str, limit: int | str, param: str = "off
     stop = F.least(start + _CHUNK, F.col("_pages")) - 1
     numbered = chunks.withColumn("page", F.explode(F.sequence(start + first, stop + first)))
     return numbered.withColumn(
-        "query", F.concat(F.lit("limit="), size.cast("string"), F.lit(f"&{param}="), F.col("page").cast("string"))
+        "query", query_string({"limit": size, param: F.col("page")} | (parameters or {}))
     ).drop("_pages", "_chunk")
 
 

@@ -310,16 +310,13 @@ def export_flat(t: Tables, book: CodeBook | None = None, ordered: bool = True) -
     """
     book = book or CodeBook(t.codes)
     rows, columns = _observations(t, book)
-    dims = (
-        t.datasets.select("id_dataset", "unique_dataset_id", "dataset_name", "id_acquisition_framework")
-        .join(
-            t.frameworks.select(
-                "id_acquisition_framework", "unique_acquisition_framework_id", "acquisition_framework_name"
-            ),
-            "id_acquisition_framework",
-        )
-        .join(flat_actors(t, book), "id_dataset")
-    )
+    # Few frameworks own all datasets, so this join must not shuffle on them.
+    dims = join_lookup(
+        t.datasets.select("id_dataset", "unique_dataset_id", "dataset_name", "id_acquisition_framework"),
+        t.frameworks.select("id_acquisition_framework", "unique_acquisition_framework_id", "acquisition_framework_name"),
+        ["id_acquisition_framework"],
+        "inner",
+    ).join(flat_actors(t, book), "id_dataset")
     # Actor lists have no size bound, so this side is never broadcast.
     out = spread_join(rows, dims, ["id_dataset"], "inner", spread_by=["id_synthese"], counted_in=t.facts).select(
         *columns,
@@ -349,7 +346,11 @@ def export_with_metadata(t: Tables, book: CodeBook | None = None, fanout: bool =
         rows = area_attachment(rows, t.areas)
     else:
         rows = rows.withColumn("area_attachment", F.lit(None).cast("string"))
-    docs = dataset_docs(t, book, fanout).join(framework_docs(t, book), "id_acquisition_framework")
+    # Few frameworks own all datasets, and their documents are never broadcast.
+    docs = spread_join(
+        dataset_docs(t, book, fanout), framework_docs(t, book), ["id_acquisition_framework"], "inner",
+        spread_by=["id_dataset"], counted_in=t.datasets,
+    )
     # Documents have no size bound, so this side is never broadcast.
     out = spread_join(rows, docs, ["id_dataset"], "inner", spread_by=["id_synthese"], counted_in=t.facts).select(
         *columns, "area_attachment", "jdd_data", "ca_data"

@@ -90,3 +90,16 @@ def test_insert_ignore(spark):
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(
         map(repr, [(2, 1, "y"), (None, 1, "n"), (None, 1, "n")])
     )
+
+
+def test_sparse_ids_are_numbered_without_blocks(spark):
+    ids = [n * 10**12 + 7 for n in range(-20, 80)]
+    df = spark.createDataFrame([(i,) for i in ids], "id bigint")
+    got = {r["id"]: r["n"] for r in number_by_id(df, "id", "n").collect()}
+    assert got == {i: n + 1 for n, i in enumerate(ids)}
+
+
+def test_query_strings_are_encoded_and_repeat(spark):
+    totals = spark.createDataFrame([(2,)], "total bigint")
+    plan = P.page_plan(totals, "total", 2, parameters={"orderby": "id_synthese", "f": ["a b", "é&"], "none": None})
+    assert plan.first()["query"] == "limit=2&offset=0&orderby=id_synthese&f=a+b&f=%C3%A9%26"
