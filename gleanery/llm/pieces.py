@@ -2,9 +2,10 @@
 
 The distinct words of a batch of rows are searched together, words of one length at a time:
 all of them advance by one character per step. Rolling hashes of their substrings probe the
-sorted piece hashes of that length, the best start is a vectorised maximum over the starts,
-and the starts are stored as backpointers. What the backpointers spell is compared with the word,
-so a colliding hash cannot change a result. The words' pieces are then gathered into the rows.
+sorted piece hashes of that length (a table of bits by hash spares most probes), the best start is a
+vectorised maximum over the starts, and the starts are stored as backpointers. What the
+backpointers spell is compared with the word, so a colliding hash cannot change a result. The words'
+pieces are then gathered into the rows; a task keeps those of `KEPT_WORDS` words at most.
 
 Defined results: a null text has null pieces and decodes to null, an empty one no pieces.
 Decoding gives back the text, except that a U+2581 in it comes back as a space. Ids outside
@@ -14,9 +15,11 @@ the vocabulary and control pieces decode to nothing, bytes that are no UTF-8 to
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,8 +29,10 @@ from gleanery.llm.common import picked
 from gleanery.llm.vocabulary import SPACE, Vocabulary
 
 #: Characters of the words that are searched at once, and of the text taken together.
-CELLS = 1 << 19
-TEXT = 8 << 20
+CELLS = 1 << 18
+TEXT = 1 << 21
+KEPT_WORDS = 150_000
+_SEEN_BITS = np.uint64((1 << 18) - 1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNKNOWN = -1
 
@@ -44,10 +49,17 @@ class Encoder:
         self.power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(self.longest, _BASE)]), dtype=np.uint64)
         self.tables = {}
         for size, ids in lengths.items():
-            hashes = _prefixes(_matrix([vocab.pieces[i] for i in ids], size))[:, size]
+            hashes = _prefixes(_matrix([vocab.pieces[i] for i in ids], size))[size]
             order = np.argsort(hashes, kind="stable")
             ids = np.array(ids)[order]
-            self.tables[size] = hashes[order], ids, np.array(vocab.scores)[ids]
+            seen = np.zeros(int(_SEEN_BITS) + 1, bool)
+            seen[_bits(hashes)] = True
+            self.tables[size] = seen, hashes[order], ids, np.array(vocab.scores)[ids]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.flat, self.first, self.counts = (np.empty(0, np.int64) for _ in range(3))
 
     def words(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all words in a row, with the first place and the number of each word's."""
@@ -72,65 +84,62 @@ class Encoder:
         """Ids and their number for words of one length."""
         chars = _matrix(same, size)
         sums, n = _prefixes(chars), len(same)
-        best = np.zeros((size + 1, n))
+        best = np.full((size + 1, n), -np.inf)
+        best[0] = 0
         start = np.zeros((size + 1, n), np.int32)
-        piece = np.zeros((size + 1, n), np.int64)
-        column = np.arange(n)
+        piece = np.full((size + 1, n), _UNKNOWN, np.int32)
         for end in range(1, size + 1):
-            starts = range(max(0, end - self.longest), end)
-            scores = np.full((len(starts), n), -np.inf)
-            ids = np.full((len(starts), n), _UNKNOWN)
-            for k, begin in enumerate(starts):
-                if (entry := self.tables.get(end - begin)) is not None:
-                    hashes, own, score = entry
-                    probe = sums[:, end] - sums[:, begin] * self.power[end - begin]
-                    place = np.minimum(np.searchsorted(hashes, probe), len(hashes) - 1)
-                    hit = hashes[place] == probe
-                    scores[k, hit] = best[begin, hit] + score[place[hit]]
-                    ids[k, hit] = own[place[hit]]
-            alone = ids[-1] == _UNKNOWN
-            scores[-1, alone] = best[end - 1, alone] + self.vocab.unknown_score
-            k = scores.argmax(0)  # the first of equals: the earliest start
-            best[end], start[end], piece[end] = scores[k, column], starts[0] + k, ids[k, column]
-        return self._spell(same, size, start, piece)
-
-    def _spell(self, same: list[str], size: int, start: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            alone = np.ones(n, bool)
+            for begin in range(max(0, end - self.longest), end):
+                if (entry := self.tables.get(end - begin)) is None:
+                    continue
+                seen, hashes, own, score = entry
+                probe = sums[end] - sums[begin] * self.power[end - begin]
+                at = np.flatnonzero(seen[_bits(probe)])
+                place = np.minimum(np.searchsorted(hashes, probe[at]), len(hashes) - 1)
+                hit = hashes[place] == probe[at]
+                at, place = at[hit], place[hit]
+                if begin == end - 1:
+                    alone[at] = False
+                total = best[begin, at] + score[place]
+                better = total > best[end, at]  # an equal one has an earlier start and stays
+                at, place = at[better], place[better]
+                best[end, at], start[end, at], piece[end, at] = total[better], begin, own[place]
+            total = best[end - 1] + self.vocab.unknown_score
+            worse = np.flatnonzero(alone & (total > best[end]))
+            best[end, worse], start[end, worse], piece[end, worse] = total[worse], end - 1, _UNKNOWN
+        return self._spell(same, chars, start, piece)
+
+    def _spell(self, same: list[str], chars: np.ndarray, start: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Follow the backpointers of all words together, then write unknowns as bytes."""
-        n = len(same)
+        n, size = chars.shape
         at, column = np.full(n, size), np.arange(n)
-        steps, used = [], []
-        while (on := at > 0).any():
-            steps.append(np.where(on, piece[at, column], 0))
-            used.append(on)
-            at = np.where(on, start[at, column], 0)
-        ids, used = np.array(steps[::-1]).T, np.array(used[::-1]).T
-        lengths = used.sum(1)
-        flat = ids[used]
-        odd = np.zeros(n, bool)
-        odd[np.repeat(column, lengths)[flat == _UNKNOWN]] = True
-        pieces = self.vocab.pieces
-        ends = np.cumsum(lengths)
-        text = "".join([pieces[i] for i in flat.tolist()])
-        if not odd.any() and text == "".join(same):
-            return flat, lengths
-        out = []
-        for i, w in enumerate(same):
-            own = flat[ends[i] - lengths[i] : ends[i]].tolist()
-            if odd[i] or "".join([pieces[x] for x in own]) != w:
-                own = self._one(w, own)
-            out.append(own)
-        return np.array([x for own in out for x in own], np.int64), np.array([len(own) for own in out])
-
-    def _one(self, word: str, ids: list[int]) -> list[int]:
-        """One word with unknown characters, or whose hashes collided (then searched by its substrings)."""
-        pieces, at, out = self.vocab.pieces, 0, []
-        for i in ids:
-            text = word[at] if i == _UNKNOWN else pieces[i]
-            if word[at : at + len(text)] != text:
-                return self._one(word, self._plain(word))
-            out += [self.vocab.bytes_from[b] for b in text.encode()] if i == _UNKNOWN else [i]
-            at += len(text)
-        return out
+        ids, starts = np.zeros((size, n), np.int32), np.zeros((size, n), np.int32)
+        used = np.zeros((size, n), bool)
+        for step in range(size - 1, -1, -1):
+            on = column[at[column] > 0] if step < size - 1 else column
+            if not len(on):
+                break
+            ids[step, on], starts[step, on], used[step, on] = piece[at[on], on], start[at[on], on], True
+            at[on] = start[at[on], on]
+            column = on
+        rows, steps = np.nonzero(used.T)
+        flat, place = ids[steps, rows].astype(np.int64), starts[steps, rows]
+        odd = np.flatnonzero(flat == _UNKNOWN)
+        spelled = [self.vocab.pieces[i] for i in flat.tolist()]
+        for k in odd.tolist():
+            spelled[k] = same[rows[k]][place[k]]
+        if "".join(spelled) != "".join(same):  # a hash collided: search these words by their substrings
+            found = [self._plain(w) for w in same]
+            return np.array([i for own in found for i in own], np.int64), np.array([len(own) for own in found])
+        if not len(odd):
+            return flat, used.sum(0)
+        written = [[self.vocab.bytes_from[b] for b in spelled[k].encode("utf-8", "surrogatepass")] for k in odd.tolist()]
+        times = np.ones(len(flat), np.int64)
+        times[odd] = [len(w) for w in written]
+        out, owners = np.repeat(flat, times), np.repeat(rows, times)
+        out[out == _UNKNOWN] = [b for w in written for b in w]
+        return out, np.bincount(owners, minlength=n)
 
     def _plain(self, word: str) -> list[int]:
         known = {self.vocab.pieces[i]: i for i in self.vocab.matched}
@@ -146,21 +155,26 @@ class Encoder:
             back.append(top[1:])
         out, at = [], len(word)
         while at:
-            out.append(back[at][1])
-            at = back[at][0]
+            begin, i = back[at]
+            out += [i] if i != _UNKNOWN else [self.vocab.bytes_from[b] for b in word[begin].encode("utf-8", "surrogatepass")][::-1]
+            at = begin
         return out[::-1]
 
     def texts(self, texts: list[str | None]) -> pa.Array:
-        index: dict[str, int] = {}
+        if len(self.index) > KEPT_WORDS:
+            self._forget()
+        index, known = self.index, len(self.index)
         per_row, numbers = [], []
         for text in texts:
             own = vocabulary.words(text)
             per_row.append(len(own))
             numbers += [index.setdefault(w, len(index)) for w in own]
-        flat, first, counts = self.words(list(index))
+        flat, first, counts = self.words(list(islice(index, known, None)))
+        self.first = np.concatenate([self.first, first + len(self.flat)])
+        self.flat, self.counts = np.concatenate([self.flat, flat]), np.concatenate([self.counts, counts])
         number = np.array(numbers, np.int64)
-        lengths = counts[number]
-        ids = flat[_ranges(first[number], lengths)].astype(np.int32)
+        lengths = self.counts[number]
+        ids = self.flat[_ranges(self.first[number], lengths)].astype(np.int32)
         word_ends = np.concatenate([[0], np.cumsum(lengths)])
         offsets = word_ends[np.concatenate([[0], np.cumsum(per_row)])].astype(np.int32)
         null = pa.array([t is None for t in texts], pa.bool_())
@@ -172,12 +186,18 @@ def _matrix(same: list[str], size: int) -> np.ndarray:
 
 
 def _prefixes(chars: np.ndarray) -> np.ndarray:
-    out = np.zeros((chars.shape[0], chars.shape[1] + 1), np.uint64)
-    for i in range(chars.shape[1]):
-        out[:, i + 1] = out[:, i] * _BASE + chars[:, i]
+    """Rolling hashes of the first 0, 1, ... characters of every word."""
+    columns = np.ascontiguousarray(chars.T)
+    out = np.zeros((len(columns) + 1, chars.shape[0]), np.uint64)
+    for i, column in enumerate(columns):
+        out[i + 1] = out[i] * _BASE + column
     return out
 
 
+def _bits(hashes: np.ndarray) -> np.ndarray:
+    return ((hashes ^ (hashes >> np.uint64(32))) & _SEEN_BITS).astype(np.int64)
+
+
 def _ranges(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """first[0], first[0] + 1, ... for each length in turn."""
     ends = np.cumsum(lengths)
@@ -203,8 +223,8 @@ def encode(df: DataFrame, text: str = "text", into: str = "pieces", path: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(*vocab.value))
         for batch in batches:
-            column = batch.column(names.index(text))
-            for a, b in _slices([len(x.as_py() or "") for x in column], TEXT):
+            sizes = pc.binary_length(batch.column(names.index(text))).fill_null(0).to_pylist()
+            for a, b in _slices(sizes, TEXT):
                 part = batch.slice(a, b - a)
                 ids = encoder.texts(part.column(names.index(text)).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], [*names, into])
@@ -223,14 +243,16 @@ def decode(df: DataFrame, ids: str = "pieces", into: str = "decoded", path: str
         for b, i in enumerate(known.bytes_from):
             spelled[i] = bytes([b])
         for batch in batches:
-            out = [None if x is None else _joined(x, spelled) for x in batch.column(names.index(ids)).to_pylist()]
+            out = [_joined(x.as_py(), spelled) for x in batch.column(names.index(ids))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*names, into])
 
     names = df.columns
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(into, T.StringType())]))
 
 
-def _joined(ids: list[int | None], spelled: list[bytes]) -> str:
+def _joined(ids: list[int | None] | None, spelled: list[bytes]) -> str | None:
+    if ids is None:
+        return None
     raw = b"".join([spelled[i] for i in ids if i is not None and 0 <= i < len(spelled)])
     return raw.removeprefix(b" ").decode("utf-8", "replace")
 
