@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,12 +15,14 @@ def picked(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="llm-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder below `spark.checkpoint.dir`; a folder of our own only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        root = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
