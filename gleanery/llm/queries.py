@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gleanery.llm import chat, decontaminate, htmltext, jaccard, langid, pieces, secrets, sharding, token_counts, topk
 from gleanery.llm.common import table
+from gleanery.llm.sql import SQL  # noqa: F401
 
 #: 24 shards: 3 regions of 2 racks of 4.
 LAYOUT = (3, 2, 4)
@@ -66,4 +67,3 @@ QUERIES = {
         op10_jaccard_join,
     )
 }
-SQL: dict[str, str] = {}
