@@ -168,17 +168,18 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text",
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = 10) -> DataFrame:
     """Cut the hit words out of the texts, with what stands between them; columns as given."""
-    found = find_windows(docs, benchmark, text=text, n=n)
-    return found.withColumn(text, _cut(F.col(f"`{text}`"), F.col("_spans"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    columns = docs.columns
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [_without(t.as_py(), s.as_py()) for t, s in zip(batch[text], batch["_spans"], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == text else batch[c] for c in columns], columns)
 
-@F.pandas_udf("string")
-def _cut(text, spans):
-    return text.combine(spans, _without)
+    return find_windows(docs, benchmark, text=text, n=n).mapInArrow(cut, docs.schema)
 
 
-def _without(text: str | None, spans) -> str | None:
-    if text is None or not len(spans):
+def _without(text: str | None, spans: list[dict]) -> str | None:
+    if not text or not spans:
         return text
     raw = text.encode("utf-8", "surrogatepass")
     flags = np.frombuffer(raw.translate(_WORD_BYTES), np.uint8) != 32
