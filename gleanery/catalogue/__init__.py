@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from gleanery.catalogue import exports, imports, loading, logs
+    from gleanery.catalogue import exports, imports, loading, logs, runs
 
-    return [exports, imports, logs, loading]
+    return [exports, imports, logs, loading, runs]
 
 
 def all_queries() -> dict:

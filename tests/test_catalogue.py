@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from gleanery.catalogue import all_queries, all_sql
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -36,11 +37,11 @@ def comparable(columns, rows):
     return [columns[i] for i in order], sorted((tuple(value(r[i]) for i in order) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_sql(spark, duck, name):
     df = entry_points.queries()[name](spark, FOLDER)
     got = comparable(df.columns, df.collect())
-    cursor = duck.execute(entry_points.oracle_sql()[name])
+    cursor = duck.execute(all_sql()[name])
     names = [c[0] for c in cursor.description]
     assert got == comparable(names, cursor.fetchall())
 
