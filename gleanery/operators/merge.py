@@ -125,7 +125,12 @@ def upsert_data(
     `state` has the columns of `schemas.DATA_JSON`; `batch` the same and `seq`.
     `holders` gives the uuids in use when `state` is only a part of the table.
     """
-    accepted, one_uuid_per_key = accept_keys(batch, state, holders, one_uuid_per_key)
+    # What is stored of the keys of the batch: all that the decisions below need of the
+    # stored rows, so their keys are shuffled here and for the untouched rows only.
+    existing = cut(state.select(*KEY, "uuid", "controler").join(batch.select(*KEY).distinct(), KEY, "left_semi"))
+    wanted = batch.where("uuid IS NOT NULL").select("uuid").distinct()
+    holders = (state if holders is None else holders).select("uuid").join(wanted, "uuid", "left_semi")
+    accepted, one_uuid_per_key = accept_keys(batch, existing, holders, one_uuid_per_key)
     payload = [c for c in state.columns if c not in (*KEY, "uuid", "controler")]
     arrivals = batch.select(*KEY, "controler", *payload, "seq")
     grouped = arrivals.groupBy(*KEY).agg(
@@ -133,7 +138,7 @@ def upsert_data(
         F.min_by("controler", "seq").alias("_controler"),
         F.count(F.lit(1)).alias("_hits"),
     )
-    known = state.select(*KEY, F.struct("uuid", "controler").alias("_old"))
+    known = existing.select(*KEY, F.struct("uuid", "controler").alias("_old"))
     fresh = accepted.select(*KEY, F.struct("uuid", "first_seq").alias("_new"))
     decided = grouped.join(known, KEY, "left").join(fresh, KEY, "left")
     decided = decided.where(F.col("_old").isNotNull() | F.col("_new").isNotNull())
@@ -159,7 +164,7 @@ def upsert_data(
     untouched = state.join(batch.select(*KEY).distinct(), KEY, "left_anti").select(*columns)
     new_state = untouched.unionByName(written.select(*columns))
     rejected = (
-        batch.join(state.select(*KEY), KEY, "left_anti")
+        batch.join(existing.select(*KEY), KEY, "left_anti")
         .join(accepted.select(*KEY, "first_seq"), KEY, "left")
         .where(F.col("first_seq").isNull() | (F.col("seq") < F.col("first_seq")))
         .drop("first_seq")
