@@ -15,10 +15,11 @@ length of a list. The order puts rare elements first: elements that occur often
 (exactly counted) come last, by their count, so that passages shared by many documents do not
 make long lists.
 
-Lists can still be long where documents are near copies of each other. Long lists are first
-linked to a few heads each, and components are formed; then every list is searched for pairs from different
-components, in blocks, with the sizes and parity bitmaps of the sets as exact filters (the bits
-that differ are at most the elements that differ). Every pair that is left is verified on its
+Lists can still be long where documents are near copies of each other. In long lists every member
+is first tried with the nearest member of another component, in a few rounds, and components are
+formed; then every list is searched for pairs from different components, in blocks, with the sizes
+and parity bitmaps of the sets as exact filters (the bits that differ are at most the elements that
+differ). Every pair that is left is verified on its
 texts. A pair within one component needs no test, since it cannot change the components; so no
 list is expanded into all pairs, and no link between components is lost.
 
@@ -46,9 +47,11 @@ OFTEN = 30
 OFTEN_KEPT = 1 << 20
 #: Largest size that can be light.
 LIGHT_MAX = 512
-#: Lists from this length on are first linked to heads, in so many rounds.
+#: In lists from this length on members are first linked with their nearest, in so many rounds.
 LONG_LIST = 16
-HEAD_ROUNDS = 3
+NEAREST_ROUNDS = 3
+#: Keys before that of a list which its members carry.
+EARLIER = 6
 #: Members of a list that one task compares with as many others.
 BLOCK = 1024
 #: Texts fetched by a broadcast of their hashes; more are fetched by a shuffle.
@@ -202,39 +205,98 @@ def _boundary(sizes: list[tuple[int, int]], mean_list: float, limit: Threshold)
     return best
 
 
-def _nearby(rows: Iterator[dict], limit: Threshold) -> Iterator[tuple[int, int]]:
-    """Pairs of one list from different components that sizes and bitmaps let pass."""
-    members = sorted(rows, key=lambda r: r["size"])
-    if all(r["label"] == members[0]["label"] for r in members):
-        return
-    for i, a in enumerate(members):
-        for b in members[i + 1 :]:
-            if 100 * a["size"] < limit.percent * b["size"]:
-                break
-            if a["label"] != b["label"] and (a["block"] != b["block"] or a["own"]):
-                if _apart(a["bitmap"], b["bitmap"]) <= limit.differ(a["size"], b["size"]):
-                    yield min(a["node"], b["node"]), max(a["node"], b["node"])
-
-
-def _search(limit: Threshold):
+class _List:
+    """Members of one list (or of two blocks of one), by size; compares bitmaps."""
+
+    def __init__(self, limit: Threshold, nodes: list, sizes: list, labels: list, blocks: list, own: bool, bitmaps: list, earlier: list) -> None:
+        order = sorted(range(len(nodes)), key=sizes.__getitem__)
+        take = lambda column: [column[k] for k in order]
+        self.limit, self.own = limit, own
+        self.nodes, self.sizes, self.labels, self.blocks, self.bitmaps = map(take, (nodes, sizes, labels, blocks, bitmaps))
+        self.earlier = [frozenset(e) for e in take(earlier)]
+
+    def near(self) -> Iterator[tuple[int, int, int]]:
+        """(differing bits, place, place) of members that can link and are in different components."""
+        return self._by_rows() if len(self.nodes) >= 24 else self._by_pairs()
+
+    def _by_pairs(self) -> Iterator[tuple[int, int, int]]:
+        for i, size in enumerate(self.sizes):
+            for j in range(i + 1, len(self.sizes)):
+                if 100 * size < self.limit.percent * self.sizes[j]:
+                    break
+                if self.labels[i] != self.labels[j] and (self.own or self.blocks[i] != self.blocks[j]):
+                    if not self.earlier[i].isdisjoint(self.earlier[j]):
+                        continue
+                    apart = _apart(self.bitmaps[i], self.bitmaps[j])
+                    if apart <= self.limit.differ(size, self.sizes[j]):
+                        yield apart, i, j
+
+    def _by_rows(self) -> Iterator[tuple[int, int, int]]:
+        sizes, labels, blocks = (np.array(x) for x in (self.sizes, self.labels, self.blocks))
+        ends = np.searchsorted(sizes, 100 * sizes // self.limit.percent, "right")
+        folded: dict[int, np.ndarray] = {}
+        for i, own in enumerate(self.bitmaps):
+            if len(own) not in folded:  # larger sets never have smaller bitmaps
+                rest = [_folded(b, len(own)).to_bytes(len(own), "big") for b in self.bitmaps[i:]]
+                folded[len(own)] = np.frombuffer(b"".join([bytes(len(own))] * i + rest), np.uint64).reshape(len(self.bitmaps), -1)
+            bits, others = folded[len(own)], slice(i + 1, ends[i])
+            apart = np.bitwise_count(bits[others] ^ bits[i]).sum(1, dtype=np.int64)
+            good = (labels[others] != labels[i]) & (apart <= self.limit.differ(sizes[i], sizes[others]))
+            if not self.own:
+                good &= blocks[others] != blocks[i]
+            for k in np.flatnonzero(good).tolist():
+                if self.earlier[i].isdisjoint(self.earlier[i + 1 + k]):
+                    yield int(apart[k]), i, i + 1 + k
+
+    def pairs(self, nearest: bool) -> Iterator[tuple[int, int]]:
+        """Pairs of nodes: all that can link, or for each member only the nearest."""
+        found = self.near()
+        if nearest:
+            best: dict[int, tuple[int, int, int]] = {}
+            for pair in found:
+                for k in pair[1:]:
+                    if k not in best or pair < best[k]:
+                        best[k] = pair
+            found = set(best.values())
+        for _, i, j in found:
+            yield min(self.nodes[i], self.nodes[j]), max(self.nodes[i], self.nodes[j])
+
+
+def _search(limit: Threshold, nearest: bool):
     """Scan lists that lie one after the other; a list may go over several batches."""
 
+    def whole(rows: pa.Table) -> set[tuple[int, int]]:
+        at = np.concatenate([[0], _edges(rows), [rows.num_rows]])
+        labels = rows["label"].to_numpy()
+        columns = [rows[c].to_pylist() for c in ("node", "size", "label", "block", "own", "bitmap", "earlier")]
+        found: set[tuple[int, int]] = set()
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            if b - a > 1 and (labels[a:b] != labels[a]).any():
+                node, size, label, block, own, bitmap, earlier = (c[a:b] for c in columns)
+                found.update(_List(limit, node, size, label, block, own[0], bitmap, earlier).pairs(nearest))
+        return found
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
+        tail = None
         for batch in batches:
-            found: set[tuple[int, int]] = set()
-            for row in batch.to_pylist():
-                if held and (row["key"], row["i"], row["j"]) != (held[0]["key"], held[0]["i"], held[0]["j"]):
-                    found.update(_nearby(held, limit))
-                    held = []
-                held.append(row)
-            yield _pairs(found)
-        if held:
-            yield _pairs(set(_nearby(held, limit)))
+            rows = pa.Table.from_batches([batch])
+            rows = (rows if tail is None else pa.concat_tables([tail, rows])).combine_chunks()
+            edges = _edges(rows)
+            last = int(edges[-1]) if len(edges) else 0
+            tail = rows.slice(last)
+            yield _pairs(whole(rows.slice(0, last)))
+        if tail is not None:
+            yield _pairs(whole(tail.combine_chunks()))
 
     return run
 
 
+def _edges(rows: pa.Table) -> np.ndarray:
+    """Where another list begins."""
+    key, i, j = (rows[c].to_numpy() for c in ("key", "i", "j"))
+    return 1 + np.flatnonzero((np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0))
+
+
 def _pairs(found: set[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in range(2)], ["a", "b"])
 
@@ -268,10 +330,17 @@ class Join:
         return (e[order].astype(np.uint64).tobytes(), n[order].astype(np.int64).tobytes()), mean, sizes
 
     def lists(self) -> DataFrame:
-        """(key, node, size, n) of all lists of two classes or more."""
-        entries = self.classes.select(F.explode("keys").alias("key"), "node", "size")
+        """(key, node, size, n, earlier) of all lists of two classes or more.
+
+        `earlier` has the last keys before this one, in the order of the class's keys. Members
+        that have one of those in common meet in its list too, so they need not be compared
+        in this one: going back from list to list, there is one where they are.
+        """
+        entries = self.classes.select(F.posexplode("keys").alias("place", "key"), "node", "size")
         counts = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-        return written(entries.join(counts, "key"))
+        shared = entries.join(counts, "key").join(self.classes.select("node", "keys"), "node")
+        earlier = F.slice("keys", F.greatest(F.col("place") - EARLIER + 1, F.lit(1)), F.least(F.col("place"), F.lit(EARLIER)))
+        return written(shared.select("key", "node", "size", "n", earlier.alias("earlier")))
 
     def _texts(self, pairs: DataFrame) -> DataFrame:
         """(node, text) of the classes in the pairs."""
@@ -296,48 +365,29 @@ class Join:
 
         return written(pairs.join(first, "a").join(second, "b").mapInArrow(run, "a long, b long"))
 
-    def _near_bitmaps(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose bitmaps do not rule a link out."""
-        limit = self.limit
-        about = self.classes.select("node", "size", "bitmap")
-        first = about.select(F.col("node").alias("a"), F.col("size").alias("left_size"), F.col("bitmap").alias("left"))
-        second = about.select(F.col("node").alias("b"), F.col("size").alias("right_size"), F.col("bitmap").alias("right"))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                rows = batch.to_pylist()
-                good = [_apart(r["left"], r["right"]) <= limit.differ(r["left_size"], r["right_size"]) for r in rows]
-                yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-        return pairs.join(first, "a").join(second, "b").mapInArrow(run, "a long, b long")
-
     def labels(self) -> DataFrame:
         """(node, label) of all classes that are linked with another."""
         lists = self.lists()
         long = lists.where(F.col("n") >= LONG_LIST)
         links = labels = None
         if not long.isEmpty():
-            for turn in range(HEAD_ROUNDS):
-                labelled = _labelled(long, labels)
-                head = labelled.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "size", "label")).alias("head"))
-                near = labelled.join(head, "key").where((F.col("label") != F.col("head.label")) & self.limit.sizes(F.col("size"), F.col("head.size")))
-                pairs = near.select(F.least("node", "head.node").alias("a"), F.greatest("node", "head.node").alias("b")).distinct()
-                found = self.verified(self._near_bitmaps(pairs))
+            for _ in range(NEAREST_ROUNDS):
+                found = self.verified(self._compared(_labelled(long, labels), nearest=True))
                 links = found if links is None else links.unionByName(found)
                 labels = written(components(links))
-        found = self.verified(self._rest(_labelled(lists, labels)))
+        found = self.verified(self._compared(_labelled(lists, labels), nearest=False))
         return written(components(found if links is None else links.unionByName(found)))
 
-    def _rest(self, labelled: DataFrame) -> DataFrame:
+    def _compared(self, labelled: DataFrame, nearest: bool) -> DataFrame:
         """Pairs from different components, list by list; long lists in pairs of blocks."""
         blocks = F.ceil(F.col("n") / BLOCK).cast("int")
         spread = labelled.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        spread = spread.select("key", "node", "size", "label", "block", other.alias("other"))
+        spread = spread.select("key", "node", "size", "label", "earlier", "block", other.alias("other"))
         spread = spread.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
         spread = spread.withColumn("own", F.col("i") == F.col("j")).join(self.classes.select("node", "bitmap"), "node")
         ordered = spread.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        return ordered.mapInArrow(_search(self.limit), "a long, b long").distinct()
+        return ordered.mapInArrow(_search(self.limit, nearest), "a long, b long").distinct()
 
     def members(self) -> DataFrame:
         """(doc_id, size, node, label) of all documents; the label is null without words."""
