@@ -14,8 +14,9 @@ the vocabulary and control pieces decode to nothing, bytes that are no UTF-8 to
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import islice
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +59,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index: defaultdict[str, int] = defaultdict(count().__next__)
         self.flat, self.first, self.counts = (np.empty(0, np.int64) for _ in range(3))
 
     def words(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -168,7 +169,7 @@ class Encoder:
         for text in texts:
             own = vocabulary.words(text)
             per_row.append(len(own))
-            numbers += [index.setdefault(w, len(index)) for w in own]
+            numbers += map(index.__getitem__, own)  # a new word gets the next number
         flat, first, counts = self.words(list(islice(index, known, None)))
         self.first = np.concatenate([self.first, first + len(self.flat)])
         self.flat, self.counts = np.concatenate([self.flat, flat]), np.concatenate([self.counts, counts])
