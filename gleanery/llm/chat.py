@@ -166,34 +166,40 @@ SCHEMAS = {
 }
 
 
-def derived_calls(turns: DataFrame) -> DataFrame:
-    """Assistant turns as calls: the first turns search; later ones look up, and need the call before."""
+def derived_calls(turns: DataFrame, brief: bool = False) -> DataFrame:
+    """Assistant turns as calls: the first turns search; later ones look up.
+
+    Their query is the whole text; if `brief`, what stands before its first full stop. What a call
+    needs follows from its text: by the number of its words modulo three nothing, the call before, or
+    the call after. So calls need later ones, and two neighbours can need each other.
+    """
     rows = picked(turns, conv="conv_id", turn="turn", role="role", text="text").where("role = 'assistant'")
     text = F.coalesce("text", F.lit(""))
     first = F.col("turn") < 3
     words = F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
-    query = F.substring_index(text, ".", 1)
+    query = F.substring_index(text, ".", 1) if brief else text
     searched = F.to_json(F.struct(words.alias("words"), query.alias("query")))
     looked_up = F.to_json(F.struct((words < 60).alias("exact"), words.alias("words"), query.alias("query")))
+    call = lambda turn: F.concat(F.lit("call-"), turn.cast("string"))
+    needs = F.when(words % 3 == 1, F.array(call(F.col("turn") - 2))).when(words % 3 == 2, F.array(call(F.col("turn") + 2)))
     return rows.select(
         "conv",
-        F.concat(F.lit("call-"), F.col("turn").cast("string")).alias("id"),
+        call(F.col("turn")).alias("id"),
         F.col("turn").alias("place"),
         F.when(first, "search").otherwise("lookup").alias("name"),
         F.when(first, searched).otherwise(looked_up).alias("arguments"),
-        F.when(first, F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("call-"), (F.col("turn") - 2).cast("string")))).alias("needs"),
+        F.coalesce(needs, F.array().cast("array<string>")).alias("needs"),
     )
 
 
 def derived_results(turns: DataFrame) -> DataFrame:
     """The turn behind an assistant turn as its result."""
     rows = picked(turns, conv="conv_id", turn="turn", role="role", text="text").where("role <> 'assistant'")
-    return rows.select("conv", F.concat(F.lit("call-"), (F.col("turn") - 1).cast("string")).alias("id"), F.col("turn").alias("place"), F.col("text").alias("content"))
+    id_ = F.concat(F.lit("call-"), (F.col("turn") - 1).cast("string")).alias("id")
+    return rows.select("conv", id_, F.col("turn").alias("place"), F.col("text").alias("content"), "role")
 
 
-def report(turns: DataFrame) -> DataFrame:
-    """One row per call of the conversations."""
-    found = link_calls(derived_calls(turns), derived_results(turns), SCHEMAS)
+def _reported(found: DataFrame) -> DataFrame:
     return found.select(
         F.col("conv").alias("conv_id"),
         F.col("id").alias("call_id"),
@@ -204,3 +210,41 @@ def report(turns: DataFrame) -> DataFrame:
         F.array_join("faults", "; ").alias("faults"),
         "line",
     )
+
+
+def report(turns: DataFrame) -> DataFrame:
+    """One row per call of the conversations, with brief queries and without the other turns."""
+    return _reported(link_calls(derived_calls(turns, brief=True), derived_results(turns), SCHEMAS))
+
+
+def transcript(turns: DataFrame) -> DataFrame:
+    """The whole conversations: a row per call (kind `call`), and one per turn that belongs to none (`orphan`).
+
+    The line of an orphan holds its role and its whole text; it stands at its own place.
+    """
+    calls, results = derived_calls(turns), derived_results(turns)
+    called = _reported(link_calls(calls, results, SCHEMAS)).withColumn("kind", F.lit("call"))
+    return called.unionByName(_turn_lines(orphans(calls, results)).withColumn("kind", F.lit("orphan")))
+
+
+def _turn_lines(left: DataFrame) -> DataFrame:
+    """Turns (conv, place, role, content) in the columns of the report."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = [canonical({"role": r, "text": t}) for r, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(lines, pa.string())], ["conv", "place", "name", "line"])
+
+    rows = left.select("conv", "place", "role", "content")
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in ("conv", "place")}
+    lined = rows.mapInArrow(run, f"conv {kinds['conv']}, place {kinds['place']}, name string, line string")
+    return lined.select(
+        F.col("conv").alias("conv_id"),
+        F.lit(None).cast("string").alias("call_id"),
+        F.col("place").alias("order_at"),
+        F.lit(0).alias("order_depth"),
+        "name",
+        F.lit("orphan").alias("status"),
+        F.lit("").alias("faults"),
+        "line",
+    )

@@ -29,7 +29,7 @@ def op4_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
-    return chat.report(table(spark, folder, "conversations"))
+    return chat.transcript(table(spark, folder, "conversations"))
 
 
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:

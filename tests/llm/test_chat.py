@@ -61,3 +61,20 @@ def test_given_conversations(spark):
     assert len(got) == 3
     assert json.loads(got[1, "call-1"]["line"]) == {"arguments": {"query": "First one", "words": 3}, "id": "call-1", "name": "search", "result": "answer"}
     assert got[1, "call-3"]["name"] == "lookup" and got[2, "call-0"]["status"] == "invalid"
+
+
+def test_transcript_holds_whole_turns_and_needs_of_both_directions(spark):
+    turns = [(1, 0, "user", "A prompt. Of two sentences"), (1, 1, "assistant", "Two words. "), (1, 2, "user", "é \"answer\". More"), (1, 3, "assistant", "Now three words. No: six")]
+    turns += [(2, 0, "system", "Be brief."), (2, 1, "user", "q"), (2, 2, "assistant", "one. two"), (2, 3, "user", "r"), (2, 4, "assistant", "a. b c d")]
+    df = spark.createDataFrame([(*t, "x") for t in turns], "conv_id long, turn long, role string, text string, line string")
+    rows = chat.transcript(df).collect()
+    assert sorted((r["conv_id"], r["order_at"], r["name"], r["line"]) for r in rows if r["kind"] == "orphan") == [
+        (1, 0, "user", '{"role":"user","text":"A prompt. Of two sentences"}'),
+        (2, 0, "system", '{"role":"system","text":"Be brief."}'), (2, 1, "user", '{"role":"user","text":"q"}'),
+    ]
+    calls = {(r["conv_id"], r["call_id"]): r for r in rows if r["kind"] == "call"}
+    assert len(calls) == 4 and len(rows) == 7
+    assert json.loads(calls[1, "call-1"]["line"])["arguments"]["query"] == "Two words. " and json.loads(calls[1, "call-1"]["line"])["result"] == 'é "answer". More'
+    assert json.loads(calls[1, "call-3"]["line"])["arguments"]["query"] == "Now three words. No: six"
+    assert (calls[1, "call-1"]["order_at"], calls[1, "call-1"]["order_depth"]) == (3, 1) and calls[1, "call-3"]["order_at"] == 3  # it waits for the call after
+    assert calls[2, "call-2"]["status"] == calls[2, "call-4"]["status"] == "circular"
