@@ -13,7 +13,8 @@ appear as a call but is returned by `orphans`; of several results of a call the
 counts, as of several calls of one identifier; needs that name no call of the conversation are
 ignored; calls that need each other in a circle, and those that need them, have no order and the
 status `circular`; arguments that are null, no JSON object or against the schema are `invalid`, with
-the faults listed; a call without conversation or identifier links with nothing.
+the faults listed; a call without conversation or identifier links with nothing: `link_calls`
+leaves it out, and `keyless` returns it, copy by copy, with the status `unanswered`.
 """
 
 from __future__ import annotations
@@ -117,6 +118,19 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     return _lines(linked, schemas)
 
 
+def keyless(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
+    """One row per call without conversation or identifier, in the columns of `link_calls`.
+
+    Nothing can answer such a call or be needed by it: it stands at its own place, `unanswered`,
+    whatever its arguments, whose faults are listed all the same.
+    """
+    named = picked(calls, conv="conv", id="id", place="place", name="name", arguments="arguments", needs="needs")
+    alone = named.where(F.col("conv").isNull() | F.col("id").isNull())
+    alone = alone.withColumn("needs", F.coalesce("needs", F.array().cast("array<string>")))
+    alone = alone.withColumns({"at": F.col("place"), "depth": F.lit(0), "answered": F.lit(False), "content": F.lit(None).cast("string")})
+    return _lines(alone, schemas).withColumn("status", F.lit("unanswered"))
+
+
 def orphans(calls: DataFrame, results: DataFrame) -> DataFrame:
     """Results that answer no call."""
     return results.join(picked(calls, conv="conv", id="id").distinct(), ["conv", "id"], "left_anti")
@@ -193,8 +207,8 @@ def derived_calls(turns: DataFrame, brief: bool = False) -> DataFrame:
 
 
 def derived_results(turns: DataFrame) -> DataFrame:
-    """The turn behind an assistant turn as its result."""
-    rows = picked(turns, conv="conv_id", turn="turn", role="role", text="text").where("role <> 'assistant'")
+    """The turn behind an assistant turn as its result; a turn without role is none of an assistant."""
+    rows = picked(turns, conv="conv_id", turn="turn", role="role", text="text").where("role is null or role <> 'assistant'")
     id_ = F.concat(F.lit("call-"), (F.col("turn") - 1).cast("string")).alias("id")
     return rows.select("conv", id_, F.col("turn").alias("place"), F.col("text").alias("content"), "role")
 
@@ -220,10 +234,12 @@ def report(turns: DataFrame) -> DataFrame:
 def transcript(turns: DataFrame) -> DataFrame:
     """The whole conversations: a row per call (kind `call`), and one per turn that belongs to none (`orphan`).
 
-    The line of an orphan holds its role and its whole text; it stands at its own place.
+    The line of an orphan holds its role and its whole text; it stands at its own place. Assistant turns
+    without conversation or number are calls that nothing answers.
     """
     calls, results = derived_calls(turns), derived_results(turns)
-    called = _reported(link_calls(calls, results, SCHEMAS)).withColumn("kind", F.lit("call"))
+    found = link_calls(calls, results, SCHEMAS)
+    called = _reported(found.unionByName(keyless(calls, SCHEMAS).select(*found.columns))).withColumn("kind", F.lit("call"))
     return called.unionByName(_turn_lines(orphans(calls, results)).withColumn("kind", F.lit("orphan")))
 
 

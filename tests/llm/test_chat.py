@@ -78,3 +78,17 @@ def test_transcript_holds_whole_turns_and_needs_of_both_directions(spark):
     assert json.loads(calls[1, "call-3"]["line"])["arguments"]["query"] == "Now three words. No: six"
     assert (calls[1, "call-1"]["order_at"], calls[1, "call-1"]["order_depth"]) == (3, 1) and calls[1, "call-3"]["order_at"] == 3  # it waits for the call after
     assert calls[2, "call-2"]["status"] == calls[2, "call-4"]["status"] == "circular"
+
+
+def test_turns_without_keys_or_role_stay(spark):
+    turns = [(None, 1, "assistant", "no conversation"), (1, None, "assistant", "no number"), (1, None, "assistant", "no number"), (1, None, "user", "nor this"), (None, 2, "user", "u")]
+    turns += [(2, 1, "assistant", "a b c"), (2, 2, None, "of no role"), (2, 5, None, "alone"), (None, None, None, None)]
+    df = spark.createDataFrame([(*t, "x") for t in turns], "conv_id long, turn long, role string, text string, line string")
+    rows = chat.transcript(df).collect()
+    calls = [r for r in rows if r["kind"] == "call"]
+    assert sorted((str(r["conv_id"]), str(r["call_id"]), r["status"], json.loads(r["line"])["arguments"]["query"]) for r in calls) == [
+        ("1", "None", "unanswered", "no number"), ("1", "None", "unanswered", "no number"), ("2", "call-1", "linked", "a b c"), ("None", "call-1", "unanswered", "no conversation"),
+    ]
+    assert next(json.loads(r["line"])["result"] for r in calls if r["conv_id"] == 2) == "of no role"
+    left = sorted(r["line"] for r in rows if r["kind"] == "orphan")
+    assert left == ['{"role":"user","text":"nor this"}', '{"role":"user","text":"u"}', '{"role":null,"text":"alone"}', '{"role":null,"text":null}']
