@@ -416,11 +416,11 @@ DROP_ROWS = 500_000
 
 
 def keep_one(docs: DataFrame, text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each component, the first in the order of the files; columns as given.
+    """One document of each component, the first in the order of the rows; columns as given.
 
-    `docs` must be read from files: rows are told apart by their place there.
+    Rows are numbered once and written, so that every later plan sees the same numbers.
     """
-    placed = docs.withColumn("_place", F.monotonically_increasing_id())
+    placed = written(docs.withColumn("_place", F.monotonically_increasing_id()))
     rows = link_components(placed, "_place", text, width, percent)
     drop = written(rows.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_place")))
     side = F.broadcast(drop) if drop.count() <= DROP_ROWS else drop

@@ -87,3 +87,24 @@ def test_no_rows_and_equal_rows_only(spark):
     check(spark, [], 3, 90)
     check(spark, [(i, "a b c d e f g h i j k l m") for i in range(30)], 3, 90)
     check(spark, [(i, None) for i in range(5)], 3, 90)
+
+
+def test_rows_keep_their_numbers_when_files_are_split_anew(spark, tmp_path, monkeypatch):
+    rows = [(i, f"text {i // 2} " + " ".join(f"w{i // 2}x{j}" for j in range(20)), "s") for i in range(64)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(16, "doc_id").write.parquet(path)
+    link = jaccard.link_components
+
+    def then_split_anew(*given):
+        out = jaccard.written(link(*given))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "600")
+        return out
+
+    monkeypatch.setattr(jaccard, "link_components", then_split_anew)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100m")
+    try:
+        kept = [r["doc_id"] // 2 for r in jaccard.keep_one(spark.read.parquet(path), width=5, percent=80).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(kept) == list(range(32))
