@@ -7,9 +7,8 @@ through time, on a bounded sample of labelled excerpts (`SAMPLE_TEXTS` distinct
 stretches of `STRETCH` bytes that advance together.
 
 Defined results: a text that is null or has no letter is `und` with score 0, as is every text
-if nothing could be learned; languages are the values of the label column, at most
-`LANGUAGES` of them (the most frequent); repeated rows get equal results; a null key counts as
-held out.
+if nothing could be learned; languages are all values of the label column that have a text with a
+letter among the rows not held out; repeated rows get equal results; a null key counts as held out.
 """
 
 from __future__ import annotations
@@ -26,10 +25,9 @@ from pyspark.sql.window import Window
 from gleanery.llm.common import picked
 
 UNKNOWN = "und"
-#: Bound of the training sample: texts per language, characters of each, languages.
+#: Bound of the training sample: texts per language, characters of each.
 SAMPLE_TEXTS = 150
 EXCERPT = 512
-LANGUAGES = 64
 HIDDEN = 8
 WINDOW = 64
 STEPS = 400
@@ -183,24 +181,32 @@ def held_out(key: Column, folds: int = 5) -> Column:
 
 
 def sample(docs: DataFrame, texts: int = SAMPLE_TEXTS, excerpt: int = EXCERPT) -> list[tuple[str, str]]:
-    """(language, excerpt) of at most `texts` distinct texts per language, by the hash of the text.
+    """(language, excerpt) of `texts` distinct texts per language, or all there are, by the hash of the text.
 
-    `docs` has doc_id, text and lang. Counts by language come first, from two narrow columns;
-    then only about twice the wanted share of texts is looked at, whatever the size of the corpus.
+    `docs` has doc_id, text and lang. The number of distinct texts with a letter is estimated by language
+    first; then only about twice the wanted share of texts is looked at, whatever the size of the
+    corpus and however often texts are repeated. Languages of which too few come are drawn again
+    with a larger share, until there are enough or all have been looked at.
     """
-    known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
-    counts = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    if not counts:
-        return []
-    shares = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, (2 * texts + 50) / r["n"])))])
+    known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}"))
     h = F.xxhash64("text")
+    counts = known.groupBy("lang").agg(F.approx_count_distinct(h).alias("n")).collect()
+    shares = {r["lang"]: min(1.0, (2 * texts + 50) / max(1, r["n"])) for r in counts}
     chance = F.shiftrightunsigned(h, 11) * F.lit(2.0**-53)
-    some = known.where(F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}") & (chance < F.element_at(shares, F.col("lang"))))
     start = F.pmod(h, F.greatest(F.length("text") - excerpt, F.lit(0)) + 1).cast("int") + 1
-    cut = some.select("lang", h.alias("h"), F.substring("text", start, F.lit(excerpt)).alias("part"))
-    cut = cut.groupBy("lang", "h").agg(F.min("part").alias("part"))
-    ranked = cut.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-    return [(r["lang"], r["part"]) for r in ranked.where(F.col("at") <= texts).orderBy("lang", "at").collect()]
+    out: dict[str, list[str]] = {}
+    while shares:
+        share = F.element_at(F.create_map(*[F.lit(x) for pair in shares.items() for x in pair]), F.col("lang"))
+        some = known.where(F.col("lang").isin(list(shares)) & (chance < share))
+        cut = some.select("lang", h.alias("h"), F.substring("text", start, F.lit(excerpt)).alias("part"))
+        cut = cut.groupBy("lang", "h").agg(F.min("part").alias("part"))
+        ranked = cut.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+        drawn = dict.fromkeys(shares)
+        for r in ranked.where(F.col("at") <= texts).orderBy("lang", "at").collect():
+            drawn[r["lang"]] = [*(drawn[r["lang"]] or []), r["part"]]
+        out |= {lang: parts or [] for lang, parts in drawn.items()}
+        shares = {lang: min(1.0, 8 * s) for lang, s in shares.items() if s < 1 and len(out[lang]) < texts}
+    return [(lang, part) for lang in sorted(out) for part in out[lang]]
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> tuple[list[str], dict[str, np.ndarray]]:

@@ -67,3 +67,13 @@ def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert [r["lang_pred"] for r in langid.report(df).collect()] == ["und"]
     assert langid.report(df.limit(0)).count() == 0
+
+
+def test_copies_and_odd_texts_do_not_thin_the_sample(spark):
+    rows = [(i, f"text {chr(97 + i % 26)} {i}", "aa") for i in range(400)] + [(1000 + i, "one text", "aa") for i in range(30000)]
+    rows += [(40000 + i, f"autre {i}", f"l{i % 70}") for i in range(700)] + [(50000 + i, None, "l1") for i in range(5000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = [name for name, _ in langid.sample(df)]
+    assert got.count("aa") == langid.SAMPLE_TEXTS and len(set(got)) == 71
+    wanted = {r[1] for r in rows if r[2] == "l1" and r[1] and zlib.crc32(str(r[0]).encode()) % 5}
+    assert {part for name, part in langid.sample(df) if name == "l1"} == wanted
