@@ -313,17 +313,29 @@ def train(pages: list[list[Block]], steps: int = STEPS, seed: int = 0) -> Labell
 
 
 def fit(pages: DataFrame, html: str = "html", most: int = SAMPLE_PAGES) -> dict[str, np.ndarray]:
-    """Weights from at most `most` pages that mark their article; empty if there are none."""
-    rows = picked(pages, html=html).where(F.col("html").isNotNull())
-    total = max(1, rows.count())
-    h = F.xxhash64("html")
-    some = rows.where((F.shiftrightunsigned(h, 11) * F.lit(2.0**-53) < min(1.0, (4 * most + 50) / total)) & F.col("html").rlike("(?i)<(article|main)[ >]"))
-    # pages are cut for training only, so that the sample is bounded in bytes as well
-    found = some.select(h.alias("h"), F.substring("html", 1, 40_000).alias("html")).groupBy("h").agg(F.min("html").alias("html")).orderBy("h").limit(most).collect()
-    parsed = [b for r in found if any(own_labels(b := blocks(r["html"])))]
+    """Weights from `most` distinct pages that mark their article, or all there are; empty if there are none."""
+    parsed = [b for page in sample(pages, html, most) if any(own_labels(b := blocks(page)))]
     return train(parsed).plain() if parsed else {}
 
 
+def sample(pages: DataFrame, html: str = "html", most: int = SAMPLE_PAGES) -> list[str]:
+    """`most` distinct pages with a tag for the article, or all there are, by the hash of the page.
+
+    Their number is estimated first, and about four times the wanted share of them is looked at; if too
+    few come, again with a larger share.
+    """
+    marked = picked(pages, html=html).where(F.col("html").rlike("(?i)<(article|main)[ >]"))
+    h = F.xxhash64("html")
+    share = min(1.0, (4 * most + 50) / max(1, marked.agg(F.approx_count_distinct(h)).first()[0]))
+    while True:
+        some = marked.where(F.shiftrightunsigned(h, 11) * F.lit(2.0**-53) < share)
+        # pages are cut for training only, so that the sample is bounded in bytes as well
+        found = some.select(h.alias("h"), F.substring("html", 1, 40_000).alias("html")).groupBy("h").agg(F.min("html").alias("html")).orderBy("h").limit(most).collect()
+        if len(found) == most or share == 1:
+            return [r["html"] for r in found]
+        share = min(1.0, 8 * share)
+
+
 def extract(pages: DataFrame, weights: dict[str, np.ndarray], key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """One row per page: its main text and the number of its code points."""
     rows = picked(pages, page_id=key, url=url, html=html)

@@ -67,3 +67,11 @@ def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(1, "u", "<p>x</p>")], "page_id long, url string, html string")
     assert [r["text"] for r in htmltext.report(df).collect()] == [""]
     assert htmltext.report(df.limit(0)).count() == 0
+
+
+def test_pages_without_marks_and_copies_do_not_thin_the_sample(spark):
+    rows = [(i, "u", f"<p>page {i}") for i in range(60000)] + [(60000 + i, "u", f"<article>own {i}</article>") for i in range(300)] + [(70000, "u", "<main>copied</main>")] * 20000
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = htmltext.sample(df)
+    assert len(got) == len(set(got)) == htmltext.SAMPLE_PAGES
+    assert len(htmltext.sample(df.where("page_id < 60020 or page_id = 70000"))) == 21
