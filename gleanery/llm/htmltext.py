@@ -13,8 +13,9 @@ named from `ASIDE` with blocks of other pages are put around and into its articl
 own tag is renamed from `MAIN`.
 
 Defined results: a null or empty page, one without blocks, and every page if nothing could be
-learned, has an empty text. Text in head, scripts, styles and templates is no block. Unclosed
-and unknown tags are taken as they come, a tag that the page ends in is dropped. White space is
+learned, has an empty text. Titles of pages, scripts, styles and templates are no blocks, nor is
+anything else hidden. A head ends with its tag, or with the first tag or text that cannot stand in it.
+Unclosed and unknown tags are taken as they come, a tag that the page ends in is dropped. White space is
 what Unicode calls so. Repeated pages give a row each.
 """
 
@@ -47,10 +48,11 @@ PATH_DIM, WORD_DIM, PLAIN_DIM = 96, 32, 4
 
 # Tags that HTML defines as phrasing, void or invisible.
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark math mi mn mo mrow ms msub msup mtext q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN_TAGS = frozenset("head script style template noscript title iframe object svg math".split())
+HIDDEN_TAGS = frozenset("script style template title".split())
+HEAD_TAGS = HIDDEN_TAGS | frozenset("base basefont bgsound link meta noframes noscript".split())
 CLOSES_ITSELF = frozenset("p li dt dd tr td th option".split())
 # Names under which pages keep their article, and other parts.
 MAIN = ("article", "main", "div.content", "div.article", "div.post", "section.entry", "div.main", "div.story")
@@ -74,12 +76,21 @@ class Block:
 class _Blocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, tuple[str, ...]]] = []
+        self.stack: list[tuple[str, tuple[str, ...], bool]] = []  # tag, its names, whether it hides text
         self.found: list[Block] = []
         self.parts: list[str] = []
         self.hidden = self.links = self.linked = 0
 
+    def end_head(self) -> None:
+        """An open head ends before what cannot stand in it."""
+        if self.stack and not self.hidden:
+            at = next((i for i, (tag, _, _) in enumerate(self.stack) if tag == "head"), None)
+            if at is not None:
+                del self.stack[at:]
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in HEAD_TAGS:
+            self.end_head()
         if tag == "a":
             self.links += 1
         if tag in INLINE:
@@ -91,10 +102,11 @@ class _Blocks(HTMLParser):
             self.stack.pop()
         if tag == "body":
             self.hidden = 0
-        elif tag in HIDDEN_TAGS:
-            self.hidden += 1
+            self.stack = [(t, names, False) for t, names, _ in self.stack]
+        hides = tag in HIDDEN_TAGS and not (tag == "title" and any(t == "svg" for t, _, _ in self.stack))
+        self.hidden += hides
         names = [w for k, v in attrs if k in ("class", "id", "role") and v for w in re.split(r"[^a-z]+", v.lower()) if w]
-        self.stack.append((tag, (tag, *names)))
+        self.stack.append((tag, (tag, *names), hides))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag not in INLINE:
@@ -108,18 +120,20 @@ class _Blocks(HTMLParser):
         self.flush()
         at = next((i for i in range(len(self.stack) - 1, -1, -1) if self.stack[i][0] == tag), None)
         if at is not None:
-            self.hidden = max(0, self.hidden - sum(t in HIDDEN_TAGS for t, _ in self.stack[at:]))
+            self.hidden -= sum(hides for _, _, hides in self.stack[at:])
             del self.stack[at:]
 
     def handle_data(self, data: str) -> None:
         if not self.hidden:
+            if not data.isspace():
+                self.end_head()
             self.parts.append(data)
             self.linked += len(data) if self.links else 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            path = tuple(w for _, names in self.stack for w in names if w not in ("html", "body"))
+            path = tuple(w for _, names, _ in self.stack for w in names if w not in ("html", "body"))
             self.found.append(Block(text, path, self.linked))
         self.parts, self.linked = [], 0
 
@@ -147,9 +161,7 @@ def vectors(page: list[Block]) -> np.ndarray:
             out[i, _slot(w, PATH_DIM, 1)] = 1
             out[i, _slot(w, PATH_DIM, 2)] = 1
         words = b.text.lower().split()
-        for w in words[:64] if len(words) <= 64 else words[:32] + words[-32:]:
-            out[i, PATH_DIM + _slot(w, WORD_DIM, 3)] += 1
-        out[i, PATH_DIM : PATH_DIM + WORD_DIM] /= 1 + min(64, len(words))
+        out[i, PATH_DIM : PATH_DIM + WORD_DIM] = np.bincount([_slot(w, WORD_DIM, 3) for w in words], minlength=WORD_DIM) / (1 + len(words))
         out[i, -4:] = np.log1p(len(b.text)) / 8, b.linked / len(b.text), sum(map(str.isdigit, b.text)) / len(b.text), i / len(page)
     return out
 

@@ -75,3 +75,18 @@ def test_pages_without_marks_and_copies_do_not_thin_the_sample(spark):
     got = htmltext.sample(df)
     assert len(got) == len(set(got)) == htmltext.SAMPLE_PAGES
     assert len(htmltext.sample(df.where("page_id < 60020 or page_id = 70000"))) == 21
+
+
+def test_only_titles_scripts_styles_and_templates_are_hidden():
+    texts = lambda html: [b.text for b in htmltext.blocks(html)]
+    assert texts("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p><svg><title>Plan</title><text>label</text></svg></article>") == ["Let x=1 be.", "Plan", "label"]
+    assert texts("<article><object>no player</object><noscript>no script</noscript><iframe>no frame</iframe><template><p>t</p></template>end") == ["no player", "no script", "no frame", "end"]
+    open_head = htmltext.blocks("<html><head><title>t</title><style>s</style><article><h1>T</h1><p>Body")
+    assert [b.text for b in open_head] == ["T", "Body"] and open_head[0].path == ("article", "h1")
+    assert texts("<head><meta charset=x><title>t</title> <script>s</script></head><p>a") == ["a"] == texts("<head><title>t</title>a")
+    assert texts("<head><template><div>x</div></template><title>t</title></head><body>b") == ["b"]
+
+
+def test_all_words_of_a_block_count():
+    one, other = (htmltext.Block(" ".join(["word"] * 100 + [w] * 100 + ["word"] * 100), ("p",)) for w in ("midst", "other"))
+    assert (htmltext.vectors([one]) != htmltext.vectors([other])).any()
