@@ -3,8 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from gleanery.llm import chat, decontaminate, htmltext, jaccard, langid, pieces, secrets, sharding, token_counts, topk
+from pyspark.sql import functions as F
+
+from gleanery.llm import (
+    chat,
+    decontaminate,
+    htmltext,
+    jaccard,
+    langid,
+    negatives,
+    packing,
+    pieces,
+    secrets,
+    sharding,
+    token_counts,
+    topk,
+    variants,
+)
 from gleanery.llm.common import table
 from gleanery.llm.sql import SQL  # noqa: F401
 
@@ -52,6 +67,19 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.link_components(table(spark, folder, "documents"), width=3, percent=90)
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.group_variants(table(spark, folder, "documents"), least_chars=6, least_count=5, ratio=5, drop_every=199)
+
+
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.report(table(spark, folder, "documents"), size=4096, end_id=2)
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, folder, "embeddings"), positives=5, negatives=3, least=50, most=95, every=50, scale=256, label=moved)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -65,5 +93,8 @@ QUERIES = {
         op8_secret_scan,
         op9_html_extraction,
         op10_jaccard_join,
+        op11_spelling_variants,
+        op12_packing,
+        op13_hard_negatives,
     )
 }

