@@ -205,56 +205,6 @@ SQL = {
         FROM (SELECT 's' || (o_orderkey % 2) AS source, count(*) AS data_count_upserts FROM orders GROUP BY ALL) c
         JOIN (SELECT 's' || (user_id % 2) AS source, max(ts) AS started FROM events
               WHERE event_type IN ('signup', 'purchase') GROUP BY ALL) newest USING (source)""",
-    "attach_import": attach_import,
-    "count_by_source": count_by_source,
-}
-
-_FAIL = f"""fail AS (SELECT 's' || (user_id % 2) AS source, {Q.uuid_sql("'u' || user_id")} AS uuid, 'data' AS controler,
-    {Q.stamp_sql("ts")} AS last_ts, props AS item, 'failed event ' || event_id AS error,
-    CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 1 ELSE 2 END AS import_id, ts, event_id
-    FROM events WHERE event_type = 'error')"""
-_MARKS = "marks AS (SELECT source, max(xfer_start_ts) AS since FROM run_log WHERE xfer_status = 'success' GROUP BY source)"
-_MOVED = """moved AS (SELECT event_id, CASE WHEN user_id % 11 = 0 THEN 'new' ELSE 'src' || (user_id % 5) END AS source,
-    ts + INTERVAL 5 DAY AS moment, event_type FROM events)"""
-
-SQL = {
-    "error_log": f"""WITH {_FAIL} SELECT source, uuid, controler, last_ts, item, error, import_id FROM (
-        SELECT *, row_number() OVER (PARTITION BY source, controler, uuid, import_id ORDER BY ts, event_id) AS rn FROM fail) WHERE rn = 1""",
-    "watermarks": Q.with_views("run_log", f"""SELECT source, controler, {Q.stamp_sql("max(xfer_start_ts)")} AS since
-        FROM run_log WHERE xfer_status = 'success' GROUP BY source, controler"""),
-    "incremental_since": Q.with_views("run_log", """SELECT event_id, m.source FROM moved m LEFT JOIN marks k ON m.source = k.source
-        WHERE k.since IS NULL OR m.moment >= k.since""", f"{_MARKS}, {_MOVED}"),
-    "deleted_since": Q.with_views("run_log", """SELECT event_id, m.source FROM moved m JOIN marks k ON m.source = k.source
-        WHERE event_type = 'error' AND m.moment >= k.since""", f"{_MARKS}, {_MOVED}"),
-    "run_status": f"""SELECT user_id AS id, 'src' || (user_id % 5) AS source,
-            arg_max(CASE event_type WHEN 'purchase' THEN 'success' WHEN 'error' THEN 'failed' ELSE 'importing data' END, event_id) AS xfer_status,
-            arg_max({Q.stamp_sql("ts")}, event_id) FILTER (event_type = 'signup') AS xfer_start_ts,
-            arg_max(props, event_id) FILTER (event_type = 'error') AS comment
-        FROM events GROUP BY user_id""",
-    "run_counters": """SELECT 's' || (o_orderkey % 2) AS source, CAST(year(o_orderdate) AS BIGINT) AS import_id,
-            CAST(0 AS BIGINT) AS api_count_items, CAST(0 AS BIGINT) AS api_count_errors,
-            count(*) FILTER (o_orderstatus = 'F') AS data_count_upserts, CAST(0 AS BIGINT) AS data_count_delete,
-            count(*) FILTER (o_orderstatus = 'O') AS data_count_errors,
-            count(*) FILTER (o_orderstatus = 'P') AS metadata_count_upserts, CAST(0 AS BIGINT) AS metadata_count_errors
-        FROM orders GROUP BY 1, 2""",
-    "import_report": Q.with_views("run_log", f"""SELECT id, source, controler, xfer_type, xfer_status,
-            {Q.stamp_sql("xfer_start_ts")} AS xfer_start_ts, api_count_items, xfer_filters
-        FROM run_log WHERE source = 'src1' AND xfer_type = 'update' ORDER BY id DESC"""),
-    "error_report": f"""WITH {_FAIL} SELECT source, uuid, controler, last_ts, item, error, import_id FROM fail
-        WHERE source = 's1' AND import_id = 2""",
-    "purge_import": """WITH raw AS (SELECT DISTINCT o_orderkey * 3 AS id FROM orders),
-        refused AS (SELECT event_id AS id FROM events WHERE event_type = 'error' AND event_id IN (SELECT id FROM raw)),
-        gone AS (SELECT event_id AS id FROM events WHERE event_type = 'error' AND event_id NOT IN (SELECT id FROM raw))
-        SELECT 'run' AS kind, event_id AS id FROM events WHERE event_id NOT IN (SELECT id FROM gone)
-        UNION ALL SELECT 'error', event_id FROM events WHERE event_id NOT IN (SELECT id FROM gone)
-        UNION ALL SELECT 'refused', id FROM refused""",
-    "history_backfill": f"""WITH history AS (
-            SELECT 's' || (user_id % 2) AS source, ts FROM events WHERE event_type = 'signup'
-            UNION SELECT 's' || (user_id % 2), ts FROM events WHERE event_type = 'purchase'),
-        hunion AS (SELECT source, max(ts) AS ts FROM history GROUP BY source)
-        SELECT h.source, 'data' AS controler, 'full' AS xfer_type, 'success' AS xfer_status, {Q.stamp_sql("h.ts")} AS xfer_start_ts,
-               count(*) AS data_count_upserts, 'generated on upgrade' AS comment
-        FROM hunion h JOIN (SELECT 's' || (o_orderkey % 2) AS source FROM orders) d ON d.source = h.source GROUP BY h.source, h.ts""",
     "attach_import": Q.with_views("run_log", """SELECT o_orderkey AS id_data, 'src' || (o_orderkey % 6) AS source, l.id AS import_id
         FROM orders LEFT JOIN (SELECT source, max(id) AS id FROM run_log GROUP BY source) l ON l.source = 'src' || (o_orderkey % 6)"""),
     "count_by_source": """SELECT 'orders' AS source, count(*) FILTER (o_orderkey % 6 <> 0) AS n FROM orders
