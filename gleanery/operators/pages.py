@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gleanery.operators.joins import join_lookup
 from gleanery.operators.keys import number_by_id, running_total
 from gleanery.operators.lineage import cut
 
@@ -46,6 +47,56 @@ def page_plan(
     ).drop("_pages", "_chunk")
 
 
+def page_gaps(
+    landed: DataFrame, by: list[str], page: str = "page_no", total: str = "total_filtered", limit: str = "limit",
+    block: int = _CHUNK,
+) -> DataFrame:
+    """Ranges of pages that a delivery lacks, has twice, or has beyond its plan.
+
+    `landed` has a row per landed page with the total and page size it tells. The plan of a
+    delivery (its columns are `by`) is that of its largest total, ceil(total / limit) pages; a
+    delivery without totals ends at its last page. Pages count from 1 if there is no page 0 and the plan
+    reaches its end that way, else from 0. Rows: `by`, `kind` (missing, doubled, surplus),
+    `first_page`, `last_page`. Pages without a number are passed over.
+
+    The plan is never written out: landed numbers are compared with the one before, in blocks
+    of `block` numbers, whose last numbers alone meet per delivery.
+    """
+    told = F.struct(F.col(total).cast("bigint").alias("total"), F.col(limit).cast("bigint").alias("size"))
+    known = F.col(total).isNotNull() & (F.col(limit) > 0)
+    plan = landed.where(F.col(page).isNotNull()).groupBy(*by).agg(
+        F.max(F.when(known, told)).alias("_told"), F.min(page).alias("_low"), F.max(page).alias("_high")
+    )
+    planned = F.greatest(F.lit(1), F.ceil(F.col("_told.total") / F.col("_told.size")).cast("bigint"))
+    from_one = (F.col("_low") > 0) & (F.col("_told").isNull() | (F.col("_high") >= planned))
+    start = F.when(from_one, 1).otherwise(0).cast("bigint")
+    end = F.when(F.col("_told").isNull(), F.col("_high")).otherwise(start + planned - 1)
+    plan = cut(plan.select(*by, start.alias("_start"), end.alias("_end")))
+
+    copies = landed.where(F.col(page).isNotNull()).groupBy(*by, F.col(page).cast("bigint").alias("_page"))
+    pages = cut(join_lookup(copies.agg(F.count(F.lit(1)).alias("_copies")), plan, by, "inner"))
+    one = lambda rows, kind: rows.select(*by, F.lit(kind).alias("kind"), F.col("_page").alias("first_page"), F.col("_page").alias("last_page"))
+    inside = F.col("_page").between(F.col("_start"), F.col("_end"))
+
+    held = pages.where(inside).withColumn("_block", F.floor(F.col("_page") / block))
+    ends = held.groupBy(*by, "_block").agg(F.max("_page").alias("_last"))
+    before = W.partitionBy(*by).orderBy("_block")
+    ends = ends.select(*by, "_block", F.lag("_last").over(before).alias("_earlier"))
+    in_block = W.partitionBy(*by, "_block").orderBy("_page")
+    stepped = held.withColumn("_before", F.lag("_page").over(in_block)).join(ends, [*by, "_block"])
+    stepped = stepped.withColumn("_before", F.coalesce("_before", "_earlier", F.col("_start") - 1))
+    between = stepped.where(F.col("_page") - F.col("_before") > 1).select(
+        *by, F.lit("missing").alias("kind"), (F.col("_before") + 1).alias("first_page"), (F.col("_page") - 1).alias("last_page")
+    )
+    reached = held.groupBy(*by).agg(F.max("_page").alias("_last"))
+    tail = plan.join(reached, by, "left").withColumn("_last", F.coalesce("_last", F.col("_start") - 1))
+    tail = tail.where(F.col("_last") < F.col("_end")).select(
+        *by, F.lit("missing").alias("kind"), (F.col("_last") + 1).alias("first_page"), F.col("_end").alias("last_page")
+    )
+    extra = one(pages.where(F.col("_copies") > 1), "doubled").unionByName(one(pages.where(~inside), "surplus"))
+    return between.unionByName(tail).unionByName(extra)
+
+
 def number_by_order(df: DataFrame, order: list[str], out: str) -> DataFrame:
     """1-based position of each row in any total order.
 

@@ -276,11 +276,14 @@ def open_tables(store: Store, codes: DataFrame | None, areas: DataFrame | None,
     return out
 
 
-def save_run(store: Store, run_id: str, before: Tables, report: Report) -> int:
+def save_run(
+    store: Store, run_id: str, before: Tables, report: Report, added: dict[str, DataFrame] | None = None
+) -> int:
     """Write the tables of a run as the next version; a run already there is skipped.
 
     Of the raw table and of the facts only the ranges with changed rows are written, and
-    logs get their new rows. A table the run has not touched is left as it is.
+    logs get their new rows, as do further tables by `added`. A table the run has not touched
+    is left as it is.
     """
     if store.has_run(run_id):
         return store.version()
@@ -300,7 +303,8 @@ def save_run(store: Store, run_id: str, before: Tables, report: Report) -> int:
         for name in LAYOUTS
         if name not in store.ranged_by and name not in ADDED and report.tables[name] is not before[name]
     }
-    return store.write(run_id, whole, ranged, {"error_log": report.new_errors, "import_log": report.log})
+    logs = {"error_log": report.new_errors, "import_log": report.log} | (added or {})
+    return store.write(run_id, whole, ranged, logs)
 
 
 def import_into_store(
@@ -313,13 +317,15 @@ def import_into_store(
     deletions: DataFrame | None = None,
     loader=load_star,
     log: Callable[[DataFrame], DataFrame] | None = None,
+    added: dict[str, DataFrame] | None = None,
 ) -> Report | None:
     """Import arrivals into a store as one run; None if the run is there already.
 
     Raw rows are read and rewritten only in the ranges that the arrivals and deletions
     fall into; holders of their uuids are looked up in the whole table by that column
     alone. Every arrival is stored, superseded or in the error log. `log` makes the
-    events for the import log from the counters.
+    events for the import log from the counters; `added` are rows for further tables that only
+    grow, written with the run.
     """
     if store.has_run(run_id):
         return None
@@ -332,7 +338,7 @@ def import_into_store(
     report = run_import(tables, rows, now, deletions, loader, holders=everyone.join(wanted, "uuid", "left_semi"))
     if log is not None:
         report = report._replace(log=log(report.counters))
-    save_run(store, run_id, tables, report)
+    save_run(store, run_id, tables, report, added)
     return report
 
 

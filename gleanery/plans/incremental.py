@@ -1,4 +1,4 @@
-"""One incremental run: open, filter by watermark, import, delete, close, all in the stored log."""
+"""One incremental run: open, find new pages, import, delete, close, all in the stored log."""
 
 from __future__ import annotations
 
@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from gleanery import schemas as S
 from gleanery.operators import runlog as R
-from gleanery.operators.joins import join_lookup
+from gleanery.operators.joins import join_lookup, small_side
 from gleanery.operators.lineage import cut
+from gleanery.operators.pages import page_gaps
 from gleanery.plans.consolidate import LAYOUTS, Report, import_into_store, load_star
+from gleanery.sources import ledger
 from gleanery.sources.landing import arrivals
 from gleanery.sources.snapshot import Store
 
@@ -23,11 +25,33 @@ def stored_runs(store: Store) -> DataFrame:
     return R.current_runs(store.read_added("import_log", _EVENTS))
 
 
+def _failing(landed: DataFrame, ledger: DataFrame) -> DataFrame:
+    """(source, comment) of sources whose newest delivery cannot be imported whole.
+
+    A page without items or a gap in the page numbers makes a delivery fail; pages that the
+    store took in before count as landed.
+    """
+    now = landed.select("source", "delivery", "page_no", "total_filtered", "limit")
+    newest = cut(landed.groupBy("source").agg(F.max("delivery").alias("delivery")))
+    on = ["source", "delivery"]
+    earlier = join_lookup(ledger.withColumnRenamed("import_id", "delivery"), newest, on, "inner").select(now.columns)
+    current = join_lookup(now, newest, on, "inner").select(now.columns)
+    missing = page_gaps(current.unionByName(earlier), on).where("kind = 'missing'")
+    span = F.concat_ws("-", *[F.col(c).cast("string") for c in ("first_page", "last_page")])
+    first = missing.groupBy("source").agg(F.min(F.struct("first_page", "last_page")).alias("_gap")).select("source", "_gap.*")
+    gaps = first.select("source", F.format_string("pages %s have not landed", span).alias("comment"), F.lit(2).alias("_rank"))
+    unreadable = join_lookup(landed.where("items IS NULL"), newest, on, "inner").groupBy("source").agg(F.min("page_no").alias("page_no"))
+    blank = unreadable.select(
+        "source", F.format_string("page %s has no items", F.col("page_no").cast("string")).alias("comment"), F.lit(1).alias("_rank")
+    )
+    return blank.unionByName(gaps).groupBy("source").agg(F.min_by("comment", "_rank").alias("comment"))
+
+
 def run_incremental(
     store: Store,
     run_id: str,
     sources: DataFrame,
-    pages: DataFrame,
+    pages: DataFrame | str,
     now: datetime,
     deletions: DataFrame | None = None,
     codes: DataFrame | None = None,
@@ -35,20 +59,24 @@ def run_incremental(
     loader=load_star,
     changed_at: str | None = "derniere_action",
 ) -> Report | None:
-    """Import what enabled sources have delivered since their last success.
-
-    `sources` has `name, enable, data_type`; `pages` comes from `landing.read_pages`;
-    `deletions` is the delivered log (`source, id_data, last_action,
-    meta_last_action_date`). Items whose member `changed_at` lies before the watermark of
-    their source are passed over; items without it are taken.
-
-    A source with a page that could not be read (no items) fails: nothing of it is
-    imported, its watermark stays, and the other sources go on. Every run of a source gets
-    its events: opened, importing, deleting, and closed with counters.
+    """Import what enabled sources have delivered and the store has not taken in.
+
+    `sources` has `name, enable, data_type`; `pages` is a landing folder, of which new files alone
+    are read, or comes from `landing.read_pages`; `deletions` is the delivered log (`source,
+    id_data, last_action, meta_last_action_date`). Whether a page is new is known from the
+    ledger of files, whatever the times of its items. Only for pages that name no file, items
+    whose member `changed_at` lies before the watermark of their source are passed over; items
+    without it are taken.
+
+    A source fails if a page of its newest delivery could not be read (no items) or if one has
+    not landed: nothing of it is imported, its watermark stays, its files stay unread, and the
+    other sources go on. What an older delivery lacks is covered by a newer one, which asks for
+    all since the last success; its pages come first. Every run of a source gets its events:
+    opened, importing, deleting, and closed with counters.
     """
     if store.has_run(run_id):
         return None
-    spark = pages.sparkSession
+    spark = store.spark
     moment = F.lit(now).cast("timestamp_ntz")
     enabled = cut(R.enabled_sources(sources).select(F.col("std_name").alias("source"), "std_name", "data_type").dropDuplicates(["source"]))
     runs = cut(stored_runs(store))
@@ -56,13 +84,23 @@ def run_incremental(
     opened = cut(R.open_runs(runs, enabled, moment, "update", filters))
     marks = cut(R.watermarks(runs).where(F.col("controler") == S.CONTROLER_DATA).select("source", "since"))
 
+    known, files = ledger.taken(store), None
+    if isinstance(pages, str):
+        listed = join_lookup(ledger.landed_files(spark, pages), enabled.select("source"), ["source"], "inner")
+        files = cut(ledger.unread(listed, known))
+        pages = ledger.read_files(spark, pages, files)
+    elif "file" in pages.columns:
+        named = join_lookup(pages.select("source", "import_id", "file").distinct(), enabled.select("source"), ["source"], "inner")
+        files = cut(ledger.unread(named, known))
+        pages = pages.join(small_side(files.select("source", "file")), ["source", "file"], "left_semi")
     landed = join_lookup(pages, opened.select("source", F.col("id").alias("_run")), ["source"], "inner")
-    unread = landed.where("items IS NULL").groupBy("source").agg(F.min("page_no").alias("page_no"))
-    failed = cut(unread.select("source", F.format_string("page %s has no items", F.col("page_no").cast("string")).alias("comment")))
-    readable = join_lookup(landed, failed.select("source", F.lit(True).alias("_failed")), ["source"], "left").where("_failed IS NULL")
-    readable = readable.withColumn("import_id", F.col("_run")).drop("_run", "_failed")
+    # Read once; a page is judged by the copy that is imported.
+    landed = cut(landed.withColumn("delivery", F.col("import_id")))
+    failed = cut(_failing(landed, known))
+    readable = join_lookup(landed.where("items IS NOT NULL"), failed.select("source", F.lit(True).alias("_failed")), ["source"], "left")
+    readable = readable.where("_failed IS NULL").withColumn("import_id", F.col("_run")).drop("_run", "_failed")
     rows = arrivals(readable, enabled.select("source", "data_type"), now)
-    if changed_at is not None:
+    if changed_at is not None and files is None:
         at = F.get_json_object("item", f"$.{changed_at}").try_cast("timestamp_ntz")
         rows = R.changed_since(rows.withColumn("_at", F.coalesce(at, moment)), marks, "_at").drop("_at")
 
@@ -83,4 +121,8 @@ def run_incremental(
         every = events.unionByName(last, allowMissingColumns=True)
         return spark.createDataFrame([], _EVENTS).unionByName(every, allowMissingColumns=True)
 
-    return import_into_store(store, run_id, rows, moment, codes, areas, gone, loader, closing)
+    added = {}
+    if files is not None:
+        done = join_lookup(files, failed.select("source", F.lit(True).alias("_failed")), ["source"], "left").where("_failed IS NULL")
+        added[ledger.TABLE] = ledger.entries(done, landed)
+    return import_into_store(store, run_id, rows, moment, codes, areas, gone, loader, closing, added)

@@ -7,7 +7,7 @@ number is the member `page_no`, else the number at the end of the file name.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery import schemas as S
@@ -17,23 +17,41 @@ from gleanery.operators.joins import join_lookup
 _LAYOUT = S.PAGE + ", page_no bigint, source string, import_id bigint"
 
 
+def _written() -> Column:
+    """When a row's file was written, in microseconds."""
+    return F.unix_micros("_metadata.file_modification_time")
+
+
+def file_name() -> Column:
+    """Name of a row's file for a store: its place and when it was written."""
+    return F.concat_ws("@", "_metadata.file_path", _written().cast("string"))
+
+
 def _with_page_no(df: DataFrame) -> DataFrame:
     digits = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\.json$", 1)
-    moment = F.col("_metadata.file_modification_time").cast("string")
-    return df.withColumns(
-        {
-            "page_no": F.coalesce("page_no", digits.try_cast("bigint")),
-            "file": F.concat_ws("@", "_metadata.file_path", moment),
-        }
-    )
+    return df.withColumns({"page_no": F.coalesce("page_no", digits.try_cast("bigint")), "file": file_name()})
 
 
-def read_pages(spark: SparkSession, folder: str, multi_line: bool = False) -> DataFrame:
+def read_pages(
+    spark: SparkSession,
+    folder: str | list[str],
+    multi_line: bool = False,
+    base: str | None = None,
+    since: int | None = None,
+) -> DataFrame:
     """Delivered pages; elements stay JSON text. Source and run prune folders.
 
-    `multi_line` is for one page per file, written over several lines.
+    `multi_line` is for one page per file, written over several lines. Files may be named one by
+    one below the folder `base`; `since` leaves files that were written before (microseconds)
+    unopened.
     """
-    return _with_page_no(spark.read.schema(_LAYOUT).option("multiLine", multi_line).json(folder))
+    reader = spark.read.schema(_LAYOUT).option("multiLine", multi_line)
+    if not folder:
+        return spark.createDataFrame([], _LAYOUT).withColumn("file", F.lit(""))
+    if base is not None:
+        reader = reader.option("basePath", base)
+    pages = reader.json(folder)
+    return _with_page_no(pages if since is None else pages.where(_written() >= since))
 
 
 def stream_pages(
@@ -47,8 +65,9 @@ def stream_pages(
 def arrivals(pages: DataFrame, data_types: DataFrame | None = None, now=None) -> DataFrame:
     """Elements of pages as raw rows with their order of arrival.
 
-    The order is that of runs and page numbers; pages of one number, as in files whose
-    names end in no page number, follow in the order of files and lines.
+    The order is that of runs (and of the column `delivery` within one, if given) and page
+    numbers; pages of one number, as in files whose names end in no page number, follow in the
+    order of files and lines.
 
     `data_types` (`source, data_type`) gives the record type of each source.
     Columns: those of `schemas.DATA_JSON`, `seq` and the uuid text as delivered.
@@ -56,7 +75,8 @@ def arrivals(pages: DataFrame, data_types: DataFrame | None = None, now=None) ->
     if "file" not in pages.columns:
         pages = pages.withColumn("file", F.lit(""))
     pages = pages.withColumn("line", F.monotonically_increasing_id())
-    rows = pages.select("source", "import_id", "page_no", "file", "line", F.posexplode("items").alias("pos", "item"))
+    order = [c for c in ("import_id", "delivery", "page_no", "file", "line") if c in pages.columns]
+    rows = pages.select("source", *order, F.posexplode("items").alias("pos", "item"))
     if data_types is not None:
         types = data_types.select("source", F.col("data_type").alias("type"))
         # One source may send a third of all rows, so this join must not shuffle on it.
@@ -76,7 +96,7 @@ def arrivals(pages: DataFrame, data_types: DataFrame | None = None, now=None) ->
             "item",
             (F.lit(now) if now is not None else F.current_timestamp()).cast("timestamp_ntz").alias("update_ts"),
             "import_id",
-            F.struct("import_id", "page_no", "file", "line", "pos").alias("seq"),
+            F.struct(*order, "pos").alias("seq"),
             F.col("_head.id_perm_sinp").alias("_raw_uuid"),
         )
     )

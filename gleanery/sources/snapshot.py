@@ -35,7 +35,7 @@ class Store:
     """
 
     def __init__(self, spark: SparkSession, root: str, ids_per_range: int = 1_000_000):
-        self._spark = spark
+        self.spark = self._spark = spark
         self.ranged_by = {"data_json": ("source", "id_data"), "facts": ("id_source", "id_synthese")}
         self.root = root.rstrip("/")
         self._ids_per_range = ids_per_range
