@@ -180,7 +180,7 @@ SCHEMAS = {
 }
 
 
-def derived_calls(turns: DataFrame, brief: bool = False) -> DataFrame:
+def derived_calls(turns: DataFrame, brief: bool = False, with_text: bool = False) -> DataFrame:
     """Assistant turns as calls: the first turns search; later ones look up.
 
     Their query is the whole text; if `brief`, what stands before its first full stop. What a call
@@ -203,9 +203,31 @@ def derived_calls(turns: DataFrame, brief: bool = False) -> DataFrame:
         F.when(first, "search").otherwise("lookup").alias("name"),
         F.when(first, searched).otherwise(looked_up).alias("arguments"),
         F.coalesce(needs, F.array().cast("array<string>")).alias("needs"),
+        *(["text"] if with_text else []),
     )
 
 
+def _beyond_first(rows: DataFrame, order: list[str]) -> DataFrame:
+    """All rows of a (conv, id) but the first in this order, copy by copy; copies are counted before they meet."""
+    body = F.struct(*order)
+    counted = rows.groupBy("conv", "id", *order).agg(F.count("*").alias("n"))
+    first = counted.groupBy("conv", "id").agg(F.min(body).alias("first"))
+    left = counted.join(first, ["conv", "id"]).withColumn("n", F.col("n") - body.eqNullSafe(F.col("first")).cast("int"))
+    return left.where("n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+
+
+def repeats(turns: DataFrame) -> DataFrame:
+    """Turns (conv, place, role, content) that a call or its result stands for already.
+
+    Of several turns of one number the first by content is the call, or the result; these are the others.
+    """
+    calls = derived_calls(turns, with_text=True).where(F.col("conv").isNotNull() & F.col("id").isNotNull())
+    again = _beyond_first(calls, ["place", "name", "arguments", "needs", "text"])
+    again = again.select("conv", "place", F.lit("assistant").alias("role"), F.col("text").alias("content"))
+    answers = derived_results(turns).join(calls.select("conv", "id").distinct(), ["conv", "id"], "left_semi")
+    return again.unionByName(_beyond_first(answers, ["place", "content", "role"]).select("conv", "place", "role", "content"))
+
+
 def derived_results(turns: DataFrame) -> DataFrame:
     """The turn behind an assistant turn as its result; a turn without role is none of an assistant."""
     rows = picked(turns, conv="conv_id", turn="turn", role="role", text="text").where("role is null or role <> 'assistant'")
@@ -234,17 +256,19 @@ def report(turns: DataFrame) -> DataFrame:
 def transcript(turns: DataFrame) -> DataFrame:
     """The whole conversations: a row per call (kind `call`), and one per turn that belongs to none (`orphan`).
 
-    The line of an orphan holds its role and its whole text; it stands at its own place. Assistant turns
-    without conversation or number are calls that nothing answers.
+    The line of an orphan holds its role and its whole text; it stands at its own place, as does a
+    further turn of a number that a call or result has (`repeat`). So every turn is in the line of a
+    call, once, or has a row of its own. Assistant turns without conversation or number are calls that
+    nothing answers.
     """
     calls, results = derived_calls(turns), derived_results(turns)
     found = link_calls(calls, results, SCHEMAS)
     called = _reported(found.unionByName(keyless(calls, SCHEMAS).select(*found.columns))).withColumn("kind", F.lit("call"))
-    return called.unionByName(_turn_lines(orphans(calls, results)).withColumn("kind", F.lit("orphan")))
+    return called.unionByName(_turn_lines(orphans(calls, results), "orphan")).unionByName(_turn_lines(repeats(turns), "repeat"))
 
 
-def _turn_lines(left: DataFrame) -> DataFrame:
-    """Turns (conv, place, role, content) in the columns of the report."""
+def _turn_lines(left: DataFrame, kind: str) -> DataFrame:
+    """Turns (conv, place, role, content) in the columns of the transcript."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,7 +284,8 @@ def _turn_lines(left: DataFrame) -> DataFrame:
         F.col("place").alias("order_at"),
         F.lit(0).alias("order_depth"),
         "name",
-        F.lit("orphan").alias("status"),
+        F.lit(kind).alias("status"),
         F.lit("").alias("faults"),
         "line",
+        F.lit(kind).alias("kind"),
     )

@@ -92,3 +92,17 @@ def test_turns_without_keys_or_role_stay(spark):
     assert next(json.loads(r["line"])["result"] for r in calls if r["conv_id"] == 2) == "of no role"
     left = sorted(r["line"] for r in rows if r["kind"] == "orphan")
     assert left == ['{"role":"user","text":"nor this"}', '{"role":"user","text":"u"}', '{"role":null,"text":"alone"}', '{"role":null,"text":null}']
+
+
+def test_every_turn_is_in_a_call_or_a_row_of_its_own(spark):
+    turns = [(1, 0, "user", "ask"), (1, 1, "assistant", "d e f"), (1, 1, "assistant", "a b c"), (1, 1, "assistant", "a b c"), (1, 2, "user", "r2"), (1, 2, "user", "r1"), (1, 2, "tool", "r1")]
+    turns += [(2, 1, "assistant", None), (2, 1, "assistant", ""), (2, 2, None, None), (2, 2, "user", None), (3, 9, "user", "x"), (3, 9, "user", "x"), (None, 1, "assistant", "n"), (None, 1, "assistant", "n")]
+    df = spark.createDataFrame([(*t, "x", 1) for t in turns], "conv_id long, turn long, role string, text string, line string, n int")
+    rows = chat.transcript(df).collect()
+    own = [r for r in rows if r["kind"] != "call"]
+    answered = sum("result" in json.loads(r["line"]) for r in rows if r["kind"] == "call")
+    assert len(rows) + answered == len(turns)
+    # What the rows say is what the turns said.
+    said = sorted(str(json.loads(r["line"])["text"]) for r in own if r["kind"] == "repeat")
+    assert said == ["", "None", "a b c", "d e f", "r1", "r2"]
+    assert sorted(json.loads(r["line"])["text"] for r in own if r["kind"] == "orphan") == ["ask", "x", "x"]
