@@ -1,13 +1,16 @@
 """Exact top-k search with vector-approximation files.
 
-Every vector is quantised: each dimension is cut into cells, and the cell numbers (one byte
-per dimension) are the approximation file. A query first scans the cells alone, which bound
-its inner product with every vector from above; exact vectors are then read in descending
-order of the bound, until the kth result is at least the best bound that is left.
-
-Vectors travel in blocks of bounded size. Blocks of queries are repeated over slots of data
-blocks and joined by the slot, so no task holds more than one pair of blocks, and every pair
-returns its k best rows per query only.
+Every vector is quantised: each dimension of a block is cut into cells of equal width, and the cell
+numbers (one byte per dimension) are the approximation file, written once beside the exact vectors. A
+search first scans the cells alone. They bound an inner product from both sides: with the lower
+edges of the cells it is one product of matrices, and what the widths can add is one number per
+query and block. A candidate whose upper bound is below the kth best lower bound, first of its
+block and then of all blocks, is out. Exact vectors are then read in descending order of the upper
+bound, a few ranks at a time, until the kth result is at least the best bound that is left.
+
+Blocks of queries are repeated over slots of cell blocks and joined by the slot (the stated set of
+queries against all rows), so no task holds more than one pair of blocks; exact vectors are
+fetched by row number, for the candidates of that step only.
 
 Defined results: vectors that are null, empty, of another length than the first dimension
 count asked for, or that hold null or non-finite components take no part, neither as query nor
@@ -32,95 +35,98 @@ from gleanery.llm.common import picked, written
 BLOCK_ROWS = 4096
 QUERY_ROWS = 512
 CELLS = 64
+#: Ranks of candidates read in the first step, as a multiple of k; every step takes so many times more.
+FIRST_STEP = 2
+MORE = 4
 
 
-def _blocks(size: int):
-    """Pack rows (id, vector) into blocks of at most `size` rows of one length."""
+def _parts(batch: pa.RecordBatch, column: int, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, rows, matrix) of at most `size` vectors of one length."""
+    vectors = batch.column(column)
+    lengths = np.diff(vectors.offsets.to_numpy())
+    flat = vectors.values.to_numpy(zero_copy_only=False)
+    starts = vectors.offsets.to_numpy()[:-1]
+    for dim in np.unique(lengths).tolist():
+        rows = np.flatnonzero(lengths == dim)
+        for i in range(0, len(rows), size):
+            part = rows[i : i + size]
+            yield dim, part, flat[starts[part][:, None] + np.arange(dim)]
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            vectors = batch.column(1)
-            lengths = np.diff(vectors.offsets.to_numpy())
-            flat = vectors.values.to_numpy(zero_copy_only=False)[vectors.offsets[0].as_py() :]
-            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(lengths) else lengths
-            for dim in np.unique(lengths):
-                rows = np.flatnonzero(lengths == dim)
-                for i in range(0, len(rows), size):
-                    part = rows[i : i + size]
-                    matrix = flat[starts[part][:, None] + np.arange(dim)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([int(dim)], pa.int32()), pa.array([ids[part].astype("<i8").tobytes()]), pa.array([matrix.astype("<i8").tobytes()])],
-                        ["dim", "ids", "vectors"],
-                    )
 
-    return pack
+def _bytes(values: np.ndarray) -> bytes:
+    return values.astype("<i8").tobytes()
 
 
-def _quantise(matrix: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Cell numbers, and the lowest and highest value of every cell, by dimension."""
+def quantise(matrix: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cell numbers, and the lowest value and the width of the cells, by dimension."""
     low, high = matrix.min(0), matrix.max(0)
     width = np.maximum(1, -(-(high - low + 1) // cells))
     return ((matrix - low) // width).astype(np.uint8), low, width
 
 
-def _search(k: int, cells: int):
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _approximations(size: int, cells: int):
+    """Rows (row, id, v) as blocks of cells."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                dim = row["dim"]
-                query_ids = np.frombuffer(row["q_ids"], "<i8")
-                queries = np.frombuffer(row["q_vectors"], "<i8").reshape(-1, dim)
-                ids = np.frombuffer(row["ids"], "<i8")
-                exact = np.frombuffer(row["vectors"], "<i8").reshape(-1, dim)
-                codes, low, width = _quantise(exact, cells)
-                # float64 holds these integers exactly below 2**53; larger sums are widened by a safe margin
-                floor = (low + codes * width).astype(np.float64)
-                roof = floor + (width - 1)
-                q = queries.astype(np.float64)
-                bound = np.maximum(q, 0) @ roof.T + np.minimum(q, 0) @ floor.T
-                bound += np.abs(bound) * 1e-12
-                out_q, out_id, out_score = [], [], []
-                for i, query_id in enumerate(query_ids):
-                    found = _nearest(queries[i], int(query_id), ids, exact, bound[i], k)
-                    out_q += [int(query_id)] * len(found)
-                    out_id += [v for _, v in found]
-                    out_score += [-s for s, _ in found]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out_q, pa.int64()), pa.array(out_id, pa.int64()), pa.array(out_score, pa.int64())],
-                    ["query_id", "vec_id", "score"],
-                )
-
-    return search
-
-
-def _nearest(query: np.ndarray, own: int, ids: np.ndarray, exact: np.ndarray, bound: np.ndarray, k: int) -> list[tuple[int, int]]:
-    """(-score, id) of the k best, reading exact vectors in descending order of the bound."""
-    best: list[tuple[int, int]] = []
-    step, done, n = 4 * k, 0, len(ids)
-    take = min(n, step)
-    order = np.argpartition(-bound, take - 1)[:take] if take < n else np.arange(n)
-    order = order[np.argsort(-bound[order], kind="stable")]
-    while True:
-        read = order[done:]
-        scores = exact[read] @ query
-        keep = ids[read] != own
-        best = sorted(best + list(zip((-scores[keep]).tolist(), ids[read][keep].tolist(), strict=True)))[:k]
-        done = len(order)
-        if done == n:
-            return best
-        rest_mask = np.ones(n, bool)
-        rest_mask[order] = False
-        if len(best) == k and -best[-1][0] > bound[rest_mask].max():
-            return best
-        # not certain yet: read all that can still reach the kth score, ties included
-        rest = np.flatnonzero(rest_mask)
-        if len(best) == k:
-            rest = rest[bound[rest] >= -best[-1][0]]
-            scores = exact[rest] @ query
-            keep = ids[rest] != own
-            return sorted(best + list(zip((-scores[keep]).tolist(), ids[rest][keep].tolist(), strict=True)))[:k]
-        order = np.concatenate([order, rest[np.argsort(-bound[rest], kind="stable")][:step]])
+            numbers, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for dim, part, matrix in _parts(batch, 2, size):
+                codes, low, width = quantise(matrix, cells)
+                fields = [_bytes(numbers[part]), _bytes(ids[part]), codes.tobytes(), _bytes(low), _bytes(width)]
+                yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), *(pa.array([f]) for f in fields)], ["dim", "rows", "ids", "cells", "low", "width"])
+
+    return pack
+
+
+def _queries(size: int):
+    """Rows (id, v) as blocks of queries."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for dim, part, matrix in _parts(batch, 1, size):
+                fields = [pa.array([dim], pa.int32()), pa.array([_bytes(ids[part])]), pa.array([_bytes(matrix)])]
+                yield pa.RecordBatch.from_arrays(fields, ["dim", "q_ids", "q_vectors"])
+
+    return pack
+
+
+def bounds(queries: np.ndarray, codes: np.ndarray, low: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds of the inner products, a row per query.
+
+    float64 holds these integers exactly below 2**53; larger ones are widened by a safe margin.
+    """
+    q, step = queries.astype(np.float64), width.astype(np.float64)
+    edge = (q * step) @ codes.T.astype(np.float64) + (q @ low.astype(np.float64))[:, None]
+    least = edge + (np.minimum(q, 0) @ (step - 1))[:, None]
+    most = edge + (np.maximum(q, 0) @ (step - 1))[:, None]
+    scale = (np.abs(q * step) @ np.full(len(step), 255.0) + np.abs(q) @ np.abs(low.astype(np.float64)))[:, None]
+    margin = np.where(scale < 2.0**52, 0.0, scale * 1e-12)
+    return least - margin, most + margin
+
+
+CANDIDATE = "query_id long, row long, id long, least double, most double"
+
+
+def _scan(k: int):
+    """Candidates that can be among the k best of their block, from the cells alone."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pair in batch.to_pylist():
+                dim = pair["dim"]
+                read = lambda c: np.frombuffer(pair[c], "<i8")  # noqa: E731, B023
+                asked, rows, ids = read("q_ids"), read("rows"), read("ids")
+                codes = np.frombuffer(pair["cells"], np.uint8).reshape(-1, dim)
+                least, most = bounds(read("q_vectors").reshape(-1, dim), codes, read("low"), read("width"))
+                own = ids == asked[:, None]
+                least[own], most[own] = -np.inf, -np.inf
+                kth = np.partition(least, len(rows) - k, axis=1)[:, len(rows) - k] if len(rows) > k else np.full(len(asked), -np.inf)
+                q, at = np.nonzero((most >= kth[:, None]) & ~own)
+                columns = [pa.array(x) for x in (asked[q], rows[at], ids[at], least[q, at], most[q, at])]
+                yield pa.RecordBatch.from_arrays(columns, ["query_id", "row", "id", "least", "most"])
+
+    return scan
 
 
 def integers(vector: Column, scale: int) -> Column:
@@ -131,6 +137,39 @@ def integers(vector: Column, scale: int) -> Column:
     return F.when(vector.isNotNull() & ~F.coalesce(bad, F.lit(True)) & (F.size(vector) > 0), whole)
 
 
+def _kth(rows: DataFrame, column: str, k: int) -> DataFrame:
+    """(query_id, kth): the kth highest value of each query that has so many."""
+    at = Window.partitionBy("query_id").orderBy(F.desc(column))
+    best = rows.select("query_id", column).withColumn("at", F.row_number().over(at)).where(F.col("at") <= k)
+    return best.where(F.col("at") == k).select("query_id", F.col(column).alias("kth"))
+
+
+def _survivors(pairs: DataFrame, k: int) -> DataFrame:
+    """Candidates of all blocks by rank of their upper bound."""
+    scanned = written(pairs.mapInArrow(_scan(k), CANDIDATE))
+    left = scanned.join(_kth(scanned, "least", k), "query_id", "left").where("kth IS NULL OR most >= kth")
+    by_bound = Window.partitionBy("query_id").orderBy(F.desc("most"), "id", "row")
+    return written(left.select("query_id", "row", "id", "most", F.row_number().over(by_bound).alias("rank")))
+
+
+def _read_in_order(survivors: DataFrame, rows: DataFrame, asked: DataFrame, k: int) -> tuple[DataFrame, int]:
+    """Exact scores of candidates, in steps until the kth result is certain, and the number of vectors read."""
+    vectors, queries = rows.select("row", "v"), asked.select(F.col("id").alias("query_id"), F.col("v").alias("q"))
+    product = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0).cast("long"), lambda a, x: a + x)
+    done, read, last, step = None, 0, 0, FIRST_STEP * k
+    open_ = survivors
+    while True:
+        now = open_.where((F.col("rank") > last) & (F.col("rank") <= step))
+        scored = written(now.join(vectors, "row").join(queries, "query_id").select("query_id", F.col("id").alias("vec_id"), product.alias("score")))
+        read += scored.count()
+        done = scored if done is None else done.unionByName(scored)
+        left = open_.where(F.col("rank") > step).join(_kth(done, "score", k), "query_id", "left")
+        open_ = written(left.where("kth IS NULL OR most >= kth").select(survivors.columns))
+        if open_.isEmpty():
+            return done, read
+        last, step = step, step * MORE
+
+
 def top_k(
     df: DataFrame,
     k: int = 5,
@@ -145,16 +184,16 @@ def top_k(
     """The k highest integer inner products of every query row (id divisible by `every`)."""
     rows = picked(df, id=key, v=vector).select(F.col("id").cast("long"), integers(F.col("v"), scale).alias("v"))
     rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull())
-    asked = rows.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
-    block = "dim int, ids binary, vectors binary"
-    data = written(rows.mapInArrow(_blocks(block_rows), block))
-    queries = written(asked.mapInArrow(_blocks(query_rows), block))
-    slots = max(1, data.count())
-    data = data.withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(slots)).cast("int"))
-    every_slot = F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))
-    repeated = queries.select("dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), every_slot.alias("slot"))
-    pairs = data.join(repeated, ["slot", "dim"]).drop("slot")
-    found = pairs.mapInArrow(_search(k, cells), "query_id long, vec_id long, score long")
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()))
+    asked = written(rows.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v")))
+    layout = "dim int, rows binary, ids binary, cells binary, low binary, width binary"
+    blocks = written(rows.select("row", "id", "v").mapInArrow(_approximations(block_rows, cells), layout))
+    queries = written(asked.mapInArrow(_queries(query_rows), "dim int, q_ids binary, q_vectors binary"))
+    slots = max(1, blocks.count())
+    blocks = blocks.withColumn("slot", F.pmod(F.xxhash64("rows"), F.lit(slots)).cast("int"))
+    repeated = queries.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    survivors = _survivors(blocks.join(repeated, ["slot", "dim"]).drop("slot"), k)
+    found, _ = _read_in_order(survivors, rows, asked, k)
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(ranked))

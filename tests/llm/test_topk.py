@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 
+from gleanery.llm import topk
 from gleanery.llm.topk import top_k
 
 SCHEMA = "vec_id long, embedding array<float>, score string, rank int"
@@ -39,3 +40,26 @@ def test_equals_brute_force_with_ties_copies_and_bad_vectors(spark):
 def test_fewer_candidates_and_no_rows(spark):
     check(spark, [(0, [1.0, 2.0]), (1, [3.0, 4.0])])
     check(spark, [])
+
+
+def test_bounds_hold_from_the_cells_alone():
+    rng = np.random.default_rng(5)
+    for spread in (3, 1000, 10**7):
+        matrix, queries = rng.integers(-spread, spread, (200, 12)), rng.integers(-spread, spread, (9, 12))
+        codes, low, width = topk.quantise(matrix, 64)
+        assert codes.dtype == np.uint8 and codes.max() < 64
+        least, most = topk.bounds(queries, codes, low, width)
+        exact = queries @ matrix.T
+        assert (least <= exact).all() and (exact <= most).all()
+
+
+def test_few_exact_vectors_are_read(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(3000)]
+    read = []
+    in_order = topk._read_in_order
+    monkeypatch.setattr(topk, "_read_in_order", lambda *a: read.append(in_order(*a)) or read[-1])
+    df = spark.createDataFrame([(i, v, "x", 0) for i, v in rows], SCHEMA)
+    got = top_k(df, k=5, every=100, block_rows=256).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == brute(rows, 5, 100, 256)
+    assert read[0][1] < 30 * 3000 / 100  # of 30 times 3 000 products
