@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleanery.llm.secrets import EXAMPLE_OWNERS
+from gleanery.llm.secrets import EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES
 
 TOP_K = """WITH v AS (
     SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
@@ -36,10 +36,10 @@ _ASSIGN = (
 
 
 def _found(kind: int, name: str, pattern: str, group: int, keep: str) -> str:
-    return f"""SELECT doc_id, owner, {kind} AS kind, '{name}' AS name, x.at AS a, x.at + length(x.m) AS b, x.v AS v FROM (
-        SELECT doc_id, owner, unnest([{{'at': CAST(list_sum([length(s) FOR s IN g[1:i]]) + coalesce(list_sum([length(s) FOR s IN m[1:i - 1]]), 0) AS BIGINT), 'm': m[i], 'v': v[i]}}
+    return f"""SELECT doc_id, owner, repository, {kind} AS kind, '{name}' AS name, x.at AS a, x.at + length(x.m) AS b, x.v AS v FROM (
+        SELECT doc_id, owner, repository, unnest([{{'at': CAST(list_sum([length(s) FOR s IN g[1:i]]) + coalesce(list_sum([length(s) FOR s IN m[1:i - 1]]), 0) AS BIGINT), 'm': m[i], 'v': v[i]}}
             FOR i IN range(1, len(m) + 1)]) AS x
-        FROM (SELECT doc_id, coalesce(source, '') AS owner, regexp_extract_all(text, '{pattern}') AS m,
+        FROM (SELECT doc_id, coalesce(source, '') AS owner, coalesce(lang, '') AS repository, regexp_extract_all(text, '{pattern}') AS m,
             regexp_extract_all(text, '{pattern}', {group}) AS v, string_split_regex(text, '{pattern}') AS g FROM documents)) WHERE {keep}"""
 
 
@@ -47,13 +47,15 @@ SECRETS = f"""WITH found AS ({_found(0, "assign", _ASSIGN, 2, "length(x.v) >= 6"
     UNION ALL {_found(1, "access", "AKIA[A-Z0-9]{16,}", 0, "true")}
     UNION ALL {_found(2, "hex", "[0-9a-f]{24,}", 0, "true")}
     UNION ALL {_found(3, "live", "[A-Za-z0-9+/_=-]{20,}", 0, "regexp_matches(x.v, '[a-z]') AND regexp_matches(x.v, '[A-Z]') AND regexp_matches(x.v, '[0-9]')")}),
-owned AS (SELECT v, count(DISTINCT owner) >= {EXAMPLE_OWNERS} AS example FROM found GROUP BY v),
-spans AS (SELECT f.*, o.example, name || ':' || a || ':' || b AS listed FROM found f JOIN owned o USING (v) WHERE kind < 3 OR NOT o.example),
+owned AS (SELECT v, count(DISTINCT owner) AS owners, count(DISTINCT {{'o': owner, 'r': repository}}) AS repositories FROM found GROUP BY v),
+told AS (SELECT f.*, owners, repositories, owners >= {EXAMPLE_OWNERS} OR repositories >= {EXAMPLE_REPOSITORIES} AS example FROM found f JOIN owned USING (v)),
+spans AS (SELECT *, name || ':' || a || ':' || b AS listed FROM told WHERE kind < 3 OR NOT example),
 by_doc AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
     sha256(coalesce(string_agg(listed, ',' ORDER BY a, kind) FILTER (kind < 3), '')) AS base_sha256, string_agg(listed, ',' ORDER BY a, kind) AS spans,
-    count(*) FILTER (kind = 3) AS n_live, count(*) FILTER (example) AS n_example FROM spans GROUP BY doc_id)
+    count(*) FILTER (kind = 3) AS n_live, count(*) FILTER (example) AS n_example, max(owners) AS most_owners, max(repositories) AS most_repositories FROM spans GROUP BY doc_id)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-    coalesce(base_sha256, sha256('')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+    coalesce(base_sha256, sha256('')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example,
+    coalesce(most_owners, 0) AS most_owners, coalesce(most_repositories, 0) AS most_repositories
 FROM documents LEFT JOIN by_doc USING (doc_id)"""
 
 JACCARD = r"""WITH RECURSIVE d AS (

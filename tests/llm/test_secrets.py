@@ -44,3 +44,23 @@ def test_masking(spark):
     assert got[4] == "[SECRET]' and Token:abc then [SECRET]\""
     assert got[7].startswith("é𝒳 [SECRET] ü [SECRET] secret: é password=ä")
     assert got[8] == "key [SECRET] end" and got[10] == COPIED
+
+
+def test_values_in_many_repositories_are_examples(spark):
+    rows = [(i, f"key {COPIED} {H}", "one", lang) for i, lang in enumerate(["en", "de", "fr", "es"])] + [(9, f"key {LIVE}", "one", "en"), (10, f"key {LIVE}", "two", "en")]
+    got = {r["doc_id"]: r for r in report(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).collect()}
+    assert got[0]["n_live"] == 0 and (got[0]["most_owners"], got[0]["most_repositories"]) == (1, 4)
+    assert got[9]["n_live"] == 1 and (got[9]["most_owners"], got[9]["most_repositories"]) == (2, 2)
+
+
+def test_a_text_of_many_matches(spark):
+    text = "é" + " ".join(f"token=abcd{i:06d};x" for i in range(5_000))
+    df = spark.createDataFrame([(1, text, "a", "en")], "doc_id long, text string, source string, lang string")
+    row = report(df).first()
+    assert tuple(row)[1:5] == brute(text)
+    assert mask(df).first()["text"] == re.sub("token=abcd[0-9]{6}", "[SECRET]", text)
+
+
+def test_columns_of_any_name_stay(spark):
+    df = spark.createDataFrame([(1, "token=abcdef", "a", "en", 1, 2, 3, 4)], "doc_id long, text string, source string, lang string, _spans int, _text int, _doc int, _found int")
+    assert [tuple(r) for r in mask(df).collect()] == [(1, "[SECRET]", "a", "en", 1, 2, 3, 4)]
