@@ -12,8 +12,14 @@ parts that the sample happens not to have are known as well, each training page
 named from `ASIDE` with blocks of other pages are put around and into its article, and the article's
 own tag is renamed from `MAIN`.
 
-Defined results: a null or empty page, one without blocks, and every page if nothing could be
-learned, has an empty text. Titles of pages, scripts, styles and templates are no blocks, nor is
+Where fewer than `LEAST_MARKED` sampled pages mark their article, pages are composed as well, each from
+some blocks of a given page as its article; the parts around it come from the variation. So something
+is learned whenever the table has a block at all.
+
+Of a training page the first `TRAIN_CHARS` characters are read, so that the sample is bounded in bytes;
+extraction reads whole pages.
+
+Defined results: a null or empty page and one without blocks has an empty text. Titles of pages, scripts, styles and templates are no blocks, nor is
 anything else hidden. A head ends with its tag, or with the first tag or text that cannot stand in it.
 Unclosed and unknown tags are taken as they come, a tag that the page ends in is dropped. White space is
 what Unicode calls so. Repeated pages give a row each.
@@ -29,13 +35,19 @@ from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import picked
+from gleanery.llm.pieces import _slices
 
 #: Bound of the training sample, and the longest training sequence.
 SAMPLE_PAGES = 240
+LEAST_MARKED = 60
+TRAIN_CHARS = 40_000
+#: Bytes of pages that are labelled together.
+TOGETHER = 1 << 23
 TRAIN_BLOCKS = 48
 HIDDEN = 12
 STEPS = 300
@@ -324,25 +336,37 @@ def train(pages: list[list[Block]], steps: int = STEPS, seed: int = 0) -> Labell
     return net
 
 
+def composed(page: list[Block], rng: np.random.Generator) -> list[Block]:
+    """A page with some blocks of the given one as its article."""
+    some = rng.permutation(len(page))[: int(rng.integers(1, 7))]
+    return [Block(page[i].text, ("article", "h1" if n == 0 and rng.random() < 0.5 else "p"), 0) for n, i in enumerate(some)]
+
+
 def fit(pages: DataFrame, html: str = "html", most: int = SAMPLE_PAGES) -> dict[str, np.ndarray]:
-    """Weights from `most` distinct pages that mark their article, or all there are; empty if there are none."""
+    """Weights from `most` distinct pages that mark their article, or all there are, and from composed ones.
+
+    Empty if no page has a block.
+    """
     parsed = [b for page in sample(pages, html, most) if any(own_labels(b := blocks(page)))]
+    if len(parsed) < LEAST_MARKED:
+        rng = np.random.default_rng(1)
+        plain = [b for page in sample(pages, html, most, F.col("html") != "") if (b := blocks(page))]
+        parsed += [composed(plain[i % len(plain)], rng) for i in range(most - len(parsed))] if plain else []
     return train(parsed).plain() if parsed else {}
 
 
-def sample(pages: DataFrame, html: str = "html", most: int = SAMPLE_PAGES) -> list[str]:
-    """`most` distinct pages with a tag for the article, or all there are, by the hash of the page.
+def sample(pages: DataFrame, html: str = "html", most: int = SAMPLE_PAGES, good: Column | None = None) -> list[str]:
+    """`most` distinct pages that are good (that have a tag for the article), or all there are, by the hash of the page.
 
     Their number is estimated first, and about four times the wanted share of them is looked at; if too
     few come, again with a larger share.
     """
-    marked = picked(pages, html=html).where(F.col("html").rlike("(?i)<(article|main)[ >]"))
+    marked = picked(pages, html=html).where(F.col("html").rlike(r"(?i)<(article|main)[\s/>]") if good is None else good)
     h = F.xxhash64("html")
     share = min(1.0, (4 * most + 50) / max(1, marked.agg(F.approx_count_distinct(h)).first()[0]))
     while True:
         some = marked.where(F.shiftrightunsigned(h, 11) * F.lit(2.0**-53) < share)
-        # pages are cut for training only, so that the sample is bounded in bytes as well
-        found = some.select(h.alias("h"), F.substring("html", 1, 40_000).alias("html")).groupBy("h").agg(F.min("html").alias("html")).orderBy("h").limit(most).collect()
+        found = some.select(h.alias("h"), F.substring("html", 1, TRAIN_CHARS).alias("html")).groupBy("h").agg(F.min("html").alias("html")).orderBy("h").limit(most).collect()
         if len(found) == most or share == 1:
             return [r["html"] for r in found]
         share = min(1.0, 8 * share)
@@ -356,11 +380,14 @@ def extract(pages: DataFrame, weights: dict[str, np.ndarray], key: str = "page_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = Labeller.of(shared.value) if shared.value else None
         for batch in batches:
-            parsed = [blocks(x.as_py()) for x in batch.column(2)]
-            labels = net.label([vectors(p) for p in parsed]) if net else [np.zeros(len(p), bool) for p in parsed]
-            texts = [" ".join([b.text for b, y in zip(p, own, strict=True) if y]) for p, own in zip(parsed, labels, strict=True)]
-            columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
+            sizes = pc.binary_length(batch.column(2)).fill_null(0).to_pylist()
+            for a, b in _slices(sizes, TOGETHER):
+                part = batch.slice(a, b - a)
+                parsed = [blocks(x.as_py()) for x in part.column(2)]
+                labels = net.label([vectors(p) for p in parsed]) if net else [np.zeros(len(p), bool) for p in parsed]
+                texts = [" ".join([b.text for b, y in zip(p, own, strict=True) if y]) for p, own in zip(parsed, labels, strict=True)]
+                columns = [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 
     kinds = {c: rows.schema[c].dataType.simpleString() for c in ("page_id", "url")}
     return rows.mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")

@@ -64,7 +64,7 @@ def test_pages_of_several_makes(spark):
 
 
 def test_nothing_to_learn_from(spark):
-    df = spark.createDataFrame([(1, "u", "<p>x</p>")], "page_id long, url string, html string")
+    df = spark.createDataFrame([(1, "u", "<div><!-- x --></div>")], "page_id long, url string, html string")
     assert [r["text"] for r in htmltext.report(df).collect()] == [""]
     assert htmltext.report(df.limit(0)).count() == 0
 
@@ -90,3 +90,15 @@ def test_only_titles_scripts_styles_and_templates_are_hidden():
 def test_all_words_of_a_block_count():
     one, other = (htmltext.Block(" ".join(["word"] * 100 + [w] * 100 + ["word"] * 100), ("p",)) for w in ("midst", "other"))
     assert (htmltext.vectors([one]) != htmltext.vectors([other])).any()
+
+
+def test_pages_that_mark_no_article_have_texts(spark):
+    rng = np.random.default_rng(6)
+    pages = [page(rng, i, "div.content") for i in range(50)]
+    broken = "<article\nclass='x'><p>Body of it.</p></article>"
+    df = spark.createDataFrame([(i, "u", h) for i, (h, _) in enumerate(pages)] + [(99, "u", broken)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in htmltext.report(df).collect()}
+    right = sum(got[i] == t for i, (_, t) in enumerate(pages))
+    assert right >= 45 and got[99] == "Body of it."
+    nothing = spark.createDataFrame([(1, "u", None), (2, "u", "<div></div>")], "page_id long, url string, html string")
+    assert [r["text"] for r in htmltext.report(nothing).collect()] == ["", ""]
