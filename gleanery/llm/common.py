@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,14 +13,29 @@ def picked(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
 
-@cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="llm-")
+def free(df: DataFrame, name: str) -> str:
+    """The name, or a longer one that no column of the table has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder below `spark.checkpoint.dir`; a folder of our own only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """A fresh folder below `spark.checkpoint.dir`, or below the session's checkpoint folder.
+
+    All machines must see it, so on a cluster there is no default; a session on one machine has
+    its warehouse.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        set_by_call = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if not set_by_call.isEmpty():
+            root = set_by_call.get()
+        elif spark.sparkContext.master.split("[")[0] == "local":
+            root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 

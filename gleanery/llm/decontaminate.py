@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import picked, written
+from gleanery.llm.common import free, picked, written
 
 #: Windows of one broadcast; a window weighs some 300 bytes.
 BLOCK_WINDOWS = 200_000
@@ -118,19 +118,18 @@ def _pass(block, n: int):
     return scan
 
 
-def find_windows(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", n: int = 10) -> DataFrame:
-    """The documents with `_n_words`, `_spans` (hit words) and `_items` (items that occur)."""
+def _found(docs: DataFrame, benchmark: DataFrame, text: str, n: int, item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The given row as `_given`, `_n_words`, `_spans` (hit words) and `_items` (items that occur)."""
     items = picked(benchmark, item=item_key, body=item_text).select(F.col("item").cast("string"), "body").where(F.col("body").isNotNull()).distinct()
     windows = items.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0))).first()[0] // 2
     blocks = max(1, -(-windows // BLOCK_WINDOWS))
     spark = docs.sparkSession
-    out = docs.withColumns(
-        {
-            "_text": F.col(f"`{text}`"),
-            "_n_words": F.lit(0).cast("long"),
-            "_spans": F.array().cast("array<struct<start:bigint,end:bigint>>"),
-            "_items": F.array().cast("array<string>"),
-        }
+    out = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_given"),
+        F.col(f"`{text}`").alias("_text"),
+        F.lit(0).cast("long").alias("_n_words"),
+        F.array().cast("array<struct<start:bigint,end:bigint>>").alias("_spans"),
+        F.array().cast("array<string>").alias("_items"),
     )
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == b)
@@ -141,6 +140,16 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
     return out.drop("_text")
 
 
+def find_windows(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", n: int = 10) -> DataFrame:
+    """The documents with `_n_words`, `_spans` (hit words) and `_items` (items that occur).
+
+    These take the place of given columns of their names.
+    """
+    own = ["_n_words", "_spans", "_items"]
+    kept = [F.col("_given")[c].alias(c) for c in docs.columns if c.lower() not in own]
+    return _found(docs, benchmark, text, n, item_key, item_text).select(*kept, *own)
+
+
 def _digest(items: Column) -> Column:
     return F.sha2(F.array_join(F.array_sort(items), ","), 256)
 
@@ -161,21 +170,22 @@ def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = 10, share: float = 0.0) -> DataFrame:
     """Keep the documents of whose words at most `share` are hit; columns as given."""
-    found = find_windows(docs, benchmark, text=text, n=n)
+    found = _found(docs, benchmark, text, n)
     hit = F.aggregate("_spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
-    return found.where(hit <= F.col("_n_words") * share).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return found.where(hit <= F.col("_n_words") * share).select(*[F.col("_given")[c].alias(c) for c in docs.columns])
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = 10) -> DataFrame:
     """Cut the hit words out of the texts, with what stands between them; columns as given."""
-    columns = docs.columns
+    columns, spans = docs.columns, free(docs, "_spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [_without(t.as_py(), s.as_py()) for t, s in zip(batch[text], batch["_spans"], strict=True)]
+            texts = [_without(t.as_py(), s.as_py()) for t, s in zip(batch[text], batch[spans], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == text else batch[c] for c in columns], columns)
 
-    return find_windows(docs, benchmark, text=text, n=n).mapInArrow(cut, docs.schema)
+    given = [F.col("_given")[c].alias(c) for c in columns]
+    return _found(docs, benchmark, text, n).select(*given, F.col("_spans").alias(spans)).mapInArrow(cut, docs.schema)
 
 
 def _without(text: str | None, spans: list[dict]) -> str | None:

@@ -17,12 +17,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from gleanery.llm.common import picked
+from gleanery.llm.common import free, picked
+from gleanery.llm.pieces import _slices
 
 UNKNOWN = "und"
 #: Bound of the training sample: texts per language, characters of each.
@@ -36,6 +38,8 @@ RATE = 0.02
 #: Bytes that a stretch has when predicting, and stretches that advance together.
 STRETCH = 128
 TOGETHER = 4096
+#: Bytes of texts that are read together; a longer text stands alone.
+TEXT = 1 << 24
 
 
 class Direction:
@@ -248,8 +252,8 @@ def predict_texts(texts: list[str | None], names: list[str], net: Network | None
     return [names[b] if r else UNKNOWN for b, r in zip(best, raw, strict=True)], score.tolist()
 
 
-def predict(df: DataFrame, model: tuple[list[str], dict[str, np.ndarray]], text: str = "text") -> DataFrame:
-    """All columns, `_lang` and `_score`; whole texts are read."""
+def predict(df: DataFrame, model: tuple[list[str], dict[str, np.ndarray]], text: str = "text", into: tuple[str, str] = ("_lang", "_score")) -> DataFrame:
+    """All columns, language and score; whole texts are read. `into` names no given column."""
     shared = df.sparkSession.sparkContext.broadcast(model)
     columns = df.columns
 
@@ -257,10 +261,13 @@ def predict(df: DataFrame, model: tuple[list[str], dict[str, np.ndarray]], text:
         names, weights = shared.value
         net = Network.of(weights) if names else None
         for batch in batches:
-            lang, score = predict_texts(batch.column(columns.index(text)).to_pylist(), names, net)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*columns, "_lang", "_score"])
+            sizes = pc.binary_length(batch.column(columns.index(text))).fill_null(0).to_pylist()
+            for a, b in _slices(sizes, TEXT):
+                part = batch.slice(a, b - a)
+                lang, score = predict_texts(part.column(columns.index(text)).to_pylist(), names, net)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*columns, *into])
 
-    more = [T.StructField("_lang", T.StringType()), T.StructField("_score", T.DoubleType())]
+    more = [T.StructField(into[0], T.StringType()), T.StructField(into[1], T.DoubleType())]
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *more]))
 
 
@@ -273,7 +280,8 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
 def keep_known(docs: DataFrame, model: tuple[list[str], dict[str, np.ndarray]], wanted: list[str] | None = None, least: float = 0.0, text: str = "text") -> DataFrame:
     """Drop documents without language, of languages not wanted, or below the least score."""
-    found = predict(docs, model, text).where((F.col("_lang") != UNKNOWN) & (F.col("_score") >= least))
+    lang, score = free(docs, "_lang"), free(docs, "_score")
+    found = predict(docs, model, text, (lang, score)).where((F.col(lang) != UNKNOWN) & (F.col(score) >= least))
     if wanted is not None:
-        found = found.where(F.col("_lang").isin(wanted))
-    return found.drop("_lang", "_score")
+        found = found.where(F.col(lang).isin(wanted))
+    return found.drop(lang, score)
