@@ -17,10 +17,12 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanery import schemas as S
+from gleanery.operators.components import components
 from gleanery.operators.lineage import cut
 
 KEY = S.DATA_KEY
@@ -85,7 +87,9 @@ def accept_keys(
 
     With one uuid per key (the normal case) a single pass decides. A key that came
     with several uuids may take a later one, which can free or block others; then
-    the claims are settled in rounds, earliest first, until none is left.
+    the claims fall into components by the keys and uuids they share, and each component is
+    settled row by row, in one task. Components of more than `REPLAY_CLAIMS` claims are settled
+    in rounds, earliest claims first, until none is left.
     """
     # Read several times below, and made from the keys of the whole table: written once.
     claims = cut(_claims(batch, state))
@@ -99,7 +103,7 @@ def accept_keys(
 
     open_claims = cut(claims.join(holders, "uuid", "left_anti").select(*KEY, "uuid", "first_seq"))
     nobody = holders.limit(0)
-    accepted = None
+    accepted, open_claims = _replayed(open_claims)
     while not open_claims.isEmpty():
         free = open_claims.where("uuid IS NULL").select(*KEY, "uuid", "first_seq")
         best_of_uuid = _winners(open_claims, nobody).select(*KEY, "uuid", "first_seq").unionByName(free)
@@ -114,6 +118,47 @@ def accept_keys(
     return (accepted if accepted is not None else claims.select(*KEY, "uuid", "first_seq").limit(0)), False
 
 
+#: Claims of a component that one task settles.
+REPLAY_CLAIMS = 100_000
+
+
+def _replayed(claims: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What is accepted in all components of bounded size, and the claims of the others."""
+    key = F.sha2(F.to_json(F.struct(*KEY), {"ignoreNullFields": "false"}), 256)
+    named = cut(claims.withColumn("_key", F.concat(F.lit("k"), key)))
+    edges = named.where("uuid IS NOT NULL").select(F.col("_key").alias("a"), F.concat(F.lit("u"), "uuid").alias("b"))
+    labels = components(edges).select(F.col("node").alias("_key"), "label")
+    placed = cut(named.join(labels, "_key", "left").withColumn("_of", F.coalesce("label", "_key")).drop("label"))
+    sizes = placed.groupBy("_of").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > REPLAY_CLAIMS)
+    large = cut(sizes.select("_of"))
+    small = placed.join(large, "_of", "left_anti").select("_of", "_key", "uuid", "first_seq")
+    settled = small.groupBy("_of").applyInArrow(_replay, "_key string, uuid string")
+    accepted = cut(placed.join(settled.withColumnRenamed("uuid", "_uuid"), "_key").where(F.col("uuid").eqNullSafe(F.col("_uuid"))))
+    rest = placed.join(large, "_of", "left_semi")
+    columns = [*KEY, "uuid", "first_seq"]
+    return accepted.select(*columns), cut(rest.select(*columns))
+
+
+def _replay(claims: pa.Table) -> pa.Table:
+    """Accept the claims of a component in their order: the first of its key and of its uuid."""
+    keys, uuids, moments = claims["_key"].to_pylist(), claims["uuid"].to_pylist(), claims["first_seq"].to_pylist()
+    order = sorted(range(len(keys)), key=lambda i: (_moment(moments[i]), keys[i], uuids[i] or ""))
+    taken_keys, taken_uuids, out = set(), set(), []
+    for i in order:
+        if keys[i] not in taken_keys and (uuids[i] is None or uuids[i] not in taken_uuids):
+            taken_keys.add(keys[i])
+            taken_uuids.add(uuids[i])
+            out.append(i)
+    return pa.table({"_key": pa.array([keys[i] for i in out], pa.string()), "uuid": pa.array([uuids[i] for i in out], pa.string())})
+
+
+def _moment(value: object) -> tuple:
+    """Sorts as the column does: nulls first, field by field."""
+    if isinstance(value, dict):
+        return tuple(_moment(v) for v in value.values())
+    return (value is not None, value if value is not None else 0)
+
+
 def upsert_data(
     state: DataFrame,
     batch: DataFrame,

@@ -5,6 +5,8 @@ import random
 import pytest
 
 from gleanery import schemas as S
+from gleanery.operators import components as graph
+from gleanery.operators import lineage, merge
 from gleanery.operators.merge import delete_by_log, upsert_data, upsert_metadata
 
 BATCH = S.DATA_JSON + ", seq bigint"
@@ -116,3 +118,31 @@ def test_delete_by_log_ignores_the_type(spark):
     kept, gone = delete_by_log(state, log)
     assert sorted((r["source"], r["id_data"], r["type"]) for r in gone.collect()) == [("s", 1, "x"), ("s", 1, "y")]
     assert kept.count() == 3
+
+
+def chain(n):
+    """Key i wants what key i - 1 has got, and then a uuid of its own."""
+    rows = [("s", "data", "t", 0, "u0", "{}", None, 1, 0)]
+    for i in range(1, n):
+        rows += [("s", "data", "t", i, f"u{i - 1}", "{}", None, 1, 2 * i), ("s", "data", "t", i, f"u{i}", "{}", None, 1, 2 * i + 1)]
+    return rows
+
+
+def test_a_long_chain_of_keys_takes_few_rounds(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(graph, "cut", lambda df: written.append(df) or lineage.cut(df))
+    rows, want = chain(1000), {}
+    rejected, _ = serial(want, rows)
+    merged = upsert_data(spark.createDataFrame([], S.DATA_JSON), spark.createDataFrame(rows, BATCH))
+    assert as_state(merged.state) == want and len(want) == 1000
+    assert sorted(r["seq"] for r in merged.rejected.collect()) == rejected
+    rounds = sum("la" in df.columns for df in written)
+    assert rounds <= 15
+
+
+def test_components_too_large_for_a_task_are_settled_in_rounds(spark, monkeypatch):
+    rows, want = chain(5) + [("s", "data", "t", 50, "v", "{}", None, 1, 100), ("s", "data", "t", 51, "v", "{}", None, 1, 101)], {}
+    serial(want, rows)
+    monkeypatch.setattr(merge, "REPLAY_CLAIMS", 4)
+    merged = upsert_data(spark.createDataFrame([], S.DATA_JSON), spark.createDataFrame(rows, BATCH))
+    assert as_state(merged.state) == want
