@@ -34,6 +34,20 @@ def page_plan(spark: SparkSession, folder: str) -> DataFrame:
     return P.page_plan(totals, "total", 100)
 
 
+def page_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages of events that lack some, have some twice, and end before or behind their totals."""
+    e = Domain(spark, folder).table("events").select((F.col("user_id") % 3).alias("k"), F.floor(F.col("event_id") / 100).alias("page_no"))
+    top = e.agg(F.max("page_no")).first()[0]
+    pages = e.distinct().where((F.col("page_no") + F.col("k")) % 7 != 3)
+    pages = pages.unionByName(pages.where("page_no % 5 = 0")).withColumn("top", F.lit(top))
+    planned = F.when(F.col("k") == 0, F.col("top") + 1).when(F.col("k") == 1, F.greatest(F.lit(1), F.col("top") - 1)).otherwise(F.col("top") + 5)
+    landed = pages.select(
+        F.concat(F.lit("s"), F.col("k").cast("string")).alias("source"), "page_no",
+        (planned * 100 - 50).alias("total_filtered"), F.lit(100).cast("bigint").alias("limit"),
+    )
+    return P.page_gaps(landed, ["source"])
+
+
 def page_plan_log(spark: SparkSession, folder: str) -> DataFrame:
     totals = Domain(spark, folder).change_log().groupBy("source").agg(
         F.count_if(F.col("last_action") == "D").alias("total")
@@ -300,6 +314,7 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "page_plan": page_plan,
     "page_plan_log": page_plan_log,
+    "page_gaps": page_gaps,
     "page_scan": page_scan,
     "page_scan_ordered": page_scan_ordered,
     "progress": progress,
@@ -349,6 +364,14 @@ SQL = {
     "page_plan": """SELECT event_type, total, p AS page, 'limit=100&offset=' || p AS query
         FROM (SELECT event_type, count(*) AS total FROM events GROUP BY event_type),
              LATERAL (SELECT unnest(range(CAST(ceil(total / 100.0) AS BIGINT))) AS p)""",
+    "page_gaps": """WITH tops AS (SELECT max(event_id // 100) AS top FROM events),
+        landed AS (SELECT DISTINCT user_id % 3 AS k, event_id // 100 AS p FROM events WHERE (event_id // 100 + user_id % 3) % 7 <> 3),
+        ends AS (SELECT k, CASE k WHEN 0 THEN top WHEN 1 THEN greatest(top - 2, 0) ELSE top + 4 END AS last FROM tops, range(3) r(k)),
+        lost AS (SELECT k, p FROM (SELECT k, unnest(range(0, last + 1)) AS p FROM ends) ANTI JOIN landed USING (k, p)),
+        islands AS (SELECT k, p, p - row_number() OVER (PARTITION BY k ORDER BY p) AS island FROM lost)
+        SELECT 's' || k AS source, 'missing' AS kind, min(p) AS first_page, max(p) AS last_page FROM islands GROUP BY k, island
+        UNION ALL SELECT 's' || k, 'doubled', p, p FROM landed WHERE p % 5 = 0
+        UNION ALL SELECT 's' || k, 'surplus', p, p FROM landed JOIN ends USING (k) WHERE p > last""",
     "page_plan_log": Q.with_views("change_log", """SELECT source, total, p + 1 AS page, 'limit=100&page=' || (p + 1) AS query
         FROM (SELECT source, count(*) FILTER (last_action = 'D') AS total FROM change_log GROUP BY source),
              LATERAL (SELECT unnest(range(CAST(ceil(total / 100.0) AS BIGINT))) AS p)"""),

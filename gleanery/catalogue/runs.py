@@ -65,6 +65,8 @@ def run_cycle(spark: SparkSession, folder: str) -> DataFrame:
     store = Store(spark, f"{shared_folder(spark)}/store")
     even, odd = pages.where("page_no % 2 = 0"), pages.where("page_no % 2 = 1")
     for day, delivered in ((1, even), (2, odd.unionByName(unreadable)), (3, pages.limit(0))):
+        # Every delivery numbers its pages without gaps.
+        delivered = delivered.withColumn("page_no", F.floor(F.col("page_no") / 2))
         run_incremental(store, f"run {day}", sources, delivered, datetime(2024, 1, day), loader=None)
     runs = stored_runs(store)
     since = watermarks(runs).select("source", "since")
@@ -74,6 +76,49 @@ def run_cycle(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def late_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs over one landing folder; what lands second has changed long before the first run."""
+    rows = _event_items(spark, folder).withColumn("source", F.concat(F.lit("s"), (F.col("user_id") % 3).cast("string")))
+    dated = F.concat(F.expr("substr(item, 1, length(item) - 1)"), F.lit(',"derniere_action":"2023-06-01"}'))
+    rows = rows.withColumn("item", dated).withColumn("item", F.regexp_replace("item", '"id_perm_sinp":"[^"]*"', '"id_perm_sinp":null'))
+    pages = _paged(rows, "source").withColumn("import_id", F.col("page_no") % 2).withColumn("page_no", F.floor(F.col("page_no") / 2))
+    line = F.concat(F.lit('{"page_no":'), F.col("page_no").cast("string"), F.lit(',"items":['), F.array_join("items", ","), F.lit("]}"))
+    sources = spark.createDataFrame([("s0", True, None), ("s1", True, None), ("s2", True, None)], "name string, enable boolean, data_type string")
+    place = shared_folder(spark)
+    store = Store(spark, f"{place}/store")
+    for wave in range(2):
+        landing = pages.where(F.col("import_id") == wave).select("source", "import_id", line.alias("line"))
+        landing.write.mode("append").partitionBy("source", "import_id").text(f"{place}/landing")
+        run_incremental(store, f"wave {wave}", sources, f"{place}/landing", datetime(2024, 1, wave + 1), loader=None)
+    runs = stored_runs(store).select(F.col("id").alias("import_id"), F.dayofmonth("xfer_start_ts").alias("day"), "api_count_items")
+    stored = store.read_ranged("data_json", S.DATA_JSON).select("source", "id_data", "import_id")
+    return stored.join(F.broadcast(runs), "import_id").select("source", "id_data", "day", "api_count_items")
+
+
+def stream_deletes(spark: SparkSession, folder: str) -> DataFrame:
+    """Two polls: pages, then the deletion of every fourth event with further pages, older and newer than it."""
+    e = Domain(spark, folder).table("events").select("event_id", F.floor(F.col("event_id") / _PAGE).alias("page_no"))
+    anew = (F.col("page_no") % 2 == 1) & (F.col("event_id") % 12 == 0)
+    changed = F.when(anew, F.lit("2024-03-01")).otherwise(F.lit("2024-01-01"))
+    item = F.concat(F.lit('{"id_synthese":'), F.col("event_id").cast("string"), F.lit(',"derniere_action":"'), changed, F.lit('"}'))
+    pages = _paged(e.withColumn("item", item))
+    line = F.concat(F.lit('{"page_no":'), F.col("page_no").cast("string"), F.lit(',"items":['), F.array_join("items", ","), F.lit("]}"))
+    deleted = e.where("event_id % 4 = 0").select("event_id")
+    log = F.to_json(F.struct(F.col("event_id").alias("id_data"), F.lit("D").alias("last_action"), F.lit("2024-02-01 00:00:00").alias("meta_last_action_date")))
+    place = shared_folder(spark)
+    store = Store(spark, f"{place}/store")
+    for poll in range(2):
+        pages.where(F.col("page_no") % 2 == poll).select(line).write.text(f"{place}/landing/source=s0/import_id={poll + 1}")
+        rows = deleted if poll else deleted.limit(0)
+        rows.select(log).write.text(f"{place}/deleted/source=s0/import_id={poll + 1}")
+        poll_into_store(spark, f"{place}/landing", f"{place}/progress", store, deletions=f"{place}/deleted").awaitTermination()
+    none = F.lit(0).cast("bigint")
+    stored = store.read_ranged("data_json", S.DATA_JSON).select(F.lit("stored").alias("outcome"), F.col("id_data").alias("n"), none.alias("m"))
+    late = store.read_added("error_log", S.ERROR_LOG).select(F.lit("late").alias("outcome"), F.get_json_object("item", "$.id_synthese").cast("bigint").alias("n"), none.alias("m"))
+    runs = stored_runs(store).select(F.concat(F.lit("run "), "xfer_status").alias("outcome"), F.col("data_count_upserts").alias("n"), F.col("data_count_delete").alias("m"))
+    return stored.unionByName(late).unionByName(runs)
+
+
 def quarantine_metadata(spark: SparkSession, folder: str) -> DataFrame:
     """Documents of frameworks (orders) and datasets (customers), every few with a bad date or boolean."""
     d = Domain(spark, folder)
@@ -94,7 +139,13 @@ def quarantine_metadata(spark: SparkSession, folder: str) -> DataFrame:
     return good.withColumn("error", F.lit(None).cast("string")).unionByName(bad).select("level", "uuid", "error")
 
 
-QUERIES = {"stream_rejects": stream_rejects, "run_cycle": run_cycle, "quarantine_metadata": quarantine_metadata}
+QUERIES = {
+    "stream_rejects": stream_rejects,
+    "run_cycle": run_cycle,
+    "late_pages": late_pages,
+    "stream_deletes": stream_deletes,
+    "quarantine_metadata": quarantine_metadata,
+}
 
 _U = Q.uuid_sql
 
@@ -113,6 +164,15 @@ SQL = {
             coalesce(stored, 0) AS data_count_upserts, coalesce(items - stored, 0) AS data_count_errors,
             CASE WHEN xfer_status = 'failed' THEN 'page 0 has no items' END AS comment, 3 AS since_day
         FROM runs LEFT JOIN counted USING (source, day)""",
+    "late_pages": f"""WITH e AS (SELECT 's' || (user_id % 3) AS source, event_id, CAST(1 + event_id // {_PAGE} % 2 AS INTEGER) AS day, event_id % 7 = 0 AS bad FROM events),
+        counted AS (SELECT source, day, count(*) AS api_count_items FROM e GROUP BY ALL)
+        SELECT source, event_id AS id_data, day, api_count_items FROM e JOIN counted USING (source, day) WHERE NOT bad""",
+    "stream_deletes": f"""WITH e AS (SELECT event_id, event_id // {_PAGE} % 2 = 1 AS odd, event_id % 4 = 0 AS gone FROM events),
+        told AS (SELECT event_id, odd, gone, odd AND event_id % 12 = 0 AS anew FROM e)
+        SELECT 'stored' AS outcome, event_id AS n, CAST(0 AS BIGINT) AS m FROM told WHERE NOT gone OR anew
+        UNION ALL SELECT 'late', event_id, 0 FROM told WHERE gone AND odd AND NOT anew
+        UNION ALL SELECT 'run success', count(*) FILTER (NOT odd), 0 FROM told
+        UNION ALL SELECT 'run success', count(*) FILTER (odd AND (NOT gone OR anew)), count(*) FILTER (gone AND NOT odd) FROM told""",
     "quarantine_metadata": f"""SELECT '{S.LEVEL_FRAMEWORK}' AS level, {_U("'a' || o_orderkey")} AS uuid,
             CASE WHEN o_orderkey % 5 = 0 THEN 'invalid date for end_date: nodate' END AS error FROM orders
         UNION ALL SELECT '{S.LEVEL_DATASET}', {_U("'d' || c_custkey")},

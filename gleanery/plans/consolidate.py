@@ -23,7 +23,8 @@ from gleanery.operators.merge import Merged, delete_by_log, upsert_data, upsert_
 from gleanery.operators.runlog import new_errors, run_counters
 from gleanery.operators.split import first_documents, split_metadata, validate, validate_documents
 from gleanery.plans.loaders import register
-from gleanery.sources.snapshot import Store
+from gleanery.sources import holders
+from gleanery.sources.snapshot import Conflict, Store
 
 Tables = dict[str, DataFrame]
 
@@ -194,9 +195,16 @@ def run_import(
 
     `arrivals` comes from `sources.landing.arrivals`; `deletions` has
     `source, id_data, import_id`. The inputs that several steps read are written once
-    to the checkpoint folder. `holders` gives the uuids in use where the raw table is
-    only a part of the stored one.
+    to the checkpoint folder, the arrivals first: their lines are numbered as they are read.
+    `holders` gives the uuids in use where the raw table is only a part of the stored one.
     """
+    return _import(tables, cut(arrivals), now, deletions, loader, keep_metadata_of_rejected, holders)
+
+
+def _import(
+    tables: Tables, arrivals: DataFrame, now, deletions=None, loader=load_star, keep_metadata_of_rejected=True, holders_of=None
+) -> Report:
+    """The import of arrivals that are written."""
     out = dict(tables)
     slim, _ = split_metadata(arrivals)
     documents = first_documents(arrivals, ["source", "import_id"])
@@ -211,7 +219,7 @@ def run_import(
 
     meta = upsert_metadata(tables["metadata_json"], documents)
     meta = Merged(meta.state, cut(meta.written), meta.rejected)
-    data = upsert_data(tables["data_json"], good, holders=holders)
+    data = upsert_data(tables["data_json"], good, holders=holders_of)
     data = Merged(data.state, cut(data.written), cut(data.rejected))
     out["metadata_json"] = meta.state
 
@@ -260,9 +268,11 @@ def run_import(
     return Report(out, run_counters(outcomes), failures, changes, fresh, log)
 
 
-def open_tables(store: Store, codes: DataFrame | None, areas: DataFrame | None, touched: DataFrame | None = None) -> Tables:
-    """Tables of the newest version of a store; of the raw table only the touched ranges, if given."""
-    version = store.version()
+def open_tables(
+    store: Store, codes: DataFrame | None, areas: DataFrame | None, touched: DataFrame | None = None, version: int | None = None
+) -> Tables:
+    """Tables of the newest (or of a given) version of a store; of the raw table only the touched ranges, if given."""
+    version = store.version() if version is None else version
     out = {}
     for name, layout in LAYOUTS.items():
         if name in store.ranged_by:
@@ -277,9 +287,10 @@ def open_tables(store: Store, codes: DataFrame | None, areas: DataFrame | None,
 
 
 def save_run(
-    store: Store, run_id: str, before: Tables, report: Report, added: dict[str, DataFrame] | None = None
+    store: Store, run_id: str, before: Tables, report: Report, added: dict[str, DataFrame] | None = None,
+    base: int | None = None, ranged: dict | None = None,
 ) -> int:
-    """Write the tables of a run as the next version; a run already there is skipped.
+    """Write the tables of a run as the version after `base`; a run already there is skipped.
 
     Of the raw table and of the facts only the ranges with changed rows are written, and
     logs get their new rows, as do further tables by `added`. A table the run has not touched
@@ -289,7 +300,7 @@ def save_run(
         return store.version()
     changes = report.changes
     raw = cut(store.touched(changes.data, changes.deleted))
-    ranged = {"data_json": (store.within(report.tables["data_json"], raw, "data_json"), raw)}
+    ranged = {"data_json": (store.within(report.tables["data_json"], raw, "data_json"), raw)} | (ranged or {})
     if report.tables["facts"] is not before["facts"]:
         uuids = changes.data.select(F.col("uuid").alias("unique_id_sinp")).where("unique_id_sinp IS NOT NULL")
         new = report.tables["facts"]
@@ -304,7 +315,13 @@ def save_run(
         if name not in store.ranged_by and name not in ADDED and report.tables[name] is not before[name]
     }
     logs = {"error_log": report.new_errors, "import_log": report.log} | (added or {})
-    return store.write(run_id, whole, ranged, logs)
+    base = store.version() if base is None else base
+    held = holders.changes(changes.data, changes.deleted)
+    if base and not holders.indexed(store, base):
+        # Written before there was an index: all of it is indexed once.
+        stored = store.read_ranged("data_json", S.DATA_JSON, version=base)
+        held = held.unionByName(stored.join(changes.deleted.select("uuid"), "uuid", "left_anti").select("uuid", "source", "id_data", F.lit(True).alias("held")))
+    return store.write(run_id, whole, ranged, logs, base, lambda token, version: holders.append(store, token, version, held))
 
 
 def import_into_store(
@@ -318,27 +335,100 @@ def import_into_store(
     loader=load_star,
     log: Callable[[DataFrame], DataFrame] | None = None,
     added: dict[str, DataFrame] | None = None,
+    base: int | None = None,
 ) -> Report | None:
     """Import arrivals into a store as one run; None if the run is there already.
 
     Raw rows are read and rewritten only in the ranges that the arrivals and deletions
-    fall into; holders of their uuids are looked up in the whole table by that column
-    alone. Every arrival is stored, superseded or in the error log. `log` makes the
+    fall into; holders of their uuids come from the index. A run that another writer overtakes
+    starts again, unless its version `base` is given: then it raises `Conflict`. Every arrival is stored, superseded or in the error log. `log` makes the
     events for the import log from the counters; `added` are rows for further tables that only
     grow, written with the run.
     """
-    if store.has_run(run_id):
-        return None
     rows = cut(arrivals)
+
+    def once(version: int) -> Report:
+        return _import_version(store, run_id, rows, now, codes, areas, deletions, loader, log, added, version)
+
+    return attempts(store, run_id, once) if base is None else once(base)
+
+
+#: Starts of a run that other writers overtake.
+ATTEMPTS = 5
+
+
+def attempts(store: Store, run_id: str, once: Callable[[int], Report]) -> Report | None:
+    """Run from the newest version, again if another writer was faster; None if the run is there."""
+    for attempt in range(ATTEMPTS):
+        if store.has_run(run_id):
+            return None
+        try:
+            return once(store.version())
+        except Conflict:
+            if attempt + 1 == ATTEMPTS:
+                raise
+    return None
+
+
+#: Last deletion of every key that a log has named.
+TOMBSTONE = "source string, id_data bigint, at timestamp_ntz, import_id bigint"
+
+
+def _changed(rows: DataFrame) -> DataFrame:
+    at = F.get_json_object("item", f"$.{S.CHANGED_AT}").try_cast("timestamp_ntz")
+    return rows.withColumn("_changed", at)
+
+
+def _buried(rows: DataFrame, tombstones: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Arrivals that no deletion has overtaken, and those older than the deletion of their key.
+
+    Where an item does not say when it was changed, the order of the deliveries decides.
+    """
+    graves = tombstones.select("source", "id_data", "at", F.col("import_id").alias("_last"))
+    joined = _changed(rows).join(graves, ["source", "id_data"], "left")
+    older = F.when(F.col("_changed").isNotNull() & F.col("at").isNotNull(), F.col("_changed") <= F.col("at")).otherwise(
+        F.col("import_id") < F.col("_last")
+    )
+    told = cut(joined.withColumn("_older", F.coalesce(older, F.lit(False))))
+    return told.where("NOT _older").select(*rows.columns), told.where("_older").select(*rows.columns)
+
+
+def _import_version(
+    store: Store, run_id: str, rows: DataFrame, now, codes, areas, deletions, loader, log, added, version: int
+) -> Report:
+    """One start of an import.
+
+    Deletions that say when they happened (`at`) leave later rows alone and keep earlier ones out
+    from then on; plain deletions apply as they are.
+    """
     named = rows.where("id_data IS NOT NULL").select("source", "id_data")
     touched = cut(store.touched(named, *([deletions] if deletions is not None else [])))
-    tables = open_tables(store, codes, areas, touched)
+    tables = open_tables(store, codes, areas, touched, version)
+    ranged, late = {}, None
+    graves = store.read_ranged("tombstones", TOMBSTONE, touched, version)
+    if deletions is not None and "at" in deletions.columns:
+        dated = deletions.select("source", "id_data", "at", "import_id")
+        graves = cut(graves.unionByName(dated).groupBy("source", "id_data").agg(F.max("at").alias("at"), F.max("import_id").alias("import_id")))
+        spots = cut(store.touched(dated, name="tombstones"))
+        ranged["tombstones"] = (store.within(graves, spots, "tombstones"), spots)
+        rows, late = _buried(rows, graves)
+        # A row that was changed after the deletion stays.
+        newer = _changed(tables["data_json"].select("source", "id_data", "item")).join(graves, ["source", "id_data"]).where(F.col("_changed") > F.col("at"))
+        deletions = deletions.join(newer.select("source", "id_data"), ["source", "id_data"], "left_anti")
+        deletions = cut(deletions.join(rows.select("source", "id_data").distinct(), ["source", "id_data"], "left_anti"))
+    elif not graves.isEmpty():
+        rows, late = _buried(rows, graves)
     wanted = rows.where("uuid IS NOT NULL").select("uuid").distinct()
-    everyone = store.read_ranged("data_json", S.DATA_JSON).select("uuid")
-    report = run_import(tables, rows, now, deletions, loader, holders=everyone.join(wanted, "uuid", "left_semi"))
+    known = holders.find(store, wanted, version)
+    if known is None:
+        known = store.read_ranged("data_json", S.DATA_JSON, version=version).join(wanted, "uuid", "left_semi")
+    report = _import(tables, rows, now, deletions, loader, holders_of=known.select("uuid"))
+    if late is not None:
+        passed = _failures(late.withColumn("error", F.lit("older than its deletion")), "error")
+        report = report._replace(new_errors=report.new_errors.unionByName(cut(new_errors(tables["error_log"], passed))))
     if log is not None:
         report = report._replace(log=log(report.counters))
-    save_run(store, run_id, tables, report, added)
+    save_run(store, run_id, tables, report, added, version, ranged)
     return report
 
 

@@ -12,17 +12,35 @@ from gleanery.operators import runlog as R
 from gleanery.operators.joins import join_lookup, small_side
 from gleanery.operators.lineage import cut
 from gleanery.operators.pages import page_gaps
-from gleanery.plans.consolidate import LAYOUTS, Report, import_into_store, load_star
+from gleanery.plans.consolidate import LAYOUTS, Report, attempts, import_into_store, load_star
 from gleanery.sources import ledger
 from gleanery.sources.landing import arrivals
-from gleanery.sources.snapshot import Store
+from gleanery.sources.snapshot import Conflict, Store
 
 _EVENTS = LAYOUTS["import_log"]
+#: Characters of a fault that the log keeps.
+_COMMENT = 1000
 
 
-def stored_runs(store: Store) -> DataFrame:
+def stored_runs(store: Store, version: int | None = None) -> DataFrame:
     """State of every run in the log of a store."""
-    return R.current_runs(store.read_added("import_log", _EVENTS))
+    return R.current_runs(store.read_added("import_log", _EVENTS, version))
+
+
+def run_events(opened: DataFrame, failed: DataFrame, deletes: bool, moment):
+    """Makes the log events of opened runs from the counters of their sources."""
+    steps = [(S.STATUS_IMPORT, 1)] + ([(S.STATUS_DELETE, 2)] if deletes else [])
+    events = opened.withColumn("seq", F.lit(0).cast("bigint"))
+    for status, seq in steps:
+        step = opened.select("id", "source", "controler", F.lit(status).alias("xfer_status"), F.lit(seq).cast("bigint").alias("seq"))
+        events = events.unionByName(step, allowMissingColumns=True)
+
+    def closing(counters: DataFrame) -> DataFrame:
+        last = R.close_runs(opened, counters, failed, moment).withColumn("seq", F.col("seq").cast("bigint"))
+        every = events.unionByName(last, allowMissingColumns=True)
+        return opened.sparkSession.createDataFrame([], _EVENTS).unionByName(every, allowMissingColumns=True)
+
+    return closing
 
 
 def _failing(landed: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -73,18 +91,70 @@ def run_incremental(
     other sources go on. What an older delivery lacks is covered by a newer one, which asks for
     all since the last success; its pages come first. Every run of a source gets its events:
     opened, importing, deleting, and closed with counters.
+
+    If the import or the loader raises, nothing is committed; the sources are then run one by one,
+    each with a commit `<run_id>/<source>`, and those that raise again are logged as failed. The
+    result is None in that case, as for a run that is there already.
     """
-    if store.has_run(run_id):
-        return None
+    names = [r["source"] for r in R.enabled_sources(sources).select(F.col("std_name").alias("source")).distinct().collect()]
+
+    def of(own: DataFrame, name: str) -> Report | None:
+        run = lambda version: _run_version(store, name, own, pages, now, deletions, codes, areas, loader, changed_at, version)
+        return attempts(store, name, run)
+
+    try:
+        return of(sources, run_id)
+    except Conflict:
+        raise
+    except Exception as fault:
+        if len(names) == 1:
+            _fail(store, run_id, {names[0]: fault}, now)
+            return None
+    # Nothing of the run has been committed: go on source by source, each a commit of its own.
+    faults = {}
+    for name in sorted(names):
+        try:
+            of(R.enabled_sources(sources).where(F.col("std_name") == name), f"{run_id}/{name}")
+        except Conflict:
+            raise
+        except Exception as fault:
+            faults[name] = fault
+    _fail(store, run_id, faults, now)
+    return None
+
+
+def _fail(store: Store, run_id: str, faults: dict[str, Exception], now: datetime) -> None:
+    """Log a failed run for each of the sources, and end the run."""
+    moment = F.lit(now).cast("timestamp_ntz")
+    comments = [(name, f"{type(fault).__name__}: {fault}"[:_COMMENT]) for name, fault in faults.items()]
+    failed = cut(store.spark.createDataFrame(comments, "source string, comment string"))
+    named = failed.select("source", F.col("source").alias("std_name"))
+
+    def once(version: int) -> None:
+        opened = cut(R.open_runs(stored_runs(store, version), named, moment, "update"))
+        counters = R.run_counters(store.spark.createDataFrame([], "source string, import_id bigint, outcome string, n bigint"))
+        last = R.close_runs(opened, counters, failed, moment).withColumn("seq", F.col("seq").cast("bigint"))
+        events = opened.withColumn("seq", F.lit(0).cast("bigint")).unionByName(last, allowMissingColumns=True)
+        log = store.spark.createDataFrame([], _EVENTS).unionByName(events, allowMissingColumns=True)
+        store.write(run_id, {}, None, {"import_log": log}, version)
+
+    attempts(store, run_id, once)
+
+
+def _run_version(
+    store: Store, run_id: str, sources: DataFrame, pages: DataFrame | str, now: datetime, deletions, codes, areas, loader, changed_at, version: int
+) -> Report | None:
     spark = store.spark
     moment = F.lit(now).cast("timestamp_ntz")
     enabled = cut(R.enabled_sources(sources).select(F.col("std_name").alias("source"), "std_name", "data_type").dropDuplicates(["source"]))
-    runs = cut(stored_runs(store))
+    runs = cut(stored_runs(store, version))
     filters = F.to_json(F.struct(F.lit(changed_at).alias("changed_at")))
     opened = cut(R.open_runs(runs, enabled, moment, "update", filters))
-    marks = cut(R.watermarks(runs).where(F.col("controler") == S.CONTROLER_DATA).select("source", "since"))
+    # Polls take what lands, whenever it was changed: they move no watermark.
+    asked = runs.where(F.coalesce(F.col("xfer_type"), F.lit("")) != S.STREAM)
+    marks = cut(R.watermarks(asked).where(F.col("controler") == S.CONTROLER_DATA).select("source", "since"))
 
-    known, files = ledger.taken(store), None
+    known, files = ledger.taken(store, version), None
     if isinstance(pages, str):
         listed = join_lookup(ledger.landed_files(spark, pages), enabled.select("source"), ["source"], "inner")
         files = cut(ledger.unread(listed, known))
@@ -93,6 +163,9 @@ def run_incremental(
         named = join_lookup(pages.select("source", "import_id", "file").distinct(), enabled.select("source"), ["source"], "inner")
         files = cut(ledger.unread(named, known))
         pages = pages.join(small_side(files.select("source", "file")), ["source", "file"], "left_semi")
+    for name in ("total_filtered", "limit"):
+        if name not in pages.columns:
+            pages = pages.withColumn(name, F.lit(None).cast("bigint"))
     landed = join_lookup(pages, opened.select("source", F.col("id").alias("_run")), ["source"], "inner")
     # Read once; a page is judged by the copy that is imported.
     landed = cut(landed.withColumn("delivery", F.col("import_id")))
@@ -110,19 +183,9 @@ def run_incremental(
         since = R.deleted_since(deletions, marks).drop("import_id")
         gone = cut(join_lookup(since, good, ["source"], "inner").select("source", "id_data", "import_id"))
 
-    steps = [(S.STATUS_IMPORT, 1)] + ([(S.STATUS_DELETE, 2)] if gone is not None else [])
-    events = opened.withColumn("seq", F.lit(0).cast("bigint"))
-    for status, seq in steps:
-        step = opened.select("id", "source", "controler", F.lit(status).alias("xfer_status"), F.lit(seq).cast("bigint").alias("seq"))
-        events = events.unionByName(step, allowMissingColumns=True)
-
-    def closing(counters: DataFrame) -> DataFrame:
-        last = R.close_runs(opened, counters, failed, moment).withColumn("seq", F.col("seq").cast("bigint"))
-        every = events.unionByName(last, allowMissingColumns=True)
-        return spark.createDataFrame([], _EVENTS).unionByName(every, allowMissingColumns=True)
-
+    closing = run_events(opened, failed, gone is not None, moment)
     added = {}
     if files is not None:
         done = join_lookup(files, failed.select("source", F.lit(True).alias("_failed")), ["source"], "left").where("_failed IS NULL")
         added[ledger.TABLE] = ledger.entries(done, landed)
-    return import_into_store(store, run_id, rows, moment, codes, areas, gone, loader, closing, added)
+    return import_into_store(store, run_id, rows, moment, codes, areas, gone, loader, closing, added, version)

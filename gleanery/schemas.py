@@ -24,6 +24,9 @@ STATUS_DELETE = "delete"
 STATUS_SUCCESS = "success"
 STATUS_FAILED = "failed"
 
+#: Kind of the runs that a poll logs, and the member of an item that says when it was changed.
+STREAM = "stream"
+CHANGED_AT = "derniere_action"
 CONTROLER_DATA = "data"
 CONTROLER_METADATA = "metadata"
 

@@ -62,6 +62,15 @@ def stream_pages(
     return _with_page_no(reader.option("maxFilesPerTrigger", files_per_batch).json(folder))
 
 
+_DELETION = "id_data bigint, last_action string, meta_last_action_date timestamp_ntz, source string, import_id bigint"
+
+
+def stream_deletions(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+    """Deletion logs as a stream: the layout of the pages, one log row per line."""
+    reader = spark.readStream.schema(_DELETION).option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(folder).withColumn("file", file_name())
+
+
 def arrivals(pages: DataFrame, data_types: DataFrame | None = None, now=None) -> DataFrame:
     """Elements of pages as raw rows with their order of arrival.
 

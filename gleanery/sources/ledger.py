@@ -29,9 +29,9 @@ NAMED_FILES = 10_000
 _PATTERN = re.compile(r"[*?\[\]{}\\]")
 
 
-def taken(store: Store) -> DataFrame:
+def taken(store: Store, version: int | None = None) -> DataFrame:
     """Pages of all files the store has taken in."""
-    return store.read_added(TABLE, LAYOUT)
+    return store.read_added(TABLE, LAYOUT, version)
 
 
 def landed_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -16,7 +16,9 @@ grow, so a run appends its rows to them.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,20 +30,52 @@ _COMMITS = "version bigint, run_id string, token string, whole map<string,string
 _RANGES = "token string, name string, p_source string, p_range bigint"
 
 
+class Conflict(RuntimeError):
+    """Another run has written the version that this one was to write."""
+
+
 class Store:
-    """One writer at a time; any number of readers.
+    """Any number of readers and writers; of two writers that start from one version one succeeds.
+
+    The record of a version is a file of its own, which is created only if it is not there, so the
+    other writer gets a `Conflict` and has to start again from the newer version.
 
-    `ranged_by` names the source and id columns of each table split in ranges.
+    `ranged_by` names the source and id columns of each table split in ranges. `uuid_parts` is the
+    number of parts of the index of uuids, some hundred thousand uuids each; it stays as it is.
     """
 
-    def __init__(self, spark: SparkSession, root: str, ids_per_range: int = 1_000_000):
+    def __init__(self, spark: SparkSession, root: str, ids_per_range: int = 1_000_000, uuid_parts: int = 64):
         self.spark = self._spark = spark
-        self.ranged_by = {"data_json": ("source", "id_data"), "facts": ("id_source", "id_synthese")}
+        self.uuid_parts = uuid_parts
+        #: What has been read of a version; it does not change any more.
+        self.known: dict = {}
+        self.ranged_by = {"data_json": ("source", "id_data"), "facts": ("id_source", "id_synthese"), "tombstones": ("source", "id_data")}
         self.root = root.rstrip("/")
         self._ids_per_range = ids_per_range
 
     def _append(self, rows: DataFrame, name: str) -> None:
-        rows.coalesce(1).write.mode("append").json(f"{self.root}/{name}")
+        if name == "commits":
+            self._record(*rows.select("version", F.to_json(F.struct("*"))).first())
+        else:
+            rows.coalesce(1).write.mode("append").json(f"{self.root}/{name}")
+
+    def append(self, rows: DataFrame, name: str) -> None:
+        """Add rows to a list; those of a run count from its commit on, by its token."""
+        self._append(rows, name)
+
+    def _record(self, version: int, text: str) -> None:
+        """Create the record of a version; a file that is half written reads as none."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/commits/version-{version:010d}.json")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files.mkdirs(path.getParent())
+        try:
+            out = files.create(path, False)
+        except Py4JJavaError as error:
+            if files.exists(path):
+                raise Conflict(f"version {version} is there already") from error
+            raise
+        out.write(bytearray(text + "\n", "utf-8"))
+        out.close()
 
     def _list(self, name: str, schema: str) -> DataFrame:
         """One of the lists; it is there from the first commit on."""
@@ -52,7 +86,14 @@ class Store:
                 raise
             return self._spark.createDataFrame([], schema)
 
+    def listed(self, name: str, schema: str) -> DataFrame:
+        return self._list(name, schema)
+
     # --------------------------------------------------------------- reading
+    def commits(self, version: int) -> DataFrame:
+        """Records up to a version."""
+        return self._commits(version)
+
     def _commits(self, version: int | None = None) -> DataFrame:
         commits = self._list("commits", _COMMITS)
         return commits if version is None else commits.where(F.col("version") <= version)
@@ -65,8 +106,10 @@ class Store:
 
     def _whole(self, version: int) -> dict[str, str]:
         """Folder of every whole table as of a version."""
-        last = self._commits().where(F.col("version") == version).first()
-        return dict(last["whole"] or {}) if last else {}
+        if ("whole", version) not in self.known:
+            last = self._commits().where(F.col("version") == version).first()
+            self.known["whole", version] = dict(last["whole"] or {}) if last else {}
+        return self.known["whole", version]
 
     def read(self, name: str, schema: str, version: int | None = None) -> DataFrame:
         """A table that is written whole; empty until a run has written it."""
@@ -134,14 +177,17 @@ class Store:
         whole: dict[str, DataFrame],
         ranged: dict[str, tuple[DataFrame, DataFrame]] | None = None,
         added: dict[str, DataFrame] | None = None,
+        base: int | None = None,
+        beside: Callable[[str, int], None] | None = None,
     ) -> int:
-        """Write the next version and return its number.
+        """Write the version after `base` (the newest one, if not given) and return its number.
 
         `whole` tables replace their predecessors. `ranged` ones give the new rows of
         some ranges and the list of these ranges; all other ranges stay as they are.
-        `added` rows are appended to their tables.
+        `added` rows are appended to their tables. `beside` writes further files by the token
+        and the number of the version. Raises `Conflict` if another run was faster.
         """
-        version = self.version()
+        version = self.version() if base is None else base
         token = uuid.uuid4().hex
         for name, df in (whole | (added or {})).items():
             df.write.parquet(f"{self.root}/{name}/commit={token}")
@@ -151,6 +197,8 @@ class Store:
             split.repartition(*RANGE).write.partitionBy(*RANGE).parquet(f"{self.root}/{name}/commit={token}")
             listed = touched.select(F.lit(token).alias("token"), F.lit(name).alias("name"), *RANGE)
             self._append(listed, "ranges")
+        if beside is not None:
+            beside(token, version + 1)
         folders = self._whole(version) | dict.fromkeys(whole, token)
         record = (version + 1, run_id, token, folders, sorted(added or {}))
         self._append(self._spark.createDataFrame([record], _COMMITS), "commits")

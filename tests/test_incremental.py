@@ -52,3 +52,22 @@ def test_two_runs_with_a_failing_and_a_disabled_source(spark, tmp_path):
     assert {S.STATUS_INIT, S.STATUS_IMPORT, S.STATUS_DELETE} <= events
     # The same run again does nothing.
     assert run_incremental(store, "r2", sources, pages, datetime(2024, 3, 1), gone, loader=None) is None
+
+
+def test_a_fault_of_one_source_leaves_the_others(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    sources = spark.createDataFrame([("One", True, None), ("two", None, None)], "name string, enable boolean, data_type string")
+    land(tmp_path / "a", "one", 0, [[item(1, "2024-01-01")]])
+    land(tmp_path / "a", "two", 0, [[item(2, "2024-01-01")]])
+
+    def loader(tables, changes):
+        if not changes.data.where("source = 'two'").isEmpty():
+            raise ValueError("no place for two")
+        return tables
+
+    for _ in range(2):  # the second time nothing is done
+        run_incremental(store, "r1", sources, str(tmp_path / "a"), datetime(2024, 2, 1), loader=loader)
+    assert {r["source"] for r in store.read_ranged("data_json", S.DATA_JSON).collect()} == {"one"}
+    state = {r["source"]: (r["xfer_status"], r["comment"]) for r in stored_runs(store).collect()}
+    assert state == {"one": (S.STATUS_SUCCESS, None), "two": (S.STATUS_FAILED, "ValueError: no place for two")}
+    assert stored_runs(store).count() == 2

@@ -44,82 +44,61 @@ def one(sources):
     return sources.where("name = 'one'")
 
 
-@pytest.mark.parametrize("by_folder", [True, False])
-def test_late_pages_are_imported(spark, tmp_path, one, by_folder):
+def test_late_pages_are_imported_and_files_read_once(spark, tmp_path, one, monkeypatch):
     store, folder = Store(spark, str(tmp_path / "store")), tmp_path / "in"
-
-    def run(name, day):
-        pages = str(folder) if by_folder else landing.read_pages(spark, str(folder))
-        return run_incremental(store, name, one, pages, datetime(2024, day, 1), loader=None)
-
     land(folder, "one", 0, {0: [(1, "2024-01-01")]})
-    run("r1", 2)
+    run_incremental(store, "r1", one, str(folder), datetime(2024, 2, 1), loader=None)
     # Changed before the first run, landed behind it.
     land(folder, "one", 0, {1: [(2, "2024-01-15"), (3, "2024-03-01")]})
-    counted = {r["source"]: r["api_count_items"] for r in run("r2", 3).counters.collect()}
-    assert ids(store) == [1, 2, 3] and counted == {"one": 2}
-    assert run("r3", 4).counters.collect() == []
-    assert [s for _, s, _ in states(store)] == [S.STATUS_SUCCESS] * 3
-
-
-def test_only_new_files_are_opened(spark, tmp_path, one, monkeypatch):
-    store, folder = Store(spark, str(tmp_path / "store")), tmp_path / "in"
-    land(folder, "one", 7, {n: [(n, "2024-01-01")] for n in range(6)})
-    run_incremental(store, "r1", one, str(folder), datetime(2024, 2, 1), loader=None)
-    land(folder, "one", 8, {0: [(9, "2024-01-01")]})
-    files = ledger.unread(ledger.landed_files(spark, str(folder)), ledger.taken(store))
-    assert [(r["source"], r["import_id"]) for r in files.collect()] == [("one", 8)]
+    land(folder, "two", 0, {0: [(9, "2024-01-15")]})
+    files = ledger.unread(ledger.landed_files(spark, str(folder)).where("source = 'one'"), ledger.taken(store))
     pages = ledger.read_files(spark, str(folder), files)
-    assert [f.split("/")[-2] for f in pages.inputFiles()] == ["import_id=8"] and pages.first()["source"] == "one"
+    assert [f.split("/")[-1] for f in pages.inputFiles()] == ["page-1.json"] and pages.first()["source"] == "one"
     # Beyond the number of named files the result is the same.
     named = pages.drop("file").collect()
     monkeypatch.setattr(ledger, "NAMED_FILES", 0)
     assert ledger.read_files(spark, str(folder), files).drop("file").collect() == named
-
-
-def test_a_page_delivered_anew_counts_as_new(spark, tmp_path, one):
-    store, folder = Store(spark, str(tmp_path / "store")), tmp_path / "in"
-    land(folder, "one", 1, {0: [(1, "2024-01-01")]})
-    run_incremental(store, "r1", one, str(folder), datetime(2024, 2, 1), loader=None)
-    land(folder, "one", 1, {0: [(1, "2024-01-01"), (4, "2024-01-01")]})
+    report = run_incremental(store, "r2", one, landing.read_pages(spark, str(folder)), datetime(2024, 3, 1), loader=None)
+    assert ids(store) == [1, 2, 3] and {r["source"]: r["api_count_items"] for r in report.counters.collect()} == {"one": 2}
+    assert [s for _, s, _ in states(store)] == [S.STATUS_SUCCESS] * 2
+    # Pages of a source that is not enabled wait for it.
+    left = ledger.unread(ledger.landed_files(spark, str(folder)), ledger.taken(store)).collect()
+    assert [(r["source"], r["import_id"]) for r in left] == [("two", 0)]
+
+
+def test_a_page_delivered_anew_counts_as_new(spark, tmp_path):
+    folder = tmp_path / "in"
+    land(folder, "one", 1, {0: [(1, "2024-01-01")], 1: [(1, "2024-01-01")]})
+    files = ledger.landed_files(spark, str(folder))
+    taken = ledger.entries(files, landing.read_pages(spark, str(folder))).collect()
+    assert sorted(r["page_no"] for r in taken) == [0, 1]
+    taken = spark.createDataFrame(taken, ledger.LAYOUT)
+    assert ledger.unread(files, taken).isEmpty()
     file = folder / "source=one" / "import_id=1" / "page-0.json"
     os.utime(file, (time.time() + 5, time.time() + 5))
-    run_incremental(store, "r2", one, str(folder), datetime(2024, 3, 1), loader=None)
-    assert ids(store) == [1, 4]
+    files = ledger.unread(ledger.landed_files(spark, str(folder)), taken)
+    assert [r["path"].split("/")[-1] for r in files.collect()] == ["page-0.json"]
 
 
-@pytest.mark.parametrize("told", [{}, {"total_filtered": 3, "limit": 1}])
-def test_a_missing_page_fails_its_source_alone(spark, tmp_path, sources, told):
-    store, folder = Store(spark, str(tmp_path / "store")), tmp_path / "in"
-    land(folder, "one", 0, {1: [(1, "2024-01-01")], 3: [(3, "2024-01-01")]}, **told)
-    land(folder, "two", 0, {0: [(5, "2024-01-01")]})
-    run_incremental(store, "r1", sources, str(folder), datetime(2024, 2, 1), loader=None)
-    assert ids(store) == [5]
-    assert [s for s in states(store) if s[0] == "one"] == [("one", S.STATUS_FAILED, "pages 2-2 have not landed")]
-    # The page lands; the others of the delivery have waited for it.
-    land(folder, "one", 0, {2: [(2, "2024-01-01")]}, **told)
-    run_incremental(store, "r2", sources, str(folder), datetime(2024, 3, 1), loader=None)
-    assert ids(store) == [1, 2, 3, 5] and states(store)[-1][1] == S.STATUS_SUCCESS
-
-
-def test_the_last_pages_are_known_from_the_total(spark, tmp_path, one):
+def test_gaps_fail_their_source_alone_until_the_pages_land(spark, tmp_path, sources):
     store, folder = Store(spark, str(tmp_path / "store")), tmp_path / "in"
-    land(folder, "one", 0, {0: [(1, "2024-01-01")]}, total_filtered=250, limit=100)
-    run_incremental(store, "r1", one, str(folder), datetime(2024, 2, 1), loader=None)
-    assert ids(store) == [] and states(store) == [("one", S.STATUS_FAILED, "pages 1-2 have not landed")]
-    # A newer delivery covers it; the older page comes first.
-    land(folder, "one", 1, {0: [(1, "2024-01-02"), (2, "2024-01-02")]}, total_filtered=2, limit=100)
-    run_incremental(store, "r2", one, str(folder), datetime(2024, 3, 1), loader=None)
-    rows = store.read_ranged("data_json", S.DATA_JSON).orderBy("id_data").collect()
-    assert [json.loads(r["item"])["derniere_action"] for r in rows] == ["2024-01-02", "2024-01-02"]
+    land(folder, "one", 0, {1: [(1, "2024-01-01")], 3: [(3, "2024-01-01")]})
+    land(folder, "two", 0, {0: [(5, "2024-01-01")]}, total_filtered=250, limit=100)
+    land(folder, "three", 0, {0: [(6, "2024-01-01")]}, total_filtered=1, limit=100)
+    every = sources.unionByName(spark.createDataFrame([("three", True, None)], sources.schema))
+    run_incremental(store, "r1", every, str(folder), datetime(2024, 2, 1), loader=None)
+    assert ids(store) == [6]
+    assert sorted(states(store)) == [
+        ("one", S.STATUS_FAILED, "pages 2-2 have not landed"),
+        ("three", S.STATUS_SUCCESS, None),
+        ("two", S.STATUS_FAILED, "pages 1-2 have not landed"),
+    ]
+    # The page lands, and the others of the delivery have waited for it. Of the other source a newer
+    # delivery covers the incomplete one, whose page comes first.
+    land(folder, "one", 0, {2: [(2, "2024-01-01")]})
+    land(folder, "two", 1, {0: [(5, "2024-01-02"), (7, "2024-01-02")]}, total_filtered=2, limit=100)
+    run_incremental(store, "r2", every, str(folder), datetime(2024, 3, 1), loader=None)
+    assert ids(store) == [1, 2, 3, 5, 6, 7]
+    rows = store.read_ranged("data_json", S.DATA_JSON).where("source = 'two'").collect()
+    assert {json.loads(r["item"])["derniere_action"] for r in rows} == {"2024-01-02"}
     assert ledger.unread(ledger.landed_files(spark, str(folder)), ledger.taken(store)).isEmpty()
-
-
-def test_pages_of_disabled_sources_wait(spark, tmp_path, sources, one):
-    store, folder = Store(spark, str(tmp_path / "store")), tmp_path / "in"
-    land(folder, "one", 0, {0: [(1, "2024-01-01")]})
-    land(folder, "two", 0, {0: [(2, "2024-01-01")]})
-    run_incremental(store, "r1", one, str(folder), datetime(2024, 2, 1), loader=None)
-    assert ids(store) == [1]
-    run_incremental(store, "r2", sources, str(folder), datetime(2024, 3, 1), loader=None)
-    assert ids(store) == [1, 2]
