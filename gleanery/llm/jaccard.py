@@ -19,9 +19,10 @@ Lists can still be long where documents are near copies of each other. In long l
 is first tried with the nearest member of another component, in a few rounds, and components are
 formed; then every list is searched for pairs from different components, in blocks, with the sizes
 and parity bitmaps of the sets as exact filters (the bits that differ are at most the elements that
-differ). Every pair that is left is verified on its
-texts. A pair within one component needs no test, since it cannot change the components; so no
-list is expanded into all pairs, and no link between components is lost.
+differ). Members of a block for which a pair is left come again with their whole sets, and the pairs
+are verified inside the block. A pair within one component, or within what the block has linked
+so far, needs no test, since it cannot change the components; so no list is expanded into
+all pairs, a block gives a spanning forest of its members, and no link between components is lost.
 
 Defined results: null texts and texts without words have an empty set, are linked with nothing and
 are components of their own; copies of a text or a document are in one component; a null
@@ -36,10 +37,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import picked, written
+from gleanery.llm.common import free, picked, written
 from gleanery.llm.components import components
 
 #: An element counted so often in prefixes is put last; so many of them at most, the most frequent.
@@ -94,6 +96,10 @@ class Threshold:
         p = self.percent
         return 1 if p == 100 else -(-p // (100 - p))
 
+    def single(self, size: int) -> bool:
+        """Whether a set of this size can link with one that has a single element in common."""
+        return self.percent * (size + max(1, -(-self.percent * size // 100))) <= 100 + self.percent
+
     def sizes(self, a, b):
         return (100 * a >= self.percent * b) & (100 * b >= self.percent * a)
 
@@ -187,7 +193,7 @@ def _keys(own: np.ndarray, limit: Threshold, frequent: np.ndarray, counts: np.nd
         prefix = order[: limit.prefix(len(own), 2)]
         i, j = np.triu_indices(len(prefix), 1)
         keys.append(_mixed(np.minimum(prefix[i], prefix[j]) * _A ^ _mixed(np.maximum(prefix[i], prefix[j]) * _C)))
-    if 100 * len(own) >= limit.percent * (light + 1):
+    if 100 * len(own) >= limit.percent * (light + 1) or limit.single(len(own)):
         keys.append(order[: limit.prefix(len(own), 1)])
     return np.unique(np.concatenate(keys))
 
@@ -248,33 +254,54 @@ class _List:
                 if self.earlier[i].isdisjoint(self.earlier[i + 1 + k]):
                     yield int(apart[k]), i, i + 1 + k
 
-    def pairs(self, nearest: bool) -> Iterator[tuple[int, int]]:
-        """Pairs of nodes: all that can link, or for each member only the nearest."""
-        found = self.near()
-        if nearest:
-            best: dict[int, tuple[int, int, int]] = {}
-            for pair in found:
-                for k in pair[1:]:
-                    if k not in best or pair < best[k]:
-                        best[k] = pair
-            found = set(best.values())
-        for _, i, j in found:
-            yield min(self.nodes[i], self.nodes[j]), max(self.nodes[i], self.nodes[j])
+    def nearest(self) -> set[tuple[int, int]]:
+        """For each member the pair of nodes with the nearest of another component."""
+        best: dict[int, tuple[int, int, int]] = {}
+        for pair in self.near():
+            for k in pair[1:]:
+                if k not in best or pair < best[k]:
+                    best[k] = pair
+        return {(min(self.nodes[i], self.nodes[j]), max(self.nodes[i], self.nodes[j])) for _, i, j in best.values()}
+
+
+    def involved(self) -> set[int]:
+        """Nodes of members that can link with one of another component."""
+        return {self.nodes[k] for _, *pair in self.near() for k in pair}
+
+    def forest(self, sets: dict[int, np.ndarray]) -> Iterator[tuple[int, int]]:
+        """Linked pairs of nodes that connect all components whose members link here."""
+        above: dict[int, int] = {}
+
+        def root(label: int) -> int:
+            while label in above:
+                label = above[label]
+            return label
+
+        for _, i, j in self.near():
+            x, y = root(self.labels[i]), root(self.labels[j])
+            if x != y and self.limit.linked(sets[self.nodes[i]], sets[self.nodes[j]]):
+                above[max(x, y)] = min(x, y)
+                yield self.nodes[i], self.nodes[j]
+
+
+#: Columns of a member of a list or of a pair of its blocks.
+MEMBER = "key long, i int, j int, node long, size long, label long, block int, own boolean, bitmap binary, earlier array<long>"
 
 
-def _search(limit: Threshold, nearest: bool):
-    """Scan lists that lie one after the other; a list may go over several batches."""
+def _by_list(found, joined):
+    """Give every list to `found` as a table, with its members; a list may go over several batches.
 
-    def whole(rows: pa.Table) -> set[tuple[int, int]]:
+    `joined` makes a batch of the results of several lists.
+    """
+
+    def whole(rows: pa.Table) -> list:
         at = np.concatenate([[0], _edges(rows), [rows.num_rows]])
         labels = rows["label"].to_numpy()
-        columns = [rows[c].to_pylist() for c in ("node", "size", "label", "block", "own", "bitmap", "earlier")]
-        found: set[tuple[int, int]] = set()
+        out = []
         for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
             if b - a > 1 and (labels[a:b] != labels[a]).any():
-                node, size, label, block, own, bitmap, earlier = (c[a:b] for c in columns)
-                found.update(_List(limit, node, size, label, block, own[0], bitmap, earlier).pairs(nearest))
-        return found
+                out.append(found(rows.slice(a, b - a)))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail = None
@@ -284,13 +311,43 @@ def _search(limit: Threshold, nearest: bool):
             edges = _edges(rows)
             last = int(edges[-1]) if len(edges) else 0
             tail = rows.slice(last)
-            yield _pairs(whole(rows.slice(0, last)))
+            yield from joined(whole(rows.slice(0, last)))
         if tail is not None:
-            yield _pairs(whole(tail.combine_chunks()))
+            yield from joined(whole(tail.combine_chunks()))
 
     return run
 
 
+def _members(limit: Threshold, rows: pa.Table) -> _List:
+    node, size, label, block, own, bitmap, earlier = (rows[c].to_pylist() for c in ("node", "size", "label", "block", "own", "bitmap", "earlier"))
+    return _List(limit, node, size, label, block, own[0], bitmap, earlier)
+
+
+def _nearest(limit: Threshold):
+    """The nearest of another component for every member."""
+    return _by_list(lambda rows: _members(limit, rows).nearest(), lambda found: [_pairs(set().union(*found))])
+
+
+def _involved(limit: Threshold):
+    """The members for which a pair has to be verified."""
+
+    def found(rows: pa.Table) -> pa.Table:
+        some = _members(limit, rows).involved()
+        return rows.filter(pa.array([n in some for n in rows["node"].to_pylist()], pa.bool_()))
+
+    return _by_list(found, lambda tables: pa.concat_tables(tables).combine_chunks().to_batches() if tables else [])
+
+
+def _forests(limit: Threshold):
+    """Links between the components of a list, verified on whole sets."""
+
+    def found(rows: pa.Table) -> set[tuple[int, int]]:
+        sets = {n: np.frombuffer(e, np.uint64) for n, e in zip(rows["node"].to_pylist(), rows["elements"].to_pylist(), strict=True)}
+        return {(min(p), max(p)) for p in _members(limit, rows).forest(sets)}
+
+    return _by_list(found, lambda found: [_pairs(set().union(*found))])
+
+
 def _edges(rows: pa.Table) -> np.ndarray:
     """Where another list begins."""
     key, i, j = (rows[c].to_numpy() for c in ("key", "i", "j"))
@@ -342,25 +399,32 @@ class Join:
         earlier = F.slice("keys", F.greatest(F.col("place") - EARLIER + 1, F.lit(1)), F.least(F.col("place"), F.lit(EARLIER)))
         return written(shared.select("key", "node", "size", "n", earlier.alias("earlier")))
 
-    def _texts(self, pairs: DataFrame) -> DataFrame:
-        """(node, text) of the classes in the pairs."""
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = written(nodes.join(self.classes.select("node", "text_hash"), "node"))
+    def _elements(self, nodes: DataFrame) -> DataFrame:
+        """(node, elements) of the classes: their whole sets, from one of their texts."""
+        wanted = written(nodes.distinct().join(self.classes.select("node", "text_hash"), "node"))
         side = F.broadcast(wanted) if wanted.count() <= FETCH_ROWS else wanted
         rows = self.rows.select("text", F.xxhash64("text").alias("text_hash")).join(side, "text_hash")
-        return written(rows.groupBy("node").agg(F.min("text").alias("text")))
+        width = self.width
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own = [shingles(t.as_py(), width).tobytes() for t in batch["text"]]
+                yield pa.RecordBatch.from_arrays([batch["node"], pa.array(own, pa.binary())], ["node", "elements"])
+
+        texts = rows.groupBy("node").agg(F.min("text").alias("text"))
+        return written(texts.select("node", "text").mapInArrow(run, "node long, elements binary"))
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs of classes whose texts reach the threshold."""
+        """The pairs of classes that reach the threshold."""
         pairs = written(pairs)
-        texts = self._texts(pairs)
-        width, limit = self.width, self.limit
-        first = texts.select(F.col("node").alias("a"), F.col("text").alias("left"))
-        second = texts.select(F.col("node").alias("b"), F.col("text").alias("right"))
+        sets, limit = self._elements(pairs.select(F.explode(F.array("a", "b")).alias("node"))), self.limit
+        first = sets.select(F.col("node").alias("a"), F.col("elements").alias("left"))
+        second = sets.select(F.col("node").alias("b"), F.col("elements").alias("right"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                good = [limit.linked(shingles(x.as_py(), width), shingles(y.as_py(), width)) for x, y in zip(batch["left"], batch["right"], strict=True)]
+                sides = (batch[c].to_pylist() for c in ("left", "right"))
+                good = [limit.linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(*sides, strict=True)]
                 yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
         return written(pairs.join(first, "a").join(second, "b").mapInArrow(run, "a long, b long"))
@@ -372,22 +436,33 @@ class Join:
         links = labels = None
         if not long.isEmpty():
             for _ in range(NEAREST_ROUNDS):
-                found = self.verified(self._compared(_labelled(long, labels), nearest=True))
+                near = self._ordered(self._spread(_labelled(long, labels))).mapInArrow(_nearest(self.limit), "a long, b long")
+                found = self.verified(near.distinct())
                 links = found if links is None else links.unionByName(found)
                 labels = written(components(links))
-        found = self.verified(self._compared(_labelled(lists, labels), nearest=False))
+        found = self._between(_labelled(lists, labels))
         return written(components(found if links is None else links.unionByName(found)))
 
-    def _compared(self, labelled: DataFrame, nearest: bool) -> DataFrame:
-        """Pairs from different components, list by list; long lists in pairs of blocks."""
+    def _between(self, labelled: DataFrame) -> DataFrame:
+        """Links that connect all components: of every list (or pair of its blocks) a spanning forest."""
+        members = written(self._ordered(self._spread(labelled)).mapInArrow(_involved(self.limit), MEMBER))
+        sets = self._elements(members.select("node"))
+        whole = self._ordered(members.join(sets, "node"))
+        return written(whole.mapInArrow(_forests(self.limit), "a long, b long").distinct())
+
+    def _spread(self, labelled: DataFrame) -> DataFrame:
+        """Members of lists; long lists in pairs of blocks."""
         blocks = F.ceil(F.col("n") / BLOCK).cast("int")
         spread = labelled.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         spread = spread.select("key", "node", "size", "label", "earlier", "block", other.alias("other"))
         spread = spread.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
         spread = spread.withColumn("own", F.col("i") == F.col("j")).join(self.classes.select("node", "bitmap"), "node")
-        ordered = spread.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        return ordered.mapInArrow(_search(self.limit, nearest), "a long, b long").distinct()
+        return spread.select("key", "i", "j", "node", "size", "label", "block", "own", "bitmap", "earlier")
+
+    @staticmethod
+    def _ordered(members: DataFrame) -> DataFrame:
+        return members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def members(self) -> DataFrame:
         """(doc_id, size, node, label) of all documents; the label is null without words."""
@@ -412,16 +487,25 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
 
 #: Rows to be dropped that are broadcast; more are dropped by a shuffle.
-DROP_ROWS = 500_000
+DROP_ROWS = 200_000
 
 
-def keep_one(docs: DataFrame, text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each component, the first in the order of the rows; columns as given.
+def _placed(docs: DataFrame, name: str) -> DataFrame:
+    """The rows with a place that every plan sees alike.
 
-    Rows are numbered once and written, so that every later plan sees the same numbers.
+    Rows read from Parquet have one, their file and position; other rows are written once.
     """
-    placed = written(docs.withColumn("_place", F.monotonically_increasing_id()))
-    rows = link_components(placed, "_place", text, width, percent)
-    drop = written(rows.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_place")))
+    try:
+        return docs.withColumn(name, F.struct("_metadata.file_path", "_metadata.row_index"))
+    except AnalysisException:
+        return written(docs.withColumn(name, F.monotonically_increasing_id()))
+
+
+def keep_one(docs: DataFrame, text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each component, the first in the order of files and rows; columns as given."""
+    place = free(docs, "_place")
+    placed = _placed(docs, place)
+    rows = link_components(placed, place, text, width, percent)
+    drop = written(rows.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(place)))
     side = F.broadcast(drop) if drop.count() <= DROP_ROWS else drop
-    return placed.join(side, "_place", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return placed.join(side, place, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
