@@ -8,7 +8,7 @@ alone: rests by descending length go to the first bin with room, found by a desc
 tournament tree of the bins' room. Then the emptiest bins are cut up to fill the room of
 the others, and the one bin that is left is divided at powers of two, so a group needs no padding.
 
-Words between ASCII white space are encoded once per task and kept (`KEPT_WORDS` at most): the
+Words between ASCII white space are encoded once per worker and kept (`KEPT_WORDS` at most): the
 tokenizer drops white space, and no token and no normal form goes over it.
 
 Defined results: a null or empty text is the end id alone; a null key is kept; copies and
@@ -19,11 +19,13 @@ go by row number. Sequence ids are unique, not gapless: even for whole runs, odd
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count, islice
+from functools import lru_cache
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +42,14 @@ END_ID = 2
 GROUP_ROWS = 2048
 #: Bytes of text that are taken together, and distinct words that a task keeps.
 PART = 1 << 21
-KEPT_WORDS = 300_000
+KEPT_WORDS = 600_000
+#: Bytes of an id on the way to its group; the vocabulary has fewer than 2^16.
+NARROW = 2
 #: Pieces in one batch that leaves a task.
 BATCH_PIECES = 2048
+#: ASCII punctuation but the apostrophe, which can begin a part of its own.
+_SIGNS = rb"[!-&(-/:-@\[-`{-~]*"
+_PLAIN = re.compile(rb"(%b)([a-z]*)(%b)" % (_SIGNS, _SIGNS))
 _SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
 
 
@@ -54,7 +61,11 @@ def tokenizer_path() -> str:
 
 
 class WordTokens:
-    """Token ids of texts, by their words between ASCII white space."""
+    """Token ids of texts, by their words between ASCII white space.
+
+    A word of ASCII letters with ASCII punctuation around them falls into these parts, which
+    the vocabulary's merges are applied to directly; other words go through the whole tokenizer.
+    """
 
     def __init__(self, definition: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
@@ -65,33 +76,73 @@ class WordTokens:
 
     def _forget(self) -> None:
         self.index: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.units: dict[bytes, list[int]] = {b"": []}
         self.flat, self.first, self.counts = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
+    def _unit(self, unit: bytes) -> list[int]:
+        if (ids := self.units.get(unit)) is None:
+            ids = self.units[unit] = [t.id for t in self.tokenizer.model.tokenize(unit.decode())]
+        return ids
+
+    def _words(self, words: list[bytes]) -> list[list[int]]:
+        out: list[list[int]] = [[]] * len(words)
+        odd = []
+        for i, word in enumerate(words):
+            if word.isalpha() and word.islower():
+                out[i] = self._unit(word)
+            elif (parts := _PLAIN.fullmatch(word)) and b"<|" not in word:
+                before, letters, behind = parts.groups()
+                out[i] = self._unit(before) + self._unit(letters) + self._unit(behind)
+            else:
+                odd.append(i)
+        encoded = self.tokenizer.encode_batch_fast([words[i].decode() for i in odd], add_special_tokens=False)
+        for i, e in zip(odd, encoded, strict=True):
+            out[i] = e.ids
+        return out
+
     def ids(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of each text's with its end id."""
-        found, owners = [], []
-        for i, text in enumerate(texts):
-            for part in _parts(text):
-                found.append(self._part(part))
-                owners.append((i, len(found[-1])))
-            found.append(np.array([end_id], np.uint32))
-            owners.append((i, 1))
-        totals = np.bincount([i for i, _ in owners], [n for _, n in owners], len(texts)).astype(np.int64)
+        found, totals = [], np.ones(len(texts), np.int64)
+        for a, b in _slices([len(t) for t in texts], PART):
+            if b - a > 1:
+                ids, counts = self._numbered([_lower(t).split() for t in texts[a:b]])
+                ends = np.cumsum(counts)
+                totals[a:b] += counts
+                found.append(np.insert(ids, ends, end_id))
+            else:  # perhaps a long one
+                for part in _parts(texts[a]):
+                    found.append(self._numbered([_lower(part).split()])[0])
+                    totals[a] += len(found[-1])
+                found.append(np.array([end_id], np.uint32))
         return np.concatenate([np.empty(0, np.uint32), *found]), totals
 
-    def _part(self, part: bytes) -> np.ndarray:
+    def _numbered(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words of some texts in a row, and their number per text."""
         if len(self.index) > KEPT_WORDS:
             self._forget()
         known = len(self.index)
-        number = np.fromiter(map(self.index.__getitem__, part.split()), np.int64)  # a new word gets the next number
-        new = [w.decode() for w in islice(self.index, known, None)]
+        number = np.fromiter(map(self.index.__getitem__, chain.from_iterable(texts)), np.int64)  # a new word gets the next number
+        new = list(islice(self.index, known, None))
         if new:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            ids = self._words(new)
             counts = np.fromiter(map(len, ids), np.int64, len(ids))
             self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(counts) - counts])
             self.counts = np.concatenate([self.counts, counts])
-            self.flat = np.concatenate([self.flat, np.array([x for own in ids for x in own], np.uint32)])
-        return self.flat[_ranges(self.first[number], self.counts[number])]
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, counts.sum())])
+        lengths = self.counts[number]
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([len(t) for t in texts])]
+        return self.flat[_ranges(self.first[number], lengths)], np.diff(ends, prepend=0)
+
+
+def _lower(text: bytes) -> bytes:
+    """A-Z in lower case, as the tokenizer would have them; special tokens stay as they are."""
+    return text if b"<|" in text else text.lower()
+
+
+@lru_cache(1)
+def _tokens(definition: str) -> WordTokens:
+    """A worker keeps its words from task to task."""
+    return WordTokens(definition)
 
 
 def _parts(text: bytes) -> Iterator[bytes]:
@@ -105,16 +156,19 @@ def _parts(text: bytes) -> Iterator[bytes]:
 
 
 def cut_documents(docs: DataFrame, key: str, text: str, size: int, end_id: int, path: str) -> DataFrame:
-    """Pieces of at most `size` ids (little-endian, 32 bits) of every document.
+    """Pieces of at most `size` ids of every document.
 
-    `row` numbers the documents; whole runs have their sequence, rests have none yet.
+    `row` numbers the documents; whole runs have their sequence and ids of 32 bits (little-endian),
+    rests have none yet and ids of `NARROW` bytes, as they are shuffled.
     """
     with open(path, encoding="utf-8") as file:
         definition = file.read()  # a vocabulary, of fixed size whatever the corpus
+    if max(end_id, *json.loads(definition)["model"]["vocab"].values()) >= 1 << 8 * NARROW:
+        raise ValueError("ids need more bytes on their way")
     shared = docs.sparkSession.sparkContext.broadcast(definition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(shared.value)
+        tokens = _tokens(shared.value)
         first = TaskContext.get().partitionId() << 33
         rows = runs = 0
         for batch in batches:
@@ -128,20 +182,22 @@ def cut_documents(docs: DataFrame, key: str, text: str, size: int, end_id: int,
                 length = np.minimum(size, totals[owner] - start)
                 whole = length == size
                 sequence = (first + runs + np.cumsum(whole) - 1) * 2
-                for i in range(0, len(owner), BATCH_PIECES):
-                    part = slice(i, i + BATCH_PIECES)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            keys.take(pa.array(owner[part])),
-                            pa.array(start[part]),
-                            pa.array(length[part]),
-                            pa.array(totals[owner[part]]),
-                            _binary(flat, np.concatenate([[0], np.cumsum(length)])[i : i + BATCH_PIECES + 1]),
-                            pa.array(first + rows + owner[part]),
-                            pa.array(sequence[part], mask=~whole[part]),
-                        ],
-                        ["doc_id", "start", "length", "doc_tokens", "ids", "row", "sequence_id"],
-                    )
+                begin = np.cumsum(length) - length
+                for some, width in ((np.flatnonzero(whole), 4), (np.flatnonzero(~whole), NARROW)):
+                    for i in range(0, len(some), BATCH_PIECES):
+                        part = some[i : i + BATCH_PIECES]
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                keys.take(pa.array(owner[part])),
+                                pa.array(start[part]),
+                                pa.array(length[part]),
+                                pa.array(totals[owner[part]]),
+                                _binary(flat[_ranges(begin[part], length[part])], length[part], width),
+                                pa.array(first + rows + owner[part]),
+                                pa.array(sequence[part], mask=~whole[part]),
+                            ],
+                            ["doc_id", "start", "length", "doc_tokens", "ids", "row", "sequence_id"],
+                        )
                 rows, runs = rows + len(totals), runs + int(whole.sum())
 
     given = picked(docs, doc_id=key, text=text)
@@ -150,10 +206,10 @@ def cut_documents(docs: DataFrame, key: str, text: str, size: int, end_id: int,
     return given.mapInArrow(run, schema)
 
 
-def _binary(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
-    data = flat[ends[0] : ends[-1]].astype("<u4").tobytes()
-    offsets = ((ends - ends[0]) * 4).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
+def _binary(flat: np.ndarray, lengths: np.ndarray, width: int) -> pa.Array:
+    """Consecutive runs of ids as little-endian numbers of `width` bytes."""
+    offsets = np.concatenate([[0], np.cumsum(lengths) * width]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(flat.astype(f"<u{width}").tobytes())])
 
 
 def first_fit(lengths: list[int], size: int) -> list[int]:
@@ -237,8 +293,9 @@ def _pack_group(size: int):
         found = np.array(list(pack_lengths(table["length"].to_pylist(), size)), np.int64).reshape(-1, 5)
         item, first, length, sequence, offset = found.T
         group = table["group"][0].as_py()
-        held = table["ids"].to_pylist()
-        cut = [held[i][4 * a : 4 * (a + n)] for i, a, n in zip(item.tolist(), first.tolist(), length.tolist(), strict=True)]
+        flat = np.frombuffer(b"".join(table["ids"].to_pylist()), f"<u{NARROW}")
+        sizes = table["length"].to_numpy()
+        begin = (np.cumsum(sizes) - sizes)[item] + first
         taken = table.select(["doc_id", "start", "doc_tokens"]).take(pa.array(item))
         return pa.table(
             {
@@ -246,7 +303,7 @@ def _pack_group(size: int):
                 "start": pc.add(taken["start"], pa.array(first)),
                 "length": pa.array(length),
                 "doc_tokens": taken["doc_tokens"],
-                "ids": pa.array(cut, pa.binary()),
+                "ids": _binary(flat[_ranges(begin, length)], length, 4),
                 "sequence_id": pa.array(((group << 24) + sequence) * 2 + 1),
                 "offset": pa.array(offset),
             }

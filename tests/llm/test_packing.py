@@ -13,9 +13,11 @@ from gleanery.llm import packing
 SCHEMA = "doc_id long, text string, ids string, `row` int, `group` string"
 
 
+TOKENIZER = Tokenizer.from_file(packing.tokenizer_path())
+
+
 def whole(text):
-    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
-    return tokenizer.encode(text or "", add_special_tokens=False).ids + [packing.END_ID]
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids + [packing.END_ID]
 
 
 @pytest.mark.parametrize("seed", range(5))
@@ -66,6 +68,17 @@ def test_words_give_the_ids_of_the_whole_text():
     assert totals.tolist() == [len(whole(t)) for t in tricky]
 
 
+def test_plain_words_and_marks_give_the_ids_of_the_whole_text():
+    marks = [chr(c) for c in range(0x300, 0x370)]
+    words = [f"{x}{m}" for x in "AEIKNOSUZbq" for m in marks]
+    words += [f"{a}{core}{b}" for a in ["", "(", "<|", "..", "'", "#$"] for core in ["", "Don", "isn", "xyz"] for b in ["", ",", "'s", "?!", "|>", "'LL.", "_x", "…"]]
+    with open(packing.tokenizer_path(), encoding="utf-8") as file:
+        tokens = packing.WordTokens(file.read())
+    for one in ([w] for w in words):
+        assert tokens.ids([one[0].encode()], packing.END_ID)[0].tolist() == whole(one[0]), one
+    assert tokens.ids([" ".join(words).encode(), b"x"], packing.END_ID)[0].tolist() == whole(" ".join(words)) + whole("x")
+
+
 def test_long_texts_are_encoded_in_parts(monkeypatch):
     monkeypatch.setattr(packing, "PART", 50)
     monkeypatch.setattr(packing, "KEPT_WORDS", 3)
