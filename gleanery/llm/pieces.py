@@ -218,7 +218,9 @@ def _slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
 
 
 def encode(df: DataFrame, text: str = "text", into: str = "pieces", path: str = vocabulary.PATH) -> DataFrame:
-    """All columns, and the ids of the pieces of each text (array<int>)."""
+    """All columns, and the ids of the pieces of each text (array<int>) in place of a column of that name."""
+    if into != text:
+        df = df.drop(into)
     vocab = df.sparkSession.sparkContext.broadcast(vocabulary.load(path).plain())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,36 +236,68 @@ def encode(df: DataFrame, text: str = "text", into: str = "pieces", path: str =
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(into, T.ArrayType(T.IntegerType()))]))
 
 
+class Decoder:
+    """The bytes of all pieces in one buffer, with their places by id."""
+
+    def __init__(self, vocab: Vocabulary) -> None:
+        spelled = [p.replace(SPACE, " ").encode() for p in vocab.pieces]
+        for b, i in enumerate(vocab.bytes_from):
+            spelled[i] = bytes([b])
+        self.size = len(spelled)
+        self.lengths = np.array([*map(len, spelled), 0], np.int64)  # the last one stands for ids outside
+        self.first = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(spelled), np.uint8)
+
+    def texts(self, lists: pa.ListArray) -> list[str | None]:
+        """The text of each list; null for a null one."""
+        ids = lists.flatten().fill_null(-1).to_numpy().astype(np.int64)
+        ids[(ids < 0) | (ids >= self.size)] = self.size
+        lengths = self.lengths[ids]
+        raw = self.flat[_ranges(self.first[ids], lengths)].tobytes()
+        counts = pc.list_value_length(lists).fill_null(0).to_numpy()
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        null = lists.is_null().to_pylist()
+        return [None if out else raw[x:y].removeprefix(b" ").decode("utf-8", "replace") for out, x, y in zip(null, ends, ends[1:], strict=False)]
+
+
 def decode(df: DataFrame, ids: str = "pieces", into: str = "decoded", path: str = vocabulary.PATH) -> DataFrame:
     """All columns, and the text that each list of ids stands for."""
     vocab = df.sparkSession.sparkContext.broadcast(vocabulary.load(path).plain())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Vocabulary(*vocab.value)
-        spelled = [p.replace(SPACE, " ").encode() for p in known.pieces]
-        for b, i in enumerate(known.bytes_from):
-            spelled[i] = bytes([b])
+        decoder = Decoder(Vocabulary(*vocab.value))
         for batch in batches:
-            out = [_joined(x.as_py(), spelled) for x in batch.column(names.index(ids))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*names, into])
+            sizes = pc.list_value_length(batch.column(names.index(ids))).fill_null(0).to_pylist()
+            for a, b in _slices(sizes, TEXT):
+                part = batch.slice(a, b - a)
+                out = decoder.texts(part.column(names.index(ids)))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.string())], [*names, into])
 
     names = df.columns
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(into, T.StringType())]))
 
 
-def _joined(ids: list[int | None] | None, spelled: list[bytes]) -> str | None:
-    if ids is None:
-        return None
-    raw = b"".join([spelled[i] for i in ids if i is not None and 0 <= i < len(spelled)])
-    return raw.removeprefix(b" ").decode("utf-8", "replace")
+def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = vocabulary.PATH) -> DataFrame:
+    """Per document the number and digest of its pieces, and whether decoding gives the text back.
 
+    A batch is encoded and decoded in one go, so only the pieces leave the worker.
+    """
+    vocab = docs.sparkSession.sparkContext.broadcast(vocabulary.load(path).plain())
 
-def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = vocabulary.PATH) -> DataFrame:
-    """Per document the number and digest of its pieces, and whether decoding gives the text back."""
-    done = decode(encode(picked(docs, doc_id=key, text=text), path=path), path=path)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = Encoder(Vocabulary(*vocab.value)), Decoder(Vocabulary(*vocab.value))
+        for batch in batches:
+            for a, b in _slices(pc.binary_length(batch.column(1)).fill_null(0).to_pylist(), TEXT):
+                texts = batch.column(1).slice(a, b - a).to_pylist()
+                ids = encoder.texts(texts)
+                restored = [x == y for x, y in zip(texts, decoder.texts(ids), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), ids, pa.array(restored, pa.bool_())], ["doc_id", "pieces", "restored"])
+
+    given = picked(docs, doc_id=key, text=text)
+    done = given.mapInArrow(run, f"doc_id {given.schema['doc_id'].dataType.simpleString()}, pieces array<int>, restored boolean")
     return done.select(
         "doc_id",
         F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"),
         F.sha2(F.array_join("pieces", ","), 256).alias("pieces_sha256"),
-        F.col("decoded").eqNullSafe(F.col("text")).alias("restored"),
+        "restored",
     )
