@@ -67,6 +67,7 @@ def load_facts(
     areas: DataFrame,
     now: Column,
     strict: bool = False,
+    last_id: DataFrame | None = None,
 ) -> Loaded:
     """Insert or update the facts of raw rows just written.
 
@@ -74,7 +75,9 @@ def load_facts(
     Rows without uuid are left out. Items with metadata use the frameworks and
     datasets that are there; other types create what is missing from uuid and name.
     `strict` reads the habitat and the determination method only under their import
-    names; otherwise the export names count as well.
+    names; otherwise the export names count as well. `last_id` is the highest number ever given
+    (one row); without it, it is taken from the facts. `facts` may then be a part of the table, if
+    it holds every fact with a uuid of the rows.
     """
     keyed = rows.where("uuid IS NOT NULL").withColumn("doc", F.from_json(F.col("item"), S.ITEM_TEXT))
     grown_sources = M.sources_by_name(sources, keyed.select("source"))
@@ -107,7 +110,7 @@ def load_facts(
     coded = join_lookup(keyed, ds_ids, ["_jdd"], "left", spread_by=["uuid"])
 
     # Only uuids are numbered; the wide rows stay where they are.
-    new_ids = assign_ids(keyed.where("fact IS NULL").select("uuid"), F.col("uuid"), "_new_id", facts.select("id_synthese"))
+    new_ids = assign_ids(keyed.where("fact IS NULL").select("uuid"), F.col("uuid"), "_new_id", facts.select("id_synthese") if last_id is None else last_id)
     coded = coded.join(new_ids, "uuid", "left")
 
     labelled = F.col("type") == S.TYPE_WITH_LABEL
@@ -163,8 +166,8 @@ def load_facts(
     return Loaded(untouched.unionByName(written), written, grown_sources, grown_af, grown_ds)
 
 
-def delete_facts(facts: DataFrame, deleted: DataFrame, sources: DataFrame) -> DataFrame:
-    """Remove the facts of raw rows just deleted, matched by source and their own id.
+def deleted_keys(deleted: DataFrame, sources: DataFrame) -> DataFrame:
+    """(entity_source_pk_value, id_source) of the facts of raw rows just deleted.
 
     Only the record types that feed the fact table count.
     """
@@ -172,5 +175,10 @@ def delete_facts(facts: DataFrame, deleted: DataFrame, sources: DataFrame) -> Da
         "source", F.get_json_object("item", "$.id_synthese").alias("entity_source_pk_value")
     )
     ids = sources.select(F.col("name_source").alias("source"), "id_source")
-    keys = join_lookup(gone.distinct(), ids, ["source"], "inner").select("entity_source_pk_value", "id_source")
+    return join_lookup(gone.distinct(), ids, ["source"], "inner").select("entity_source_pk_value", "id_source")
+
+
+def delete_facts(facts: DataFrame, deleted: DataFrame, sources: DataFrame) -> DataFrame:
+    """Remove the facts of raw rows just deleted, matched by source and their own id."""
+    keys = deleted_keys(deleted, sources)
     return facts.join(keys, ["entity_source_pk_value", "id_source"], "left_anti").select(*facts.columns)

@@ -96,6 +96,9 @@ LAYOUTS = {
 }
 
 
+# Highest number given in each numbered table; kept in the store, so that none is given twice.
+SEQUENCES = "name string, last bigint"
+
 # Tables that only grow: a run appends its rows. The import log holds the events of the runs.
 ADDED = ("error_log", "import_log")
 
@@ -167,15 +170,25 @@ def load_metadata(tables: Tables, documents: DataFrame, now) -> Tables:
     return out
 
 
+def _raised(sequences: DataFrame | None, facts: DataFrame) -> DataFrame:
+    """The highest numbers, also over some facts."""
+    given = facts.select(F.lit("facts").alias("name"), F.col("id_synthese").alias("last"))
+    given = given if sequences is None else given.unionByName(sequences)
+    return given.groupBy("name").agg(F.max("last").alias("last"))
+
+
 @register("star_schema")
 def load_star(tables: Tables, changes: Changes) -> Tables:
     """Load documents, then facts, then take out the facts of deleted rows."""
     now = changes.now
     out = load_metadata(tables, changes.metadata.where("inserted"), now)
+    last_id = tables["sequences"].where("name = 'facts'").select("last") if "sequences" in tables else None
     loaded = FA.load_facts(
         changes.data, out["facts"], out["sources"], out["frameworks"], out["datasets"],
-        CodeBook(out["codes"], tuple(c.list_type for c in (*S.CODES, S.BIOGEO))), out["areas"], now,
+        CodeBook(out["codes"], tuple(c.list_type for c in (*S.CODES, S.BIOGEO))), out["areas"], now, last_id=last_id,
     )
+    if last_id is not None:
+        out["sequences"] = _raised(tables["sequences"], loaded.written)
     out["sources"] = loaded.sources.rows
     out["frameworks"], out["datasets"] = loaded.frameworks.rows, loaded.datasets.rows
     out["facts"] = FA.delete_facts(loaded.facts, changes.deleted, out["sources"])
@@ -202,9 +215,10 @@ def run_import(
 
 
 def _import(
-    tables: Tables, arrivals: DataFrame, now, deletions=None, loader=load_star, keep_metadata_of_rejected=True, holders_of=None
+    tables: Tables, arrivals: DataFrame, now, deletions=None, loader=load_star, keep_metadata_of_rejected=True, holders_of=None,
+    facts_of: Callable[[Changes], DataFrame] | None = None,
 ) -> Report:
-    """The import of arrivals that are written."""
+    """The import of arrivals that are written; `facts_of` gives the facts that the changes may concern."""
     out = dict(tables)
     slim, _ = split_metadata(arrivals)
     documents = first_documents(arrivals, ["source", "import_id"])
@@ -225,6 +239,7 @@ def _import(
 
     if deletions is not None:
         kept, gone = delete_by_log(data.state, deletions)
+        gone = cut(gone)
     else:
         kept, gone = data.state, data.state.limit(0)
     out["data_json"] = kept
@@ -240,6 +255,8 @@ def _import(
 
     changes = Changes(data.written, meta.written, gone, now)
     if loader is not None:
+        if facts_of is not None:
+            out["facts"] = facts_of(changes)
         out = loader(out, changes)
 
     def counted(rows: DataFrame, outcome: str, n=None) -> DataFrame:
@@ -283,9 +300,33 @@ def open_tables(
         else:
             out[name] = store.read(name, layout, version)
     out["codes"], out["areas"] = codes, areas
+    sequences = store.read("sequences", SEQUENCES, version)
+    if not sequences.isEmpty():
+        out["sequences"] = sequences
     return out
 
 
+def facts_for(store: Store, tables: Tables, changes: Changes, version: int) -> DataFrame:
+    """Stored facts in the ranges that changes of raw rows may concern.
+
+    These are the ranges of facts with a uuid of a written row or the own id of a deleted one, by the
+    index, and the range that the next new fact of a source falls into. All facts, for a store
+    without an index.
+    """
+    if "sequences" not in tables or not holders.indexed(store, version, holders.FACTS):
+        return tables["facts"]
+    own = FA.deleted_keys(changes.deleted, tables["sources"])
+    wanted = holders.fact_keys(changes.data.select("uuid").distinct(), own)
+    hits = holders.find(store, wanted, version, holders.FACTS)
+    spots = hits.select(F.col("source").alias("id_source"), F.col("id_data").alias("id_synthese"))
+    named = changes.data.select(F.col("source").alias("name_source")).distinct()
+    growing = join_lookup(named, tables["sources"].select("name_source", "id_source"), ["name_source"], "inner")
+    following = tables["sequences"].where("name = 'facts'").first()["last"] + 1
+    growing = growing.select(F.col("id_source").cast("string"), F.lit(following).cast("bigint").alias("id_synthese"))
+    touched = cut(store.touched(spots, growing, name="facts"))
+    return store.read_ranged("facts", FA.FACT, touched, version)
+
+
 def save_run(
     store: Store, run_id: str, before: Tables, report: Report, added: dict[str, DataFrame] | None = None,
     base: int | None = None, ranged: dict | None = None,
@@ -299,29 +340,43 @@ def save_run(
     if store.has_run(run_id):
         return store.version()
     changes = report.changes
+    base = store.version() if base is None else base
     raw = cut(store.touched(changes.data, changes.deleted))
     ranged = {"data_json": (store.within(report.tables["data_json"], raw, "data_json"), raw)} | (ranged or {})
+    fact_entries, sequences = None, {}
     if report.tables["facts"] is not before["facts"]:
         uuids = changes.data.select(F.col("uuid").alias("unique_id_sinp")).where("unique_id_sinp IS NOT NULL")
         new = report.tables["facts"]
         ids = ["id_source", "id_synthese"]
         gone = before["facts"].select(*ids).join(new.select(*ids), ids, "left_anti")
-        changed = new.select("unique_id_sinp", *ids).join(uuids, "unique_id_sinp", "left_semi").select(*ids)
+        keys = new.select("unique_id_sinp", "entity_source_pk_value", *ids)
+        changed = cut(keys.join(uuids, "unique_id_sinp", "left_semi"))
         facts = cut(store.touched(changed, gone, name="facts"))
         ranged["facts"] = (store.within(new, facts, "facts"), facts)
+        # Facts that were written before there was an index are indexed once.
+        known = "sequences" in before and holders.indexed(store, base, holders.FACTS)
+        fact_entries = holders.fact_entries(changed if known else keys, store.ids_per_range)
+        top = cut(_raised(report.tables.get("sequences"), changed if known else keys))
+        if not top.isEmpty():
+            sequences["sequences"] = top
     whole = {
         name: report.tables[name]
         for name in LAYOUTS
         if name not in store.ranged_by and name not in ADDED and report.tables[name] is not before[name]
     }
     logs = {"error_log": report.new_errors, "import_log": report.log} | (added or {})
-    base = store.version() if base is None else base
     held = holders.changes(changes.data, changes.deleted)
     if base and not holders.indexed(store, base):
         # Written before there was an index: all of it is indexed once.
         stored = store.read_ranged("data_json", S.DATA_JSON, version=base)
         held = held.unionByName(stored.join(changes.deleted.select("uuid"), "uuid", "left_anti").select("uuid", "source", "id_data", F.lit(True).alias("held")))
-    return store.write(run_id, whole, ranged, logs, base, lambda token, version: holders.append(store, token, version, held))
+
+    def beside(token: str, version: int) -> None:
+        holders.append(store, token, version, held)
+        if fact_entries is not None:
+            holders.append(store, token, version, fact_entries, holders.FACTS)
+
+    return store.write(run_id, whole | sequences, ranged, logs, base, beside)
 
 
 def import_into_store(
@@ -339,8 +394,9 @@ def import_into_store(
 ) -> Report | None:
     """Import arrivals into a store as one run; None if the run is there already.
 
-    Raw rows are read and rewritten only in the ranges that the arrivals and deletions
-    fall into; holders of their uuids come from the index. A run that another writer overtakes
+    Raw rows and facts are read and rewritten only in the ranges that the arrivals and deletions
+    concern; holders of their uuids, and the ranges of their facts, come from an index. The tables of
+    the report hold these ranges only. A run that another writer overtakes
     starts again, unless its version `base` is given: then it raises `Conflict`. Every arrival is stored, superseded or in the error log. `log` makes the
     events for the import log from the counters; `added` are rows for further tables that only
     grow, written with the run.
@@ -422,7 +478,12 @@ def _import_version(
     known = holders.find(store, wanted, version)
     if known is None:
         known = store.read_ranged("data_json", S.DATA_JSON, version=version).join(wanted, "uuid", "left_semi")
-    report = _import(tables, rows, now, deletions, loader, holders_of=known.select("uuid"))
+
+    def facts_of(changes: Changes) -> DataFrame:
+        tables["facts"] = facts_for(store, tables, changes, version)
+        return tables["facts"]
+
+    report = _import(tables, rows, now, deletions, loader, holders_of=known.select("uuid"), facts_of=facts_of)
     if late is not None:
         passed = _failures(late.withColumn("error", F.lit("older than its deletion")), "error")
         report = report._replace(new_errors=report.new_errors.unionByName(cut(new_errors(tables["error_log"], passed))))

@@ -51,7 +51,7 @@ class Store:
         self.known: dict = {}
         self.ranged_by = {"data_json": ("source", "id_data"), "facts": ("id_source", "id_synthese"), "tombstones": ("source", "id_data")}
         self.root = root.rstrip("/")
-        self._ids_per_range = ids_per_range
+        self.ids_per_range = ids_per_range
 
     def _append(self, rows: DataFrame, name: str) -> None:
         if name == "commits":
@@ -154,7 +154,7 @@ class Store:
 
     def range_of(self, name: str) -> list[Column]:
         source, number = self.ranged_by[name]
-        part = F.floor(F.col(number) / F.lit(self._ids_per_range)).cast("bigint")
+        part = F.floor(F.col(number) / F.lit(self.ids_per_range)).cast("bigint")
         return [F.col(source).cast("string").alias("p_source"), part.alias("p_range")]
 
     def touched(self, *batches: DataFrame, name: str = "data_json") -> DataFrame:
