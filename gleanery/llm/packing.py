@@ -23,7 +23,7 @@ import json
 import os
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain, count, islice
 
@@ -48,8 +48,9 @@ NARROW = 2
 #: Pieces in one batch that leaves a task.
 BATCH_PIECES = 2048
 #: ASCII punctuation but the apostrophe, which can begin a part of its own.
-_SIGNS = rb"[!-&(-/:-@\[-`{-~]*"
-_PLAIN = re.compile(rb"(%b)([a-z]*)(%b)" % (_SIGNS, _SIGNS))
+_SIGNS = r"[!-&(-/:-@\[-`{-~]*"
+#: A word of lower-case letters below U+0100, with punctuation around them; nothing in it is normalised.
+_PLAIN = rf"\A(?P<before>{_SIGNS})(?P<letters>[a-z\x{{df}}-\x{{f6}}\x{{f8}}-\x{{ff}}]*)(?P<behind>{_SIGNS})\z"
 _SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
 
 
@@ -60,10 +61,20 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a vocabulary of bytes."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = count(256)
+    return [chr(b if b in shown else next(others)) for b in range(256)]
+
+
+_LETTERS = _byte_letters()
+
+
 class WordTokens:
     """Token ids of texts, by their words between ASCII white space.
 
-    A word of ASCII letters with ASCII punctuation around them falls into these parts, which
+    A word of plain letters with ASCII punctuation around them falls into these parts, which
     the vocabulary's merges are applied to directly; other words go through the whole tokenizer.
     """
 
@@ -76,67 +87,91 @@ class WordTokens:
 
     def _forget(self) -> None:
         self.index: defaultdict[bytes, int] = defaultdict(count().__next__)
-        self.units: dict[bytes, list[int]] = {b"": []}
-        self.flat, self.first, self.counts = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def _unit(self, unit: bytes) -> list[int]:
-        if (ids := self.units.get(unit)) is None:
-            ids = self.units[unit] = [t.id for t in self.tokenizer.model.tokenize(unit.decode())]
-        return ids
-
-    def _words(self, words: list[bytes]) -> list[list[int]]:
-        out: list[list[int]] = [[]] * len(words)
-        odd = []
-        for i, word in enumerate(words):
-            if word.isalpha() and word.islower():
-                out[i] = self._unit(word)
-            elif (parts := _PLAIN.fullmatch(word)) and b"<|" not in word:
-                before, letters, behind = parts.groups()
-                out[i] = self._unit(before) + self._unit(letters) + self._unit(behind)
-            else:
-                odd.append(i)
-        encoded = self.tokenizer.encode_batch_fast([words[i].decode() for i in odd], add_special_tokens=False)
-        for i, e in zip(odd, encoded, strict=True):
-            out[i] = e.ids
-        return out
+        self.units: defaultdict[str, int] = defaultdict(count().__next__)
+        self.flat, self.first, self.counts = _nothing()
+        self.unit_flat, self.unit_first, self.unit_counts = _nothing()
+        self._units([""], lambda _: [[]])
+
+    def _units(self, units: list[str], encode: Callable[[list[str]], list[list[int]]]) -> np.ndarray:
+        """Numbers of some parts of words; new ones are encoded."""
+        known = len(self.units)
+        number = np.fromiter(map(self.units.__getitem__, units), np.int64, len(units))
+        if new := list(islice(self.units, known, None)):
+            self.unit_flat, self.unit_first, self.unit_counts = _with(self.unit_flat, self.unit_first, self.unit_counts, encode(new))
+        return number
+
+    def _merged(self, units: list[str]) -> list[list[int]]:
+        tokenize = self.tokenizer.model.tokenize
+        return [[t.id for t in tokenize(u if u.isascii() else "".join(map(_LETTERS.__getitem__, u.encode())))] for u in units]
+
+    def _encoded(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some words in a row, and their number per word."""
+        texts = pa.array(words, pa.binary()).cast(pa.string())
+        parts = pc.extract_regex(texts, _PLAIN)
+        plain = pc.and_(parts.is_valid(), pc.invert(pc.match_substring(texts, "<|")))
+        number = np.zeros((len(words), 3), np.int64)
+        for i, name in enumerate(("before", "letters", "behind")):
+            coded = pc.if_else(plain, parts.field(name), "").dictionary_encode()
+            number[:, i] = self._units(coded.dictionary.to_pylist(), self._merged)[coded.indices.to_numpy()]
+        odd = pc.invert(plain)
+        number[odd.to_numpy(zero_copy_only=False), 0] = self._units(texts.filter(odd).to_pylist(), self._encoded)
+        counts = self.unit_counts[number]
+        return self.unit_flat[_ranges(self.unit_first[number].ravel(), counts.ravel())], counts.sum(axis=1)
 
     def ids(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of each text's with its end id."""
         found, totals = [], np.ones(len(texts), np.int64)
         for a, b in _slices([len(t) for t in texts], PART):
             if b - a > 1:
-                ids, counts = self._numbered([_lower(t).split() for t in texts[a:b]])
+                ids, counts = self._numbered(texts[a:b])
                 ends = np.cumsum(counts)
                 totals[a:b] += counts
                 found.append(np.insert(ids, ends, end_id))
             else:  # perhaps a long one
                 for part in _parts(texts[a]):
-                    found.append(self._numbered([_lower(part).split()])[0])
+                    found.append(self._numbered([part])[0])
                     totals[a] += len(found[-1])
                 found.append(np.array([end_id], np.uint32))
         return np.concatenate([np.empty(0, np.uint32), *found]), totals
 
-    def _numbered(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    def _numbered(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words of some texts in a row, and their number per text."""
         if len(self.index) > KEPT_WORDS:
             self._forget()
         known = len(self.index)
-        number = np.fromiter(map(self.index.__getitem__, chain.from_iterable(texts)), np.int64)  # a new word gets the next number
+        words = pc.ascii_split_whitespace(_lower(pa.array(texts, pa.binary()).cast(pa.string())))
+        coded = words.values.dictionary_encode()
+        own = coded.dictionary.cast(pa.binary()).to_pylist()  # each word of these texts once
+        number = np.fromiter(map(self.index.__getitem__, own), np.int64, len(own))  # a new word gets the next number
+        number = number[coded.indices.to_numpy()]
         new = list(islice(self.index, known, None))
         if new:
-            ids = self._words(new)
-            counts = np.fromiter(map(len, ids), np.int64, len(ids))
+            ids, counts = self._words(new)
             self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(counts) - counts])
             self.counts = np.concatenate([self.counts, counts])
-            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, counts.sum())])
+            self.flat = np.concatenate([self.flat, ids])
         lengths = self.counts[number]
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([len(t) for t in texts])]
+        ends = np.concatenate([[0], np.cumsum(lengths)])[words.offsets.to_numpy()[1:]]
         return self.flat[_ranges(self.first[number], lengths)], np.diff(ends, prepend=0)
 
 
-def _lower(text: bytes) -> bytes:
+def _nothing() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+
+def _with(flat: np.ndarray, first: np.ndarray, counts: np.ndarray, ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All ids, the place of the first and the number of each entry, with some entries more."""
+    more = np.fromiter(map(len, ids), np.int64, len(ids))
+    added = np.fromiter(chain.from_iterable(ids), np.uint32, more.sum())
+    return np.concatenate([flat, added]), np.concatenate([first, len(flat) + np.cumsum(more) - more]), np.concatenate([counts, more])
+
+
+def _lower(texts: pa.StringArray) -> pa.StringArray:
     """A-Z in lower case, as the tokenizer would have them; special tokens stay as they are."""
-    return text if b"<|" in text else text.lower()
+    return pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
 
 
 @lru_cache(1)

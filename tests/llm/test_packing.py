@@ -128,3 +128,16 @@ def test_report_has_checksums_of_the_pieces(spark):
 
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_accented_words_are_merged_directly(monkeypatch):
+    with open(packing.tokenizer_path(), encoding="utf-8") as file:
+        tokens = packing.WordTokens(file.read())
+    whole_words = []
+    encoded = tokens._encoded
+    monkeypatch.setattr(tokens, "_encoded", lambda words: whole_words.extend(words) or encoded(words))
+    letters = [chr(c) for c in range(0xC0, 0x100)]
+    text = " ".join([*letters, *("x" + c + "yz" for c in letters), "(Straße,)", "año!!", "l'été", "ét", "9é", "<|endoftext|>é"])
+    ids, totals = tokens.ids([text.encode(), b"", text.encode()], packing.END_ID)
+    assert ids.tolist() == whole(text) + whole("") + whole(text) and totals.tolist() == [len(whole(text)), 1, len(whole(text))]
+    assert "año!!" not in whole_words and "xéyz" not in whole_words and "l'été" in whole_words
