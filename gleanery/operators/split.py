@@ -12,6 +12,11 @@ from gleanery.operators.dims import first_seen
 from gleanery.operators.lineage import cut
 
 
+def _may_embed(item: Column) -> Column:
+    """Whether an item can have a key `ca_data` or `jdd_data`, from its text alone; an escape may hide one."""
+    return item.contains("ca_data") | item.contains("jdd_data") | item.contains("\\u")
+
+
 def split_metadata(arrivals: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Take the framework and dataset documents out of the items.
 
@@ -20,7 +25,8 @@ def split_metadata(arrivals: DataFrame) -> tuple[DataFrame, DataFrame]:
     arrival. The dataset document gets the uuid of its framework; it is null where
     the item names none.
     """
-    opened = arrivals.withColumn("_obj", D.open_object(F.col("item")))
+    # Most items of most sources embed nothing: they are not opened.
+    opened = arrivals.withColumn("_obj", F.when(_may_embed(F.col("item")), D.open_object(F.col("item"))))
     parts = opened.withColumn("_ca", D.as_object(D.member(F.col("_obj"), "ca_data"))).withColumn(
         "_jdd", D.as_object(D.member(F.col("_obj"), "jdd_data"))
     )
@@ -67,13 +73,25 @@ def first_documents(arrivals: DataFrame, per: list[str], order: str = "seq") ->
     are read first, and only the few items that win are taken apart. Documents
     without a uuid are all returned. `order` is unique within a group.
     """
+    found = found_documents(arrivals, per, order)
+    if found is None:
+        return arrivals.sparkSession.createDataFrame([], split_metadata(arrivals)[1].schema)
+    return found
+
+
+def found_documents(arrivals: DataFrame, per: list[str], order: str = "seq") -> DataFrame | None:
+    """The same, or None where no item embeds a document."""
     head = F.from_json(F.col("item"), "ca_data struct<uuid:string>, jdd_data struct<uuid:string>")
     docs = F.filter(F.array("_head.ca_data", "_head.jdd_data"), lambda d: d.isNotNull())
-    # One narrow row per item, parsed once and written.
+    # One narrow row per item with documents, parsed once and written.
     heads = cut(
-        arrivals.select(*per, order, head.alias("_head"))
+        arrivals.where(_may_embed(F.col("item")))
+        .select(*per, order, head.alias("_head"))
         .select(*per, order, F.transform(docs, lambda d: text.clean_uuid(d["uuid"])).alias("_uuids"))
+        .where(F.size("_uuids") > 0)
     )
+    if heads.isEmpty():
+        return None
     key = [*per, order]
     first = (
         heads.select(*key, F.explode("_uuids").alias("_uuid"))
