@@ -230,7 +230,7 @@ def _documents(d: Domain) -> DataFrame:
     )
     head = [F.lit("s0").alias("source"), F.lit(S.CONTROLER_METADATA).alias("controler"), F.lit(S.TYPE_WITH_METADATA).alias("type")]
     one = d.table("nation").select(*head, F.lit(S.LEVEL_FRAMEWORK).alias("level"), af.alias("item"), F.col("n_nationkey").cast("bigint").alias("seq"))
-    two = d.table("customer").select(*head, F.lit(S.LEVEL_DATASET).alias("level"), ds.alias("item"), c.alias("seq"))
+    two = d.dealt("customer", "c_custkey").select(*head, F.lit(S.LEVEL_DATASET).alias("level"), ds.alias("item"), c.alias("seq"))
     return one.unionByName(two)
 
 

@@ -57,6 +57,13 @@ class Domain:
             self._opened[name] = self.spark.read.parquet(f"{self._folder}/{name}.parquet")
         return self._opened[name]
 
+    def dealt(self, name: str, key: str) -> DataFrame:
+        """A table dealt over the tasks by its key, for columns that are costly to make.
+
+        A small file is read by one task, whatever its rows are made into.
+        """
+        return self.table(name).repartition(key)
+
     # ------------------------------------------------------------- code lists
     def codes(self) -> DataFrame:
         orders, customer, part = self.table("orders"), self.table("customer"), self.table("part")

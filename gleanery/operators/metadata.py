@@ -157,10 +157,10 @@ def open_documents(rows: DataFrame, layout: str) -> DataFrame:
 
 
 def framework_rows(docs: DataFrame, book: CodeBook, now: Column) -> DataFrame:
-    """Framework rows of opened documents (`schemas.FRAMEWORK_DOC`)."""
+    """Framework rows of opened documents (`schemas.FRAMEWORK_DOC`) and their uuid."""
     coded = book.ids(docs, [Lookup(c.list_type, F.col(f"doc.{c.key}"), c.column) for c in S.FRAMEWORK_CODES])
     return coded.select(
-        text.clean_uuid(F.col("doc.uuid")).alias("unique_acquisition_framework_id"),
+        "unique_acquisition_framework_id",
         F.col("doc.name").alias("acquisition_framework_name"),
         F.col("doc.desc").alias("acquisition_framework_desc"),
         text.clean_date(F.col("doc.start_date")).alias("acquisition_framework_start_date"),
@@ -177,7 +177,7 @@ def framework_rows(docs: DataFrame, book: CodeBook, now: Column) -> DataFrame:
 
 
 def dataset_rows(docs: DataFrame, frameworks: DataFrame, book: CodeBook, now: Column) -> DataFrame:
-    """Dataset rows of opened documents (`schemas.DATASET_DOC`)."""
+    """Dataset rows of opened documents (`schemas.DATASET_DOC`) and their uuid."""
     coded = docs.withColumn("_ca", text.clean_uuid(F.col("doc.ca_uuid")))
     owners = frameworks.select(
         F.col("unique_acquisition_framework_id").alias("_ca"), "id_acquisition_framework"
@@ -185,7 +185,7 @@ def dataset_rows(docs: DataFrame, frameworks: DataFrame, book: CodeBook, now: Co
     coded = join_lookup(coded, owners, ["_ca"], "left")
     coded = book.ids(coded, [Lookup(c.list_type, F.col(f"doc.{c.key}"), c.column) for c in S.DATASET_CODES])
     return coded.select(
-        text.clean_uuid(F.col("doc.uuid")).alias("unique_dataset_id"),
+        "unique_dataset_id",
         "id_acquisition_framework",
         F.col("doc.name").alias("dataset_name"),
         F.col("doc.shortname").alias("dataset_shortname"),

@@ -125,13 +125,18 @@ def load_metadata(tables: Tables, documents: DataFrame, now) -> Tables:
     out = dict(tables)
     key_af, key_ds = "id_acquisition_framework", "id_dataset"
 
+    def opened(level: str, layout: str, uuid: str) -> DataFrame:
+        # Rows, bridges and actors are all made from the documents: taken apart once and written.
+        docs = M.open_documents(documents.where(F.col("level") == level), layout)
+        return cut(docs.select("source", "seq", "doc", M.text.clean_uuid(F.col("doc.uuid")).alias(uuid)))
+
     # Frameworks first: datasets refer to them.
-    af_docs = M.open_documents(documents.where(F.col("level") == S.LEVEL_FRAMEWORK), S.FRAMEWORK_DOC)
+    af_docs = opened(S.LEVEL_FRAMEWORK, S.FRAMEWORK_DOC, "unique_acquisition_framework_id")
     grown = M.get_or_insert(
         tables["frameworks"], M.framework_rows(af_docs, book, now), "unique_acquisition_framework_id", key_af, ["seq"]
     )
     out["frameworks"] = grown.rows
-    new_af = af_docs.withColumn("unique_acquisition_framework_id", M.text.clean_uuid(F.col("doc.uuid"))).join(
+    new_af = af_docs.join(
         grown.added.select("unique_acquisition_framework_id", key_af), "unique_acquisition_framework_id"
     )
     for name, list_type, column, absent, out_column in (
@@ -146,22 +151,21 @@ def load_metadata(tables: Tables, documents: DataFrame, now) -> Tables:
         rows = M.code_bridge(new_af, book, list_type, key_af, values, out_column, when_absent=absent)
         out[name] = _added(tables[name], rows)
 
-    ds_docs = M.open_documents(documents.where(F.col("level") == S.LEVEL_DATASET), S.DATASET_DOC)
+    ds_docs = opened(S.LEVEL_DATASET, S.DATASET_DOC, "unique_dataset_id")
     grown_ds = M.get_or_insert(
         tables["datasets"], M.dataset_rows(ds_docs, out["frameworks"], book, now), "unique_dataset_id", key_ds, ["seq"]
     )
     out["datasets"] = grown_ds.rows
-    new_ds = ds_docs.withColumn("unique_dataset_id", M.text.clean_uuid(F.col("doc.uuid"))).join(
-        grown_ds.added.select("unique_dataset_id", key_ds), "unique_dataset_id"
-    )
+    new_ds = ds_docs.join(grown_ds.added.select("unique_dataset_id", key_ds), "unique_dataset_id")
     rows = M.code_bridge(
         new_ds, book, S.TERRITORY_TYPE, key_ds, M.codes_of("territories"), "id_nomenclature_territory",
         when_null=S.DEFAULT_TERRITORY,
     )
     out["dataset_territories"] = _added(tables["dataset_territories"], rows)
 
-    af_actors = M.actor_rows(new_af, [key_af, "source", "seq"])
-    ds_actors = M.actor_rows(new_ds, [key_ds, "source", "seq"])
+    # Numbered twice and joined twice below: listed once and written.
+    af_actors = cut(M.actor_rows(new_af, [key_af, "source", "seq"]))
+    ds_actors = cut(M.actor_rows(new_ds, [key_ds, "source", "seq"]))
     both = af_actors.drop(key_af).unionByName(ds_actors.drop(key_ds))
     people = M.get_or_create_actors(tables["organisms"], tables["roles"], both, ["seq", "pos"])
     out["organisms"], out["roles"] = people.organisms.rows, people.roles.rows
