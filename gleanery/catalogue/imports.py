@@ -117,7 +117,7 @@ def _items(spark: SparkSession, folder: str) -> DataFrame:
     early = F.expr(f"o_orderdate < {_MID}")
     return (
         Domain(spark, folder)
-        .table("orders")
+        .dealt("orders", "o_orderkey")
         .withColumn("uuid", uuid_of(F.concat(F.lit("o"), text(key))))
         .withColumn("ca", ca)
         .withColumn("jdd", jdd)

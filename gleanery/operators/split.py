@@ -61,8 +61,8 @@ def split_metadata(arrivals: DataFrame) -> tuple[DataFrame, DataFrame]:
         ),
     )
     kept = [c for c in arrivals.columns if c not in ("item", "uuid", "level")]
-    found = F.filter(both, lambda d: d["item"].isNotNull())
-    metadata = parts.where(changed).select(*kept, F.explode(found).alias("_doc")).select(*kept, "_doc.*")
+    # Picked behind the explosion: a condition before it would open every item once more.
+    metadata = parts.select(*kept, F.explode_outer(both).alias("_doc")).where("_doc.item IS NOT NULL").select(*kept, "_doc.*")
     return data, metadata
 
 
@@ -83,13 +83,13 @@ def found_documents(arrivals: DataFrame, per: list[str], order: str = "seq") ->
     """The same, or None where no item embeds a document."""
     head = F.from_json(F.col("item"), "ca_data struct<uuid:string>, jdd_data struct<uuid:string>")
     docs = F.filter(F.array("_head.ca_data", "_head.jdd_data"), lambda d: d.isNotNull())
-    # One narrow row per item with documents, parsed once and written.
+    # One narrow row per item with documents, parsed once and written; those without are left
+    # out as they are read, since a condition before that would parse every item once more.
     heads = cut(
         arrivals.where(_may_embed(F.col("item")))
         .select(*per, order, head.alias("_head"))
         .select(*per, order, F.transform(docs, lambda d: text.clean_uuid(d["uuid"])).alias("_uuids"))
-        .where(F.size("_uuids") > 0)
-    )
+    ).where(F.size("_uuids") > 0)
     if heads.isEmpty():
         return None
     key = [*per, order]

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanery import schemas as S
-from gleanery.catalogue import loading
+from gleanery.catalogue import imports, loading
 from gleanery.catalogue.views import Domain
+from gleanery.operators import split as SP
 from gleanery.plans import consolidate as C
 
 FOLDER = "/root/testdata/sf0.001"
@@ -51,3 +52,21 @@ def test_documents_are_opened_once(spark, domain, tmp_path):
 
 def test_documents_are_made_by_all_tasks(domain):
     assert dealt(loading._documents(domain))
+
+
+def test_items_are_opened_once(spark, domain, monkeypatch):
+    made = []
+    monkeypatch.setattr(SP, "cut", lambda df: made.append(df) or df)
+    items = imports._items(spark, FOLDER)
+    assert dealt(items)
+    SP.found_documents(items, ["source"])
+    _, documents = SP.split_metadata(items)
+    for df in (made[0], documents.where("uuid IS NOT NULL")):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_items_without_documents_give_none(spark):
+    texts = ['{"ca_data":{"uuid":"%s"},"jdd_data":null}' % u(1), '{"x":"ca_data"}', '{"ca_data":3}', "broken ca_data", None, '{"jdd_data":{"uuid":"?"}}']
+    rows = spark.createDataFrame([("s0", i, t) for i, t in enumerate(texts)], "source string, seq long, item string")
+    got = SP.first_documents(rows, ["source"]).select("seq", "level", "uuid").collect()
+    assert sorted((r["seq"], r["level"], r["uuid"]) for r in got) == [(0, S.LEVEL_FRAMEWORK, u(1)), (5, S.LEVEL_DATASET, None)]
