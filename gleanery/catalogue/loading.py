@@ -145,7 +145,7 @@ def _raw_items(d: Domain) -> DataFrame:
         F.when(key % 3 == 0, F.concat(F.lit(',"area_attachment":{"type_code":"AFRICA","area_code":"NATION_'), _text(cust % 25), F.lit('"}'))).otherwise(F.lit("")),
         F.lit("}"),
     )
-    return d.table("orders").select(
+    return d.dealt("orders", "o_orderkey").select(
         F.concat(F.lit("s"), _text(key % 2)).alias("source"), F.lit("data").alias("controler"),
         F.when(key % 2 == 0, S.TYPE_WITH_METADATA).otherwise(S.TYPE_WITH_CODES).alias("type"),
         key.alias("id_data"), F.when(key % 19 != 0, uuid_of(F.concat(F.lit("o"), _text(key)))).alias("uuid"),

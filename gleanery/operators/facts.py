@@ -79,14 +79,15 @@ def load_facts(
     (one row); without it, it is taken from the facts. `facts` may then be a part of the table, if
     it holds every fact with a uuid of the rows.
     """
-    keyed = rows.where("uuid IS NOT NULL").withColumn("doc", F.from_json(F.col("item"), S.ITEM_TEXT))
+    keyed = rows.where("uuid IS NOT NULL")
     grown_sources = M.sources_by_name(sources, keyed.select("source"))
     ids = grown_sources.rows.select(F.col("name_source").alias("source"), "id_source")
     keyed = owned_rows(join_lookup(keyed, ids, ["source"], "left", spread_by=["uuid"]), facts)
-    # Parsed and checked against the whole fact table once; the steps below read only
+    # Checked against the whole fact table and parsed once, in this order: a text is shuffled, not
+    # the struct of all attributes, and parsed by all tasks. The steps below read only
     # the attributes they need.
     keyed = cut(
-        keyed.select(
+        keyed.withColumn("doc", F.from_json(F.col("item"), S.ITEM_TEXT)).select(
             "uuid", "type", "import_id", "writes", "id_source", "fact", "doc",
             text.clean_uuid(F.col("doc.ca_uuid")).alias("_ca"), text.clean_uuid(F.col("doc.jdd_uuid")).alias("_jdd"),
         )

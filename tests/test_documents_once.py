@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gleanery import schemas as S
 from gleanery.catalogue import imports, loading
 from gleanery.catalogue.views import Domain
+from gleanery.operators import facts as FA
 from gleanery.operators import split as SP
 from gleanery.plans import consolidate as C
 
@@ -70,3 +71,24 @@ def test_items_without_documents_give_none(spark):
     rows = spark.createDataFrame([("s0", i, t) for i, t in enumerate(texts)], "source string, seq long, item string")
     got = SP.first_documents(rows, ["source"]).select("seq", "level", "uuid").collect()
     assert sorted((r["seq"], r["level"], r["uuid"]) for r in got) == [(0, S.LEVEL_FRAMEWORK, u(1)), (5, S.LEVEL_DATASET, None)]
+
+
+class Enough(Exception):
+    pass
+
+
+def test_items_are_joined_as_texts(spark, domain, monkeypatch):
+    made = []
+
+    def stop(df):
+        made.append(df)
+        raise Enough
+
+    monkeypatch.setattr(FA, "cut", stop)
+    assert dealt(loading._raw_items(domain))
+    with pytest.raises(Enough):
+        loading.load_fact(spark, FOLDER)
+    lines = made[0]._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    parsed = [i for i, line in enumerate(lines) if "from_json" in line]
+    joined = [i for i, line in enumerate(lines) if "Join LeftOuter" in line]
+    assert len(parsed) == 1 and parsed[0] < min(joined)
