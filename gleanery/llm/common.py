@@ -3,10 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of blocks that meet the tiles in one task, tasks that small tables are dealt over, and groups of tiles at most.
+CHUNK_BYTES = 8 << 20
+TASKS = 64
+GROUPS = 4
+
 
 def picked(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns under internal names; extra columns cannot clash with anything."""
@@ -46,5 +53,42 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def meeting(blocks: DataFrame, tiles: DataFrame, content: str) -> DataFrame:
+    """Blocks and tiles dealt so that every tile lies beside every block once, in a task that reads its blocks first.
+
+    A task has one chunk of the blocks, of about `CHUNK_BYTES` of `content`, and one group of the
+    tiles. Tiles are repeated for each chunk and blocks for each group, in a shuffle and never in
+    a broadcast: their product has no bound. Both have `ids` of their own.
+    """
+    count, size = blocks.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(content)), F.lit(0))).first()
+    asked = tiles.count()
+    least = -(-size // CHUNK_BYTES)
+    groups = max(1, min(asked, GROUPS, -(-TASKS // max(1, least))))
+    chunks = max(1, least, min(count, -(-TASKS // groups)))
+
+    def dealt(df: DataFrame, own: int, of: int, step: int, stride: int) -> DataFrame:
+        place = F.pmod(F.xxhash64("ids", content), F.lit(own)) * F.lit(stride)
+        return df.withColumn("slot", F.explode(F.transform(F.sequence(F.lit(0), F.lit(of - 1)), lambda i: (place + i * F.lit(step)).cast("int"))))
+
+    held = dealt(blocks, chunks, groups, 1, groups).withColumn("is_tile", F.lit(False))
+    put = dealt(tiles, groups, chunks, groups, 1).withColumn("is_tile", F.lit(True))
+    both = held.unionByName(put, allowMissingColumns=True)
+    return both.repartitionById(chunks * groups, F.col("slot")).sortWithinPartitions("slot", "is_tile")
+
+
+def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list[dict]]]:
+    """Each tile with the blocks of its task, from the rows of `meeting`."""
+    slot, blocks = None, []
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            if row["slot"] != slot:
+                slot, blocks = row["slot"], []
+            if row["is_tile"]:
+                yield row, [b for b in blocks if b["dim"] == row["dim"]]
+            else:
+                blocks.append(row)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -4,13 +4,14 @@ Every vector is quantised: each dimension of a block is cut into cells of equal
 numbers (one byte per dimension) are the approximation file, written once beside the exact vectors. A
 search first scans the cells alone. They bound an inner product from both sides: with the lower
 edges of the cells it is one product of matrices, and what the widths can add is one number per
-query and block. A candidate whose upper bound is below the kth best lower bound, first of its
-block and then of all blocks, is out. Exact vectors are then read in descending order of the upper
+query and block. A candidate whose upper bound is below the kth best lower bound, first of the
+blocks of its task and then of all blocks, is out. Exact vectors are then read in descending order of the upper
 bound, a few ranks at a time, until the kth result is at least the best bound that is left.
 
-Blocks of queries are repeated over slots of cell blocks and joined by the slot (the stated set of
-queries against all rows), so no task holds more than one pair of blocks; exact vectors are
-fetched by row number, for the candidates of that step only.
+Blocks of queries are repeated over chunks of cell blocks (the stated set of queries against all
+rows), in a shuffle. A task holds the cells of one chunk, of bounded size, and scans them for one
+block of queries after the other; exact vectors are fetched by row number, for the candidates of
+that step only.
 
 Defined results: vectors that are null, empty, of another length than the first dimension
 count asked for, or that hold null or non-finite components take no part, neither as query nor
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gleanery.llm.common import picked, written
+from gleanery.llm.common import beside, meeting, picked, written
 
 BLOCK_ROWS = 4096
 QUERY_ROWS = 512
@@ -38,6 +39,8 @@ CELLS = 64
 #: Ranks of candidates read in the first step, as a multiple of k; every step takes so many times more.
 FIRST_STEP = 2
 MORE = 4
+#: Candidates of one block of queries that a task holds before it hands them on.
+HELD = 1 << 20
 
 
 def _parts(batch: pa.RecordBatch, column: int, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -86,45 +89,93 @@ def _queries(size: int):
             ids = batch.column(0).to_numpy()
             for dim, part, matrix in _parts(batch, 1, size):
                 fields = [pa.array([dim], pa.int32()), pa.array([_bytes(ids[part])]), pa.array([_bytes(matrix)])]
-                yield pa.RecordBatch.from_arrays(fields, ["dim", "q_ids", "q_vectors"])
+                yield pa.RecordBatch.from_arrays(fields, ["dim", "ids", "cells"])
 
     return pack
 
 
-def bounds(queries: np.ndarray, codes: np.ndarray, low: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lower and upper bounds of the inner products, a row per query.
+def _edges(queries: np.ndarray, codes: np.ndarray, low: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inner products with the lower edges of the cells, a row per query, and what at least and at most comes on top.
 
     float64 holds these integers exactly below 2**53; larger ones are widened by a safe margin.
     """
     q, step = queries.astype(np.float64), width.astype(np.float64)
-    edge = (q * step) @ codes.T.astype(np.float64) + (q @ low.astype(np.float64))[:, None]
-    least = edge + (np.minimum(q, 0) @ (step - 1))[:, None]
-    most = edge + (np.maximum(q, 0) @ (step - 1))[:, None]
-    scale = (np.abs(q * step) @ np.full(len(step), 255.0) + np.abs(q) @ np.abs(low.astype(np.float64)))[:, None]
+    edge = (q * step) @ codes.T.astype(np.float64)
+    edge += (q @ low.astype(np.float64))[:, None]
+    scale = np.abs(q * step) @ np.full(len(step), 255.0) + np.abs(q) @ np.abs(low.astype(np.float64))
     margin = np.where(scale < 2.0**52, 0.0, scale * 1e-12)
-    return least - margin, most + margin
+    return edge, np.minimum(q, 0) @ (step - 1) - margin, np.maximum(q, 0) @ (step - 1) + margin
+
+
+def bounds(queries: np.ndarray, codes: np.ndarray, low: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds of the inner products, a row per query."""
+    edge, below, above = _edges(queries, codes, low, width)
+    return edge + below[:, None], edge + above[:, None]
 
 
 CANDIDATE = "query_id long, row long, id long, least double, most double"
 
 
+class Candidates:
+    """What can be among the k best of the blocks seen so far, for one block of queries."""
+
+    def __init__(self, asked: np.ndarray, k: int) -> None:
+        self.asked, self.k = asked, k
+        self.best = np.full((len(asked), k), -np.inf)  # lower bounds, descending
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, rows: np.ndarray, ids: np.ndarray, edge: np.ndarray, below: np.ndarray, above: np.ndarray) -> None:
+        own = np.flatnonzero(np.isin(ids, self.asked))
+        edge[:, own] = np.where(ids[own] == self.asked[:, None], -np.inf, edge[:, own])
+        kth = self.best[:, -1]
+        if len(rows) > self.k and np.isneginf(kth).any():
+            kth = np.maximum(kth, np.partition(edge, len(rows) - self.k, axis=1)[:, len(rows) - self.k] + below)
+        # The lowest finite number keeps the query's own rows out where nothing else does.
+        q, at = np.nonzero(edge >= np.maximum(kth - above, np.finfo(np.float64).min)[:, None])
+        found = edge[q, at]
+        least, most = found + below[q], found + above[q]
+        order = np.lexsort((-least, q))
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        some = place < self.k
+        fresh = np.full(self.best.shape, -np.inf)
+        fresh[q[some], place[some]] = least[order][some]
+        self.best = -np.sort(-np.concatenate([self.best, fresh], 1), 1)[:, : self.k]
+        self.parts.append(self._left(q, rows[at], ids[at], least, most))
+        self.size += len(self.parts[-1][0])
+
+    def _left(self, q: np.ndarray, *rest: np.ndarray) -> tuple[np.ndarray, ...]:
+        good = rest[-1] >= self.best[q, -1]
+        return tuple(x[good] for x in (q, *rest))
+
+    def full(self) -> bool:
+        """Whether so many are left that they are handed on before the last block."""
+        if self.size > HELD and self.parts:
+            self.parts = [self._left(*(np.concatenate(x) for x in zip(*self.parts, strict=True)))]
+            self.size = len(self.parts[0][0])
+        return self.size > HELD
+
+    def taken(self) -> Iterator[pa.RecordBatch]:
+        if self.parts:
+            q, *rest = self._left(*(np.concatenate(x) for x in zip(*self.parts, strict=True)))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (self.asked[q], *rest)], ["query_id", "row", "id", "least", "most"])
+        self.parts, self.size = [], 0
+
+
 def _scan(k: int):
-    """Candidates that can be among the k best of their block, from the cells alone."""
+    """Candidates that can be among the k best of their task's blocks, from the cells alone."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for pair in batch.to_pylist():
-                dim = pair["dim"]
-                read = lambda c: np.frombuffer(pair[c], "<i8")  # noqa: E731, B023
-                asked, rows, ids = read("q_ids"), read("rows"), read("ids")
-                codes = np.frombuffer(pair["cells"], np.uint8).reshape(-1, dim)
-                least, most = bounds(read("q_vectors").reshape(-1, dim), codes, read("low"), read("width"))
-                own = ids == asked[:, None]
-                least[own], most[own] = -np.inf, -np.inf
-                kth = np.partition(least, len(rows) - k, axis=1)[:, len(rows) - k] if len(rows) > k else np.full(len(asked), -np.inf)
-                q, at = np.nonzero((most >= kth[:, None]) & ~own)
-                columns = [pa.array(x) for x in (asked[q], rows[at], ids[at], least[q, at], most[q, at])]
-                yield pa.RecordBatch.from_arrays(columns, ["query_id", "row", "id", "least", "most"])
+        read = lambda row, c: np.frombuffer(row[c], "<i8")
+        for tile, blocks in beside(batches):
+            queries = read(tile, "cells").reshape(-1, tile["dim"])
+            held = Candidates(read(tile, "ids"), k)
+            for block in blocks:
+                codes = np.frombuffer(block["cells"], np.uint8).reshape(-1, tile["dim"])
+                held.add(read(block, "rows"), read(block, "ids"), *_edges(queries, codes, read(block, "low"), read(block, "width")))
+                if held.full():
+                    yield from held.taken()
+            yield from held.taken()
 
     return scan
 
@@ -144,9 +195,9 @@ def _kth(rows: DataFrame, column: str, k: int) -> DataFrame:
     return best.where(F.col("at") == k).select("query_id", F.col(column).alias("kth"))
 
 
-def _survivors(pairs: DataFrame, k: int) -> DataFrame:
+def _survivors(met: DataFrame, k: int) -> DataFrame:
     """Candidates of all blocks by rank of their upper bound."""
-    scanned = written(pairs.mapInArrow(_scan(k), CANDIDATE))
+    scanned = written(met.mapInArrow(_scan(k), CANDIDATE))
     left = scanned.join(_kth(scanned, "least", k), "query_id", "left").where("kth IS NULL OR most >= kth")
     by_bound = Window.partitionBy("query_id").orderBy(F.desc("most"), "id", "row")
     return written(left.select("query_id", "row", "id", "most", F.row_number().over(by_bound).alias("rank")))
@@ -188,11 +239,8 @@ def top_k(
     asked = written(rows.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v")))
     layout = "dim int, rows binary, ids binary, cells binary, low binary, width binary"
     blocks = written(rows.select("row", "id", "v").mapInArrow(_approximations(block_rows, cells), layout))
-    queries = written(asked.mapInArrow(_queries(query_rows), "dim int, q_ids binary, q_vectors binary"))
-    slots = max(1, blocks.count())
-    blocks = blocks.withColumn("slot", F.pmod(F.xxhash64("rows"), F.lit(slots)).cast("int"))
-    repeated = queries.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    survivors = _survivors(blocks.join(repeated, ["slot", "dim"]).drop("slot"), k)
+    queries = written(asked.mapInArrow(_queries(query_rows), "dim int, ids binary, cells binary"))
+    survivors = _survivors(meeting(blocks, queries, "cells"), k)
     found, _ = _read_in_order(survivors, rows, asked, k)
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (

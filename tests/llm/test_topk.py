@@ -63,3 +63,40 @@ def test_few_exact_vectors_are_read(spark, monkeypatch):
     got = top_k(df, k=5, every=100, block_rows=256).collect()
     assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == brute(rows, 5, 100, 256)
     assert read[0][1] < 30 * 3000 / 100  # of 30 times 3 000 products
+
+
+def test_blocks_and_queries_meet_without_a_broadcast(spark, monkeypatch):
+    plans, written = [], topk.written
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df)
+
+    monkeypatch.setattr(topk, "written", watched)
+    rng = np.random.default_rng(6)
+    check(spark, [(i, rng.normal(size=8).tolist()) for i in range(400)], block_rows=32, query_rows=8)
+    scans = [p for p in plans if p.count("MapInArrow") and "least" in p.split("MapInArrow")[1].split("\n")[0]]
+    assert scans and not any("Broadcast" in p for p in scans)
+
+
+def test_candidates_of_many_blocks_hold_the_best(monkeypatch):
+    rng = np.random.default_rng(7)
+    matrix, queries, asked = rng.integers(-90, 90, (600, 10)), rng.integers(-90, 90, (7, 10)), np.arange(7) * 20
+    matrix[300:330] = matrix[20]
+    exact = queries @ matrix.T
+    for most in (1 << 20, 40):
+        monkeypatch.setattr(topk, "HELD", most)
+        held, found = topk.Candidates(asked, 5), []
+        for i in range(0, 600, 50):
+            codes, low, width = topk.quantise(matrix[i : i + 50], 16)
+            rows = np.arange(i, i + 50)
+            held.add(rows, rows, *topk._edges(queries, codes, low, width))
+            if held.full():
+                found += [r for b in held.taken() for r in b.to_pylist()]
+        found += [r for b in held.taken() for r in b.to_pylist()]
+        for at, q in enumerate(asked.tolist()):
+            mine = {r["row"]: r for r in found if r["query_id"] == q}
+            best = sorted((-exact[at, r], r) for r in range(600) if r != q)[:5]
+            assert q not in mine and all(r in mine for _, r in best)
+            assert all(r["least"] <= exact[at, r["row"]] <= r["most"] for r in mine.values())
+        assert len(found) < 7 * 600 / 2
