@@ -91,3 +91,42 @@ def test_scan_leaves_columns_of_lost_candidates_unread():
 def test_window_is_exact(score):
     low, high = negatives.window(score, 50, 95)
     assert [s for s in range(-500, 500) if 50 * score <= 100 * s <= 95 * score] == list(range(low, high + 1))
+
+
+def test_tiles_and_blocks_meet_without_a_broadcast(spark, monkeypatch, capsys):
+    rows, met = table(5, 300), []
+    meeting = negatives.meeting
+    monkeypatch.setattr(negatives, "meeting", lambda *a: met.append(meeting(*a)) or met[-1])
+    wanted = plain(rows, 5, 5, 3, 50, 95)
+    assert wanted and got(spark, rows, every=5, block_rows=32, tile_rows=8) == wanted
+    assert len(met) == 2
+    for pairs in met:
+        assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+        dealt = pairs.select("slot", "is_tile", "ids").collect()
+        beside = [(b["ids"], t["ids"]) for t in dealt if t["is_tile"] for b in dealt if not b["is_tile"] and b["slot"] == t["slot"]]
+        tiles, blocks = {t["ids"] for t in dealt if t["is_tile"]}, {b["ids"] for b in dealt if not b["is_tile"]}
+        assert len(beside) == len(set(beside)) == len(tiles) * len(blocks)
+
+
+@pytest.mark.parametrize("size", [1, 10**4, 10**6])
+def test_bounds_of_earlier_blocks_lose_nothing(size):
+    draw = np.random.default_rng(2)
+    vectors = draw.integers(-100, 100, (900, 20)) * size
+    vectors[400:420] = vectors[7]
+    ids, labels = np.arange(900), draw.integers(0, 3, 900)
+    search = {"positives": negatives._positives(5), "negatives": negatives._negatives(3, 50, 95)}
+    for own in (7, 30, 411):
+        scores, found = (vectors.astype(object) @ vectors[own].astype(object)).tolist(), {}
+        best = sorted((-s, i) for i, s in enumerate(scores) if labels[i] == labels[own] and i != own)[:5]
+        for kind, run in search.items():
+            known = found.setdefault(kind, {})
+            for i in range(0, 900, 100):
+                part = vectors[i : i + 100]
+                block = negatives.Block(ids[i : i + 100], labels[i : i + 100], part.T, part.min(0), part.max(0))
+                sums = negatives.begun(block, vectors[[own]]) if i % 200 else None
+                run(block, own, labels[own], vectors[own], [-s for s, _ in best], known, None if sums is None else sums[0])
+        assert found["positives"][0] == [(i, -s) for s, i in best]
+        for place, (s, _) in enumerate(best):
+            low, high = negatives.window(-s, 50, 95)
+            inside = sorted((-t, i) for i, t in enumerate(scores) if labels[i] != labels[own] and low <= t <= high)[:3]
+            assert found["negatives"].get(place, []) == [(i, -t) for t, i in inside]
