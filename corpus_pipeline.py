@@ -21,7 +21,10 @@ LEAST_SCORE = 0.3
 
 def known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents without a language, null and letterless texts among them, go."""
-    return langid.keep_known(docs, langid.fit(docs), least=LEAST_SCORE)
+    model = langid.fit(docs)
+    if not model[0]:  # all labelled rows are of the fold that is held out
+        model = langid.fit(docs, hold_out=False)
+    return langid.keep_known(docs, model, least=LEAST_SCORE)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -184,7 +184,7 @@ def held_out(key: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(key.cast("string")), F.lit(0)) % folds == 0
 
 
-def sample(docs: DataFrame, texts: int = SAMPLE_TEXTS, excerpt: int = EXCERPT) -> list[tuple[str, str]]:
+def sample(docs: DataFrame, texts: int = SAMPLE_TEXTS, excerpt: int = EXCERPT, hold_out: bool = True) -> list[tuple[str, str]]:
     """(language, excerpt) of `texts` distinct texts per language, or all there are, by the hash of the text.
 
     `docs` has doc_id, text and lang. The number of distinct texts with a letter is estimated by language
@@ -192,7 +192,8 @@ def sample(docs: DataFrame, texts: int = SAMPLE_TEXTS, excerpt: int = EXCERPT) -
     corpus and however often texts are repeated. Languages of which too few come are drawn again
     with a larger share, until there are enough or all have been looked at.
     """
-    known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    taken = ~held_out(F.col("doc_id")) if hold_out else F.lit(True)
+    known = docs.where(taken & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}"))
     h = F.xxhash64("text")
     counts = known.groupBy("lang").agg(F.approx_count_distinct(h).alias("n")).collect()
     shares = {r["lang"]: min(1.0, (2 * texts + 50) / max(1, r["n"])) for r in counts}
@@ -213,9 +214,9 @@ def sample(docs: DataFrame, texts: int = SAMPLE_TEXTS, excerpt: int = EXCERPT) -
     return [(lang, part) for lang in sorted(out) for part in out[lang]]
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> tuple[list[str], dict[str, np.ndarray]]:
+def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", hold_out: bool = True) -> tuple[list[str], dict[str, np.ndarray]]:
     """Languages and weights, learned from the rows that are not held out."""
-    found = sample(picked(docs, doc_id=key, text=text, lang=lang))
+    found = sample(picked(docs, doc_id=key, text=text, lang=lang), hold_out=hold_out)
     names = sorted({name for name, _ in found})
     if not names:
         return [], {}
